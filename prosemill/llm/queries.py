@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prosemill.llm import exactdedup, hilbert, linededup, mixing, packing, quality, simhash
+from prosemill.llm import exactdedup, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlmain.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), 40)
 
@@ -43,7 +51,18 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_quality_rules, op5_hilbert_sharding, op6_line_dedup, op7_best_fit_packing, op8_source_mixing, op10_simhash_dedup)
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_exact_dedup,
+        op3_quality_rules,
+        op4_html_extraction,
+        op5_hilbert_sharding,
+        op6_line_dedup,
+        op7_best_fit_packing,
+        op8_source_mixing,
+        op10_simhash_dedup,
+    )
 }
 
 _UPPER, _LOWER = exactdedup.UPPER, exactdedup.LOWER

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prosemill.llm import exactdedup, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring
+from prosemill.llm import attention, exactdedup, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), 3)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_line_dedup,
         op7_best_fit_packing,
         op8_source_mixing,
+        op9_attention_scores,
         op10_simhash_dedup,
     )
 }

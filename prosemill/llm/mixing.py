@@ -161,8 +161,13 @@ def mixture(docs: DataFrame, members: Column, weights: tuple[float, ...] = (1, 2
 
 def _times(seed: int) -> Column:
     """How often a document is read, from the plan's row beside it."""
-    more = (_hash(seed) <= F.coalesce("cut", F.lit((1 << 63) - 1))) | (F.col("doc_id").cast("long") == F.col("extra"))
-    return F.col("times") + F.when(more, 1).otherwise(0)
+    more = (_hash(seed) <= F.coalesce("__cut", F.lit((1 << 63) - 1))) | (F.col("doc_id").cast("long") == F.col("__extra"))
+    return F.col("__times") + F.when(more, 1).otherwise(0)
+
+
+def _beside(plan: DataFrame) -> DataFrame:
+    """The plan under names that no document has."""
+    return F.broadcast(plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns]))
 
 
 def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
@@ -173,16 +178,15 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     with one doc_id are taken together. An empty table gives no rows; other columns are ignored.
     """
     rows, plan = mixture(docs, F.array(F.col("source").cast("string")), seed=seed)
-    out = rows.join(F.broadcast(plan), "pattern")
-    times = _times(seed)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), F.col("source"))
+    out = rows.join(_beside(plan), F.col("pattern") == F.col("__pattern"))
+    taken = (F.col("size") * _times(seed)).cast("long").alias("taken")
+    return out.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), taken, F.col("__source").alias("source"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """docs as the mix reads them: a row is left out, or there once, twice or three times."""
     names = docs.columns
     _, plan = mixture(docs, F.array(F.col("source").cast("string")), seed=seed)
-    plan = F.broadcast(plan.select(F.col("source").alias("__source"), "times", "cut", "extra"))
-    times = _times(seed)
-    out = docs.join(plan, docs["source"].cast("string").eqNullSafe(F.col("__source")))
-    return out.withColumn("__times", times.cast("int")).where("__times > 0").withColumn("__again", F.explode(F.sequence(F.lit(1), "__times"))).select(*names)
+    out = docs.join(_beside(plan), docs["source"].cast("string").eqNullSafe(F.col("__source")))
+    out = out.withColumn("__n", _times(seed).cast("int")).where("__n > 0")
+    return out.withColumn("__again", F.explode(F.sequence(F.lit(1), "__n"))).select(*names)

@@ -36,7 +36,7 @@ def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[f
             break
         left -= sum(most * sizes[i] for i in full)
         for i in full:
-            out[i] = most * sizes[i]
+            out[i] = float(most * sizes[i])
         open_ = [i for i in open_ if i not in full]
     return out
 

@@ -79,3 +79,19 @@ def stride_sample(df: DataFrame, order: str, n: int) -> DataFrame:
 
 def by_drop_reason(df: DataFrame, text: str) -> DataFrame:
     return df.groupBy(S.gate_reason(F.col(text)).alias("gate_reason")).agg(F.count("*").alias("n_rows"))
+
+
+def before_after(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Rows of before that aren't in after, told by their key (a row that was only cleaned isn't dropped)."""
+    return before.join(after.select(key), key, "left_anti")
+
+
+def throughput(stages: DataFrame) -> DataFrame:
+    """Rates of stages (stage, n_in, n_out, seconds)."""
+    per_second = F.round(F.col("n_in") / F.greatest(F.col("seconds"), F.lit(1e-9)), 2)
+    return stages.withColumns({"rows_per_second": per_second, "kept_share": F.bround(F.col("n_out") / F.greatest(F.col("n_in"), F.lit(1)), 4)})
+
+
+def observed(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    """df, with counters that Spark fills while it runs: rows, and nulls of the columns."""
+    return df.observe(name, F.count("*").alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])

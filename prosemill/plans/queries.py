@@ -524,6 +524,36 @@ def drop_reasons(spark, sf):
     return report.by_drop_reason(texts(spark, sf), "text")
 
 
+@query("SELECT doc_id FROM documents WHERE NOT (length(text) > 500 AND lang = 'en')")
+def before_after(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return report.before_after(docs, docs.where("length(text) > 500 AND lang = 'en'").withColumn("text", T.clean_lines(F.col("text"))), "doc_id").select("doc_id")
+
+
+@query("SELECT lang AS stage, count(*) AS n_in, count(*) FILTER (n_chars > 500) AS n_out, 2.0::DOUBLE AS seconds, round(count(*) / 2.0, 2) AS rows_per_second, round_even(count(*) FILTER (n_chars > 500) / count(*), 4) AS kept_share FROM documents GROUP BY 1")
+def stage_throughput(spark, sf):
+    rows = table(spark, sf, "documents").groupBy(F.col("lang").alias("stage")).agg(F.count("*").alias("n_in"), F.count_if(F.col("n_chars") > 500).alias("n_out"), F.lit(2.0).alias("seconds"))
+    return report.throughput(rows)
+
+
+@query("SELECT event_id FROM events WHERE value >= 20 AND user_id >= 5")
+def engagement_floor(spark, sf):
+    return records.engaged(table(spark, sf, "events"), {"value": 20, "user_id": 5}).select("event_id")
+
+
+@query(f"SELECT row_id FROM (SELECT row_id, CASE WHEN row_id % 3 = 0 THEN ' [deleted] ' ELSE text END AS t FROM {TEXTS}) WHERE {strip_sql('t')} NOT IN ('', '[deleted]', '[removed]')")
+def alive_items(spark, sf):
+    rows = texts(spark, sf).withColumn("text", F.when(F.col("row_id") % 3 == 0, " [deleted] ").otherwise(F.col("text")))
+    return records.alive(rows).select("row_id")
+
+
+@query("SELECT page_id, md5(html) AS digest FROM pages")
+def http_bodies(spark, sf):
+    ends = F.when(F.col("page_id") % 2 == 0, "\r\n").otherwise("\n")
+    raw = F.concat(F.lit("HTTP/1.1 200 OK"), ends, F.lit("Content-Type: text/html"), ends, ends, "html")
+    return pages(spark, sf).select("page_id", F.md5(html.http_body(raw)).alias("digest"))
+
+
 # Retrieval ---------------------------------------------------------------------------------------------------------------
 
 _DOT = "list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))"

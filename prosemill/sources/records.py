@@ -77,6 +77,26 @@ def comment_tree(items: DataFrame, depth: int = 3, most: int = 50) -> DataFrame:
     return out
 
 
+#: Bodies that say that an item is gone.
+GONE = ("", "[deleted]", "[removed]")
+
+
+def alive(df: DataFrame, text: str = "text") -> DataFrame:
+    """Rows whose body isn't a mark of deletion."""
+    return df.where(~strip(F.coalesce(F.col(text), F.lit(""))).isin(*GONE))
+
+
+def engaged(df: DataFrame, floors: dict[str, int], every: bool = True) -> DataFrame:
+    """Rows that reach all (or any) of the floors, a column's least value each; null counts as 0."""
+    tests = [F.coalesce(F.col(c), F.lit(0)) >= n for c, n in floors.items()]
+    return df.where(reduce(lambda a, b: a & b if every else a | b, tests))
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Files that hold one JSON array each, compressed or not."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def engagement_top(df: DataFrame, k: int, points: str = "points", comments: str = "num_comments", tie: str = "item_id") -> DataFrame:
     """The k rows with the largest points * (comments + 1)."""
     return df.withColumn("engagement", F.col(points) * (F.col(comments) + 1)).orderBy(F.desc("engagement"), tie).limit(k)

@@ -180,6 +180,12 @@ def test_sinks_and_reports(spark):
     assert sorted(r["id"] for r in sample.collect()) == sorted(r["id"] for r in sample.collect()) and sample.count() == 15
 
 
+def test_json_arrays_and_observation(spark, tmp_path):
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(json.dumps([{"url": "u", "text": "t"}, {"url": None, "text": "s"}]).encode()))
+    df = records.read_json_array(spark, str(tmp_path), "url string, text string")
+    assert sorted(r["text"] for r in report.observed(df, "seen", "url").collect()) == ["s", "t"]
+
+
 def test_top_k_each(spark):
     rng = np.random.default_rng(1)
     m = rng.standard_normal((60, 8))

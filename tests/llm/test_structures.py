@@ -300,7 +300,7 @@ def test_windows_score_each_symbol_once():
     lengths = [1, 5, 24, 25, 100]
     at = np.concatenate([[0], np.cumsum(lengths)])
     symbols = np.arange(at[-1]) * 2
-    inputs, targets, score, doc = M.windows(symbols, at)
+    inputs, targets, score, doc, _ = M.windows(symbols, at)
     where = score[score >= 0]
     assert sorted(where.tolist()) == list(range(at[-1]))
     assert (targets[score >= 0] == symbols[where]).all()
@@ -327,7 +327,14 @@ def test_probabilities_sum_to_one_and_ignore_the_future():
 def test_fast_path_is_the_model():
     x = np.random.default_rng(10).integers(0, M.CLASSES, (7, M.L))
     w = M.initial()
-    assert np.abs(M.hidden(M.ready(w), x) - M.forward(w, x)[0]).max() < 1e-4
+    assert np.abs(M.hidden(M.ready(w), x) - M.forward(w, x)[0][:, M.CONTEXT :].reshape(-1, M.D)).max() < 1e-4
+
+
+def test_spelling_of_words_in_one_text():
+    words = ["the", "can't", "'s", "\u00a0x", "x\u00a0", "\u00a0", "漢字", "a,b.c!!", "12345", "\u2003y", "thntblere"]
+    ids, n = M.spelled(words * 3)
+    want = [packing.encoding().encode_ordinary(" " + w) for w in words * 3]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_held_out():

@@ -173,6 +173,17 @@ def test_substring_on_awkward_rows(spark):
     assert not [r for r in substring.repeated_passages(awkward(spark)).collect() if r["doc_id"] in (1, 2, 3, 6, 12)]
 
 
+def test_passage_of_many_documents(spark):
+    """More documents than go on from a batch: each is still linked over the whole passage."""
+    rows = [(i, " ".join(f"u{i}_{k}" for k in range(i % 7 + 3)) + f" {PASSAGE} " + " ".join(f"v{i}_{k}" for k in range(9)), "en", "a") for i in range(6 * substring.LOCAL)]
+    for parts in (1, 3):
+        covered = defaultdict(set)
+        for r in substring.repeated_passages(awkward(spark, rows).coalesce(1).repartition(parts)).collect():
+            covered[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+            covered[r["other_id"]].update(range(r["other_start"], r["other_end"]))
+        assert covered == {i: set(range(i % 7 + 3, i % 7 + 73)) for i in range(len(rows))}
+
+
 def test_language_on_awkward_rows(spark):
     rows = attention.language_scores(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)

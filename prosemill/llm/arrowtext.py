@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -76,5 +78,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
 
 
-def columns(schema: pa.Schema, **values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(values[f.name], f.type) for f in schema], schema=schema)
+def trim() -> None:
+    """Gives freed memory back: Python workers are used again, and what one holds adds to the next stage's need."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

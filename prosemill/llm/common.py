@@ -14,11 +14,11 @@ from prosemill.session import ship
 BROADCAST_BYTES = 32 << 20
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, batch_mb: int = 6) -> None:
     """Ships the package and bounds Arrow batches by bytes, so that very long texts don't pile up in a Python worker."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(24 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_mb << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,6 +40,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediate tables in the shared folder, once no frame that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/prosemill")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checked_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     """df with a broadcast hint if its counted rows stay below BROADCAST_BYTES, else as it is (a shuffle join follows)."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

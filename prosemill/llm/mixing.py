@@ -97,6 +97,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = A.buffers(batch.column(0))
         _, _, words = A.word_spans(data, at)
         yield pa.RecordBatch.from_arrays([pa.array(np.diff(words)), *batch.columns[1:]], names=["size", *batch.schema.names[1:]])
+        A.trim()
 
 
 def _hash(seed: int) -> Column:

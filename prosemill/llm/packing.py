@@ -23,6 +23,8 @@ from prosemill.llm.common import tune, written
 
 #: Open bins of a packing task, pieces that a task packs on average, and pieces of a wave, in which the longest come first.
 OPEN, PACKED, WAVE = 4096, 200_000, 8192
+#: Arrow batches; ids and their places take several numbers for each token.
+BATCH_MB = 4
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -131,6 +133,7 @@ def pieces(docs: DataFrame, capacity: int = 1024, end: int = 2, name: str = VOCA
                     all_ids.append(np.frombuffer(own, "<u4").astype(np.int64))
             cols = [batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(all_ids, pa.list_(pa.int64()))] * with_ids, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+            A.trim()
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
@@ -143,7 +146,7 @@ def packed(docs: DataFrame, capacity: int = 1024, end: int = 2, open_bins: int =
     packer in waves by a hash, in tasks of about PACKED pieces; a rerun gives the same sequences. An empty table
     gives no rows; other columns are ignored.
     """
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, BATCH_MB)
     cut = written(pieces(docs, capacity, end, name, with_ids), "pieces")
     n = cut.count()
     tasks = max(1, round(n / PACKED))

@@ -20,6 +20,8 @@ from prosemill.llm.common import tune
 
 #: Labelled documents that the model is fitted on, at most (those with the smallest hash of their id).
 SAMPLE = 20_000
+#: Arrow batches; the counts hold several numbers for each byte of a batch.
+BATCH_MB = 4
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 #: Model features with the sign of their constraint: -1: more of it never raises the quality.
@@ -144,9 +146,16 @@ def statistics(column: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
     data, at = A.buffers(column)
     starts, ends, first = A.word_spans(data, at)
     codes, _ = A.word_codes(data, starts, ends)
-    total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])[at])
-    upto = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])
-    chars = np.concatenate([[0], np.cumsum(upto[ends] - upto[starts])])[first]
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+
+    def upto(mask: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(mask) + 1, kind)
+        np.cumsum(mask, dtype=kind, out=out[1:])
+        return out
+
+    total = lambda mask: np.diff(upto(mask)[at]).astype(np.int64)
+    place = upto((data & 0xC0) != 0x80)
+    chars = np.concatenate([[0], np.cumsum(place[ends] - place[starts], dtype=np.int64)])[first]
     raw, cuts = data.tobytes(), at.tolist()
     dup, lines = [], []
     for a, b in zip(cuts, cuts[1:]):
@@ -176,7 +185,7 @@ def base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 3) -> Trees:
     """Fits the model on at most so many labelled documents; labels: doc_id, quality (1: good). Without labels all pass."""
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, BATCH_MB)
     own = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("quality"))
     # At most `sample` rows of two numbers, so the side that is broadcast doesn't follow the input.
     chosen = own.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
@@ -198,7 +207,7 @@ def scored(docs: DataFrame, model: Trees, threshold: float = 0.5) -> DataFrame:
     A null or empty text has no words and fails the base rule. Ties at the threshold are kept. Repeated rows are scored
     each. An empty table gives no rows; other columns are ignored.
     """
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, BATCH_MB)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +222,7 @@ def scored(docs: DataFrame, model: Trees, threshold: float = 0.5) -> DataFrame:
 
 def kept_documents(docs: DataFrame, model: Trees, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns; no text is shuffled."""
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, BATCH_MB)
     names = docs.columns
     text = F.col(names[names.index("text")]).cast("string").alias("__text")
 
@@ -222,5 +231,6 @@ def kept_documents(docs: DataFrame, model: Trees, threshold: float = 0.5) -> Dat
             counts, x = statistics(batch.column(0))
             keep = ~base_failed(counts) & (model.score(x) >= threshold)
             yield pa.RecordBatch.from_arrays(batch.columns[1:], names=names).filter(pa.array(keep))
+            A.trim()
 
     return docs.select(text, *[F.col(c) for c in names]).mapInArrow(rows, docs.schema)

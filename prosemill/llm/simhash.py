@@ -175,6 +175,7 @@ def signatures(docs: DataFrame, words: int = 5) -> DataFrame:
         for batch in batches:
             rows = [minwise_bytes(shingle_hashes(x, words)).tobytes() for x in _normalised(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "sig"])
+            A.trim()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(of, "doc_id long, sig binary")
 
@@ -225,6 +226,7 @@ def similar_links(least: int, limit: int = 2048):
                 low = roots(np.minimum(a, b), np.maximum(a, b), len(key))
                 keep = low != np.arange(len(key))
                 yield pa.RecordBatch.from_arrays([pa.array(rep[keep]), pa.array(rep[low[keep]])], names=["a", "b"])
+        A.trim()
 
     return links
 

@@ -7,6 +7,9 @@ import ctypes
 import numpy as np
 import pyarrow as pa
 
+# Arrow's own allocator keeps what it has; the system's gives it back, see trim().
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: ASCII white space, as in the class [\x20\x09-\x0D].
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

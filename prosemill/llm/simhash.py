@@ -8,7 +8,9 @@ verified by counting bits. Equal fingerprints are one entry, and a list hands on
 
 For near-copies by word shingles (five words, similarity 0.8) 64 sign bits differ in about ten places, in which case no
 byte is sure to be shared. There the positional bytes are those of a min-wise signature, of which two texts share the
-fraction that is their similarity; the index, the tally and the threshold on it are the same.
+fraction that is their similarity; the index and the tally are the same, with a looser threshold, and the verification
+counts the shingles that two texts share. First the entries of a list are verified with the first one like them; then
+all pairs of a list that this hasn't linked.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.llm import arrowtext as A
-from prosemill.llm.common import attach, only_ids, tune, written
+from prosemill.llm.common import attach, checked_broadcast, only_ids, tune, written
 from prosemill.llm.graph import components, roots
 
 SEED = 42
@@ -170,83 +172,200 @@ def minwise_bytes(h: np.ndarray) -> np.ndarray:
     return ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
 
 
+def shingle_set(norm: bytes, words: int) -> tuple[np.ndarray, bytes]:
+    """The distinct shingle hashes of a text in order, and eight bytes that tell the set."""
+    h = np.unique(shingle_hashes(norm, words))
+    return h, xxhash.xxh3_64_digest(h.astype("<u8").tobytes())
+
+
+def shingle_set(norm: bytes, words: int) -> tuple[np.ndarray, bytes]:
+    """The distinct shingle hashes of a text in order, and eight bytes that tell the set."""
+    h = np.unique(shingle_hashes(norm, words))
+    return h, xxhash.xxh3_64_digest(h.astype("<u8").tobytes())
+
+
 def signatures(docs: DataFrame, words: int = 5) -> DataFrame:
+    """(doc_id, sig): the positional bytes, then those that tell the set; texts with one sig have the same shingles."""
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [minwise_bytes(shingle_hashes(x, words)).tobytes() for x in _normalised(batch.column(1))]
+            sets = (shingle_set(x, words) for x in _normalised(batch.column(1)))
+            rows = [minwise_bytes(h).tobytes() + own for h, own in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "sig"])
             A.trim()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(of, "doc_id long, sig binary")
 
 
+def _unpacked(sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of signatures: the positional bytes, the bands, the number that tells the set."""
+    all_ = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, BYTES + 8)
+    bands = np.ascontiguousarray(all_[:, : BANDS * BAND]).view("<u4")
+    return np.ascontiguousarray(all_[:, :BYTES]), bands, np.ascontiguousarray(all_[:, BYTES:]).view("<i8")[:, 0]
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sigs = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, BYTES)
-        head = np.ascontiguousarray(sigs[:, : BANDS * BAND]).view("<u4").astype(np.int64)
+        head = _unpacked(batch.column(0).to_pylist())[1].astype(np.int64)
         for k in range(BANDS):
-            yield pa.RecordBatch.from_arrays([pa.array((np.int64(k) << 32) | head[:, k]), *batch.columns], names=["key", "sig", "rep"])
-
-
-def similar_links(least: int, limit: int = 2048):
-    """Reads postings sorted by key; links entries of a list that share at least so many positional bytes."""
-
-    def within(sigs: np.ndarray, at: np.ndarray, band: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if len(at) <= limit or band >= BANDS:
-            a, b = [], []
-            for i in range(len(at) - 1):
-                hit = np.flatnonzero((sigs[at[i]] == sigs[at[i + 1 :]]).sum(1) >= least) + i + 1
-                a.append(np.full(len(hit), i))
-                b.append(hit)
-            low = roots(np.concatenate(a), np.concatenate(b), len(at)) if a else np.arange(len(at))
-            own = np.flatnonzero(low != np.arange(len(at)))
-            yield at[low[own]], at[own]
-            return
-        # A long list is split by its further bands; similar entries share several of them.
-        for k in range(BANDS):
-            value = np.ascontiguousarray(sigs[at, k * BAND : (k + 1) * BAND]).view("<u4")[:, 0]
-            order = np.argsort(value, kind="stable")
-            cuts = np.flatnonzero(np.diff(value[order])) + 1
-            for part in np.split(at[order], cuts):
-                if 1 < len(part) < len(at):
-                    yield from within(sigs, part, BANDS if len(part) > limit and k == BANDS - 1 else band + 1)
-
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_arrays([pa.array((np.int64(k) << 32) | head[:, k]), *batch.columns], names=["key", *batch.schema.names])
+
+
+PAIR = ["a", "b", "da", "db"]  # the documents, and the numbers that tell their sets
+
+
+def _pairs(rep: np.ndarray, own: np.ndarray, a: list[np.ndarray], b: list[np.ndarray], keys: list[int] | None = None) -> pa.RecordBatch:
+    """Rows of PAIR with the smaller document first; with keys, these follow in rows of their own."""
+    x, y = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (a, b))
+    x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
+    x, y = x[rep[x] != rep[y]], y[rep[x] != rep[y]]
+    cols, names = [pa.array(v) for v in (rep[x], rep[y], own[x], own[y])], PAIR
+    if keys is not None:
+        more = pa.nulls(len(keys), pa.int64())
+        cols = [*(pa.concat_arrays([c, more]) for c in cols), pa.concat_arrays([pa.nulls(len(x), pa.int64()), pa.array(keys, pa.int64())])]
+        names = [*PAIR, "key"]
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _bounds(key: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = (np.flatnonzero(np.diff(key)) + 1).tolist()
+    return zip([0, *cuts], [*cuts, len(key)])
+
+
+def _parts(bands: np.ndarray, at: np.ndarray, band: int = 0, limit: int = 2048) -> Iterator[np.ndarray]:
+    """A list, or if it is long its parts by further bands; similar entries share several of them."""
+    if len(at) <= limit or band >= BANDS:
+        yield at
+        return
+    for k in range(BANDS):
+        order = np.argsort(bands[at, k], kind="stable")
+        for part in np.split(at[order], np.flatnonzero(np.diff(bands[at[order], k])) + 1):
+            if 1 < len(part) < len(at):
+                yield from _parts(bands, part, BANDS if len(part) > limit and k == BANDS - 1 else band + 1, limit)
+
+
+def first_pairs(least: int):
+    """Reads postings sorted by key and document; pairs each entry of a list with the first entry that it shares at least
+    so many positional bytes with and that isn't paired itself. Lists that have other pairs are told by their keys."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, sig, rep in _groups(batches):
             if not len(key):
                 continue
-            sigs = np.frombuffer(b"".join(sig.tolist()), np.uint8).reshape(-1, BYTES)
-            a, b = [], []
-            for part in np.split(np.arange(len(key)), np.flatnonzero(np.diff(key)) + 1):
-                for x, y in within(sigs, part, 0):
-                    a.append(x)
-                    b.append(y)
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                low = roots(np.minimum(a, b), np.maximum(a, b), len(key))
-                keep = low != np.arange(len(key))
-                yield pa.RecordBatch.from_arrays([pa.array(rep[keep]), pa.array(rep[low[keep]])], names=["a", "b"])
+            sigs, bands, own = _unpacked(sig.tolist())
+            a, b, more = [], [], []
+            for i, j in _bounds(key):
+                met = False
+                for rest in _parts(bands, np.arange(i, j)):
+                    while len(rest) > 1:
+                        hit = (sigs[rest[1:]] == sigs[rest[0]]).sum(1) >= least
+                        if hit.any():
+                            met = True
+                            a.append(np.full(int(hit.sum()), rest[0]))
+                            b.append(rest[1:][hit])
+                        rest = rest[1:][~hit]
+                if met and j - i > 2:
+                    more.append(int(key[i]))
+            yield _pairs(rep, own, a, b, more)
+        A.trim()
+
+    return of
+
+
+def other_pairs(least: int, block: int = 1 << 18):
+    """Reads postings with components, sorted by key; all pairs of a list that are in different components and share at
+    least so many positional bytes, each in the first list that has it."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, sig, rep, component in _groups(batches):
+            if not len(key):
+                continue
+            sigs, bands, own = _unpacked(sig.tolist())
+            a, b, n = [], [], 0
+            for i, j in _bounds(key):
+                for part in _parts(bands, np.arange(i, j)):
+                    label, size = np.unique(component[part], return_inverse=True, return_counts=True)[1:]
+                    order = np.lexsort((label, size[label]))  # the largest component last: it isn't compared in itself
+                    at, cuts = part[order], (np.flatnonzero(np.diff(label[order])) + 1).tolist()
+                    for x, end in ((x, hi) for lo, hi in zip([0, *cuts], cuts) for x in at[lo:hi].tolist()):
+                        hit = at[end:][(sigs[at[end:]] == sigs[x]).sum(1) >= least]
+                        hit = hit[(bands[hit] == bands[x]).argmax(1) == key[i] >> 32]
+                        a.append(np.full(len(hit), x))
+                        b.append(hit)
+                        n += len(hit)
+                        if n > block:
+                            yield _pairs(rep, own, a, b)
+                            a, b, n = [], [], 0
+            yield _pairs(rep, own, a, b)
+        A.trim()
+
+    return of
+
+
+def verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b) of the pairs whose sets of shingles have at least that similarity (shared by all of both)."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingle_set(x, words) for x in _normalised(batch.column(1))]
+            told = np.frombuffer(b"".join(d for _, d in own), "<i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(told), pa.array([h.tobytes() for h, _ in own], pa.binary())], names=["doc", "own", "shingles"])
+            A.trim()
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                n = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(n >= similarity * (len(x) + len(y) - n) - 1e-9)
+            ok = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
         A.trim()
 
-    return links
+    keyed = pairs.select("a", "b", F.struct(F.col("a").alias("doc"), F.col("da").alias("own")).alias("ka"), F.struct(F.col("b").alias("doc"), F.col("db").alias("own")).alias("kb"))
+    wanted = written(keyed.select("ka").union(keyed.select("kb")).groupBy(F.col("ka").alias("key")).agg(F.count("*").alias("uses")), "near-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = only_ids(texts, wanted.select(F.col("key.doc").alias("doc_id")).distinct(), "left_semi")
+    found = texts.mapInArrow(sets, "doc long, own long, shingles binary").groupBy(F.struct("doc", "own").alias("key")).agg(F.first("shingles").alias("shingles"))
+    found = written(found.join(wanted, "key"), "near-shingles")
+    size = 64 + int(found.agg(F.avg(F.octet_length("shingles"))).first()[0] or 0)
+    both, total = keyed, pairs.count()
+    for side in "ab":
+        both = attach(both, found.select(F.col("key").alias(f"k{side}"), F.col("shingles").alias(f"s{side}"), "uses"), f"k{side}", "uses", total, size).drop("uses")
+    return both.select("a", "b", "sa", "sb").mapInArrow(similar, "a long, b long")
 
 
 def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id: groups of texts whose word shingles have about that similarity or more.
+    """doc_id, component_id: groups of texts linked by sets of word shingles of that similarity or more.
 
-    The similarity is read off 128 positional bytes (standard error 0.035); pairs that share the expected number less
-    one and a half standard errors are linked. A text without words is linked to nothing but other such texts.
+    Candidates are told by 128 positional bytes (standard error 0.035): pairs that share the expected number less four
+    standard errors, and four bytes in a row. Each one is verified by its shingles or in one group by other links; of
+    pairs at that very similarity 1 in 4,000 is no candidate. A text without words is linked to nothing but other such
+    texts.
     """
     tune(docs.sparkSession)
     sigs = written(signatures(docs, words), "signatures")
     entries = written(sigs.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "entries")
     p = similarity + (1 - similarity) / 256
-    least = int(np.ceil(BYTES * p - 1.5 * np.sqrt(BYTES * p * (1 - p))))
-    posted = entries.where("rep IS NOT NULL").select("sig", "rep").mapInArrow(_bands, "key long, sig binary, rep long")
-    links = posted.repartition("key").sortWithinPartitions("key").mapInArrow(similar_links(least), "a long, b long")
+    least = int(np.ceil(BYTES * p - 4 * np.sqrt(BYTES * p * (1 - p))))
+    schema, known = ", ".join(f"{c} long" for c in PAIR), entries.where("rep IS NOT NULL")
+    posted = known.select("sig", "rep").mapInArrow(_bands, "key long, sig binary, rep long")
+    found = written(posted.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(first_pairs(least), f"{schema}, key long"), "near-lists")
+    first = written(found.where("a IS NOT NULL").select(*PAIR).distinct(), "near-pairs")
+    links = written(verified(docs, first, words, similarity), "near-links")
+    # What is left: pairs of a list that no chain of links joins.
     low = components(links, "a", "b").withColumnRenamed("node", "rep")
+    of = known.join(low, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
+    posted = of.mapInArrow(_bands, "key long, sig binary, rep long, component long")
+    posted = posted.join(checked_broadcast(found.where("key IS NOT NULL").select("key"), 24), "key", "left_semi")
+    rest = posted.repartition("key").sortWithinPartitions("key").mapInArrow(other_pairs(least), schema).distinct()
+    rest = written(rest.join(first, PAIR, "left_anti"), "near-pairs")
+    if rest.head(1):
+        links = links.union(written(verified(docs, rest, words, similarity), "near-links"))
+        low = components(links, "a", "b").withColumnRenamed("node", "rep")
     named = written(entries.join(low, "rep", "left").select("sig", "copies", F.coalesce("component", "rep").alias("component_id")), "named")
-    return attach(sigs, named, "sig", "copies", sigs.count(), 160).select("doc_id", "component_id")
+    return attach(sigs, named, "sig", "copies", sigs.count(), 168).select("doc_id", "component_id")
 
 
 def near_deduplicated(docs: DataFrame) -> DataFrame:

@@ -343,6 +343,25 @@ def test_near_copies_are_found(spark, docs):
     assert all(sizes[got[i]] == 1 for i in alone)
 
 
+def test_near_copies_are_those_of_brute_force(spark):
+    """Pairs on both sides of 0.8: neither are those of 0.7 to 0.79 merged nor those of 0.8 and more missed."""
+    rng, texts = np.random.default_rng(3), {}
+    for i in range(150):
+        words = [f"p{i}x{j}" for j in range(400)]
+        texts[2 * i] = " ".join(words)
+        n = int(rng.integers(6, 15))
+        for j in rng.choice(80, n, replace=False):
+            words[5 * j] = f"new{j}"
+        texts[2 * i + 1] = " ".join(words)
+    shingles = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in texts.items() if (w := t.split())}
+    rows = [(i, t, "en", "a") for i, t in texts.items()]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_components(awkward(spark, rows)).collect()}
+    like = [len(shingles[i] & shingles[i + 1]) / len(shingles[i] | shingles[i + 1]) for i in range(0, 300, 2)]
+    assert sum(0.7 <= x < 0.8 for x in like) > 30 and sum(0.8 <= x < 0.83 for x in like) > 10
+    assert [got[2 * i + 1] == got[2 * i] for i in range(150)] == [x >= 0.8 for x in like]
+    assert all(got[2 * i] == 2 * i for i in range(150))
+
+
 def test_pipeline(spark, docs):
     """Stage by stage against plain versions of what each promises."""
     import corpus_pipeline as P

@@ -232,18 +232,6 @@ def _bounds(key: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip([0, *cuts], [*cuts, len(key)])
 
 
-def _parts(bands: np.ndarray, at: np.ndarray, band: int = 0, limit: int = 2048) -> Iterator[np.ndarray]:
-    """A list, or if it is long its parts by further bands; similar entries share several of them."""
-    if len(at) <= limit or band >= BANDS:
-        yield at
-        return
-    for k in range(BANDS):
-        order = np.argsort(bands[at, k], kind="stable")
-        for part in np.split(at[order], np.flatnonzero(np.diff(bands[at[order], k])) + 1):
-            if 1 < len(part) < len(at):
-                yield from _parts(bands, part, BANDS if len(part) > limit and k == BANDS - 1 else band + 1, limit)
-
-
 def first_pairs(least: int):
     """Reads postings sorted by key and document; pairs each entry of a list with the first entry that it shares at least
     so many positional bytes with and that isn't paired itself. Lists that have other pairs are told by their keys."""
@@ -252,18 +240,18 @@ def first_pairs(least: int):
         for key, sig, rep in _groups(batches):
             if not len(key):
                 continue
-            sigs, bands, own = _unpacked(sig.tolist())
+            sigs, _, own = _unpacked(sig.tolist())
             a, b, more = [], [], []
             for i, j in _bounds(key):
                 met = False
-                for rest in _parts(bands, np.arange(i, j)):
-                    while len(rest) > 1:
-                        hit = (sigs[rest[1:]] == sigs[rest[0]]).sum(1) >= least
-                        if hit.any():
-                            met = True
-                            a.append(np.full(int(hit.sum()), rest[0]))
-                            b.append(rest[1:][hit])
-                        rest = rest[1:][~hit]
+                rest = np.arange(i, j)
+                while len(rest) > 1:
+                    hit = (sigs[rest[1:]] == sigs[rest[0]]).sum(1) >= least
+                    if hit.any():
+                        met = True
+                        a.append(np.full(int(hit.sum()), rest[0]))
+                        b.append(rest[1:][hit])
+                    rest = rest[1:][~hit]
                 if met and j - i > 2:
                     more.append(int(key[i]))
             yield _pairs(rep, own, a, b, more)
@@ -272,38 +260,73 @@ def first_pairs(least: int):
     return of
 
 
-def other_pairs(least: int, block: int = 1 << 18):
-    """Reads postings with components, sorted by key; all pairs of a list that are in different components and share at
-    least so many positional bytes, each in the first list that has it."""
+def _apart(component: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[int, int]]]:
+    """Entries in the order of their components, the largest last, and (place, first place of the components after it) of
+    all entries but the last component's."""
+    label, size = np.unique(component, return_inverse=True, return_counts=True)[1:]
+    order = np.lexsort((label, size[label]))
+    cuts = (np.flatnonzero(np.diff(label[order])) + 1).tolist()
+    return order, ((x, hi) for lo, hi in zip([0, *cuts], cuts) for x in range(lo, hi))
+
+
+def unlinked(least: int):
+    """Reads postings with components, sorted by key; of each list the entries that share at least so many positional bytes
+    with one of another component. A pair counts in the first list that has it."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, sig, rep, component in _groups(batches):
             if not len(key):
                 continue
             sigs, bands, own = _unpacked(sig.tolist())
-            a, b, n = [], [], 0
+            keep = np.zeros(len(key), bool)
             for i, j in _bounds(key):
-                for part in _parts(bands, np.arange(i, j)):
-                    label, size = np.unique(component[part], return_inverse=True, return_counts=True)[1:]
-                    order = np.lexsort((label, size[label]))  # the largest component last: it isn't compared in itself
-                    at, cuts = part[order], (np.flatnonzero(np.diff(label[order])) + 1).tolist()
-                    for x, end in ((x, hi) for lo, hi in zip([0, *cuts], cuts) for x in at[lo:hi].tolist()):
-                        hit = at[end:][(sigs[at[end:]] == sigs[x]).sum(1) >= least]
-                        hit = hit[(bands[hit] == bands[x]).argmax(1) == key[i] >> 32]
-                        a.append(np.full(len(hit), x))
-                        b.append(hit)
-                        n += len(hit)
-                        if n > block:
-                            yield _pairs(rep, own, a, b)
-                            a, b, n = [], [], 0
-            yield _pairs(rep, own, a, b)
+                order, places = _apart(component[i:j])
+                at = order + i
+                for x, end in places:
+                    hit = at[end:][(sigs[at[end:]] == sigs[at[x]]).sum(1) >= least]
+                    hit = hit[(bands[hit] == bands[at[x]]).argmax(1) == key[i] >> 32]
+                    keep[hit] = True
+                    keep[at[x]] |= len(hit) > 0
+            yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (key, rep, own, component)], names=["list", "doc", "own", "component"])
         A.trim()
 
     return of
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b) of the pairs whose sets of shingles have at least that similarity (shared by all of both)."""
+def set_links(similarity: float):
+    """Reads entries with their shingles, sorted by list; links those of a list that are in different components and have at
+    least that similarity. One entry is held against all others at once."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, doc, component, shingles in _groups(batches):
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, j in _bounds(key) if len(key) else ():
+                order, places = _apart(component[i:j])
+                at = order + i
+                sets = [np.frombuffer(x, np.uint64) for x in shingles[at].tolist()]
+                first = np.cumsum([0, *map(len, sets)])
+                codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+                has = np.zeros(int(first[-1]), bool)
+                for x, end in places:
+                    own = codes[first[x] : first[x + 1]]
+                    has[own] = True
+                    upto = np.append(0, np.cumsum(has[codes[first[end] :]]))
+                    has[own] = False
+                    shared = np.diff(upto[first[end:] - first[end]])
+                    hit = np.flatnonzero(shared >= similarity * (len(own) + np.diff(first[end:]) - shared) - 1e-9)
+                    a.append(np.full(len(hit), at[x]))
+                    b.append(at[end:][hit])
+            x, y = np.concatenate(a), np.concatenate(b)
+            low = roots(x, y, len(key))
+            linked = np.flatnonzero(low != np.arange(len(key)))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[linked]), pa.array(doc[low[linked]])], names=["a", "b"])
+            A.trim()
+
+    return of
+
+
+def shingle_sets(docs: DataFrame, keys: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """(key, shingles, uses) of the documents that keys names, in rows of (doc, own), and bytes of such a row."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,6 +335,17 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(told), pa.array([h.tobytes() for h, _ in own], pa.binary())], names=["doc", "own", "shingles"])
             A.trim()
 
+    wanted = written(keys.groupBy(F.struct("doc", "own").alias("key")).agg(F.count("*").alias("uses")), "near-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = only_ids(texts, wanted.select(F.col("key.doc").alias("doc_id")).distinct(), "left_semi")
+    found = texts.mapInArrow(sets, "doc long, own long, shingles binary").groupBy(F.struct("doc", "own").alias("key")).agg(F.first("shingles").alias("shingles"))
+    found = written(found.join(wanted, "key"), "near-shingles")
+    return found, 64 + int(found.agg(F.avg(F.octet_length("shingles"))).first()[0] or 0)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b) of the pairs whose sets of shingles have at least that similarity (shared by all of both)."""
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -323,13 +357,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
         A.trim()
 
-    keyed = pairs.select("a", "b", F.struct(F.col("a").alias("doc"), F.col("da").alias("own")).alias("ka"), F.struct(F.col("b").alias("doc"), F.col("db").alias("own")).alias("kb"))
-    wanted = written(keyed.select("ka").union(keyed.select("kb")).groupBy(F.col("ka").alias("key")).agg(F.count("*").alias("uses")), "near-wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = only_ids(texts, wanted.select(F.col("key.doc").alias("doc_id")).distinct(), "left_semi")
-    found = texts.mapInArrow(sets, "doc long, own long, shingles binary").groupBy(F.struct("doc", "own").alias("key")).agg(F.first("shingles").alias("shingles"))
-    found = written(found.join(wanted, "key"), "near-shingles")
-    size = 64 + int(found.agg(F.avg(F.octet_length("shingles"))).first()[0] or 0)
+    keyed = pairs.select("a", "b", *[F.struct(F.col(c).alias("doc"), F.col(f"d{c}").alias("own")).alias(f"k{c}") for c in "ab"])
+    found, size = shingle_sets(docs, keyed.select("ka.*").union(keyed.select("kb.*")), words)
     both, total = keyed, pairs.count()
     for side in "ab":
         both = attach(both, found.select(F.col("key").alias(f"k{side}"), F.col("shingles").alias(f"s{side}"), "uses"), f"k{side}", "uses", total, size).drop("uses")
@@ -359,10 +388,11 @@ def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     of = known.join(low, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     posted = of.mapInArrow(_bands, "key long, sig binary, rep long, component long")
     posted = posted.join(checked_broadcast(found.where("key IS NOT NULL").select("key"), 24), "key", "left_semi")
-    rest = posted.repartition("key").sortWithinPartitions("key").mapInArrow(other_pairs(least), schema).distinct()
-    rest = written(rest.join(first, PAIR, "left_anti"), "near-pairs")
+    rest = written(posted.repartition("key").sortWithinPartitions("key").mapInArrow(unlinked(least), "list long, doc long, own long, component long"), "near-unlinked")
     if rest.head(1):
-        links = links.union(written(verified(docs, rest, words, similarity), "near-links"))
+        found, size = shingle_sets(docs, rest.select("doc", "own"), words)
+        rest = attach(rest.withColumn("key", F.struct("doc", "own")), found, "key", "uses", rest.count(), size).select("list", "doc", "component", "shingles")
+        links = links.union(written(rest.repartition("list").sortWithinPartitions("list").mapInArrow(set_links(similarity), "a long, b long"), "near-links"))
         low = components(links, "a", "b").withColumnRenamed("node", "rep")
     named = written(entries.join(low, "rep", "left").select("sig", "copies", F.coalesce("component", "rep").alias("component_id")), "named")
     return attach(sigs, named, "sig", "copies", sigs.count(), 168).select("doc_id", "component_id")

@@ -217,6 +217,35 @@ def test_minwise_bytes_share_the_similarity():
 # Substring
 
 
+def test_long_lists_are_compared_in_full():
+    """A list of over 2,048 near-copies alike in 15 bands, one of which has a band 15 of its own."""
+    n = 2100
+    sigs = np.zeros((n, simhash.BYTES + 8), np.uint8)
+    sigs[:, 64:68] = np.arange(n, dtype="<u4").view(np.uint8).reshape(-1, 4)
+    sigs[:, simhash.BYTES :] = np.arange(n, dtype="<i8").view(np.uint8).reshape(-1, 8)
+    sigs[7, 60:64] = 9
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array([x.tobytes() for x in sigs]), pa.array(np.arange(n))], names=["key", "sig", "rep"])
+    (out,) = simhash.first_pairs(85)(iter([batch]))
+    a, b = (out.column(i).drop_null().to_numpy() for i in (0, 1))
+    assert not graph.roots(a, b, n).any() and out.column(4).drop_null().to_pylist() == [0]
+    # What these links leave apart is held against all others that are like it.
+    apart = pa.array(np.where(np.arange(n) == 7, 7, 0))
+    (rest,) = simhash.unlinked(85)(iter([pa.RecordBatch.from_arrays([*batch.columns, apart], names=["key", "sig", "rep", "component"])]))
+    assert rest.column(1).to_pylist() == list(range(n))
+
+
+def test_links_of_sets_are_those_of_brute_force():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.choice(24, int(rng.integers(14, 24)), replace=False)).astype(np.uint64) for _ in range(60)]
+    part = rng.integers(0, 12, 60)
+    cols = [pa.array(np.zeros(60, np.int64)), pa.array(np.arange(60)), pa.array(part), pa.array([s.tobytes() for s in sets], pa.binary())]
+    (out,) = simhash.set_links(0.8)(iter([pa.RecordBatch.from_arrays(cols, names=["list", "doc", "component", "shingles"])]))
+    pairs = [(i, j) for i in range(60) for j in range(i) if part[i] != part[j] and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    a, b = np.array(pairs).T
+    got = graph.roots(out.column(0).to_numpy(), out.column(1).to_numpy(), 60)
+    assert len(pairs) > 20 and (graph.roots(a, b, 60) == got).all() and len(set(got.tolist())) > 3
+
+
 def brute_chain(x, y, k, cost):
     """Best score of a chain that ends at each match."""
     f = []

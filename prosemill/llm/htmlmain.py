@@ -3,8 +3,9 @@
 A token is a structural tag in its place: the path of containers above it with their classes. Across the pages of a
 host, tokens with the same occurrence vector (how often in which page) form an equivalence class. Vectors are compared
 by two linear hashes, sums over pages of page hash times count, so they are aggregated like any sum and no page list
-is gathered. Classes met in at least half of the host's pages are valid; the class whose vector is one for each page
-frames the pages, other valid classes nest in its slots by their paths. What stands between template tokens is a slot.
+is gathered. Classes met in at least half of the host's pages are valid; the tokens met once in each page but one, or but
+a tenth of them, frame the pages (pages without tags or text don't count), other valid classes nest in its slots by their
+paths. What stands between template tokens is a slot.
 Slots under the frame's article are the main text; without one, all slots count that are neither in boilerplate
 containers nor, over all pages of the host, mostly links.
 """
@@ -98,7 +99,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial sums for each host and token: occurrences, pages, two hashes of the vector, place, text, linked text."""
-    names = ["host", "token", "n", "pages", "h1", "h2", "place", "text", "linked"]
+    names = ["host", "token", "n", "pages", "once", "h1", "h2", "place", "text", "linked"]
     for batch in batches:
         sums: dict[tuple[str, str], list[int]] = {}
         for host, page_id, page in zip(*(c.to_pylist() for c in batch.columns)):
@@ -110,14 +111,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     x[3] += linked
                 else:
                     x[0] += 1
+            own[""][0] = int(len(own) > 1)
             h = xxhash.xxh64_intdigest(str(page_id))
             h1, h2 = h & 0x7FFFFFFF, h >> 33
             for token, (n, place, text, linked) in own.items():
-                x = sums.setdefault((host, token), [0] * 7)
-                for i, v in enumerate((n, 1, n * h1, n * h2, place, text, linked)):
+                x = sums.setdefault((host, token), [0] * 8)
+                for i, v in enumerate((n, 1, int(n == 1), n * h1, n * h2, place, text, linked)):
                     x[i] += v
         rows = [(*k, *v) for k, v in sums.items()]
-        types = [pa.string()] * 2 + [pa.int64()] * 7
+        types = [pa.string()] * 2 + [pa.int64()] * 8
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
 
@@ -127,17 +129,17 @@ def templates(pages: DataFrame) -> DataFrame:
     Tokens below half of a host's pages are left out before anything is gathered, so a template has at most twice as
     many tokens as a page of the host has on average.
     """
-    schema = "host string, token string, n long, pages long, h1 long, h2 long, place long, text long, linked long"
-    cols = ("n", "pages", "h1", "h2", "place", "text", "linked")
+    schema = "host string, token string, n long, pages long, once long, h1 long, h2 long, place long, text long, linked long"
+    cols = ("n", "pages", "once", "h1", "h2", "place", "text", "linked")
     sums = pages.select("host", "page_id", "html").mapInArrow(_counts, schema).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in cols])
     sums = written(sums, "html-tokens")
-    total = sums.where("token = ''").select("host", F.col("pages").alias("of"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
+    total = sums.where("token = ''").select("host", F.col("pages").alias("size"), F.col("n").alias("of"))
     valid = sums.where("token <> '' AND n > 0").join(total, "host").where("2 * pages >= of")
-    # The frame: exactly once in each page, that is, the vector of the page itself.
-    frame = ((F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).alias("frame")
+    # The frame: exactly once in each page that has anything, but for one odd page or a tenth of them.
+    frame = (F.expr("of - once <= greatest(1, of div 10)") & (2 * F.col("once") >= F.col("of"))).alias("frame")
     entry = F.struct((F.col("place") / F.col("pages")).alias("at"), "token", frame, F.xxhash64("h1", "h2", "pages").alias("class"), "text", "linked")
     classes = valid.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("template"))
-    return total.join(classes, "host", "left").select("host", F.col("of").alias("pages"), "template")
+    return total.join(classes, "host", "left").select("host", F.col("size").alias("pages"), "template")
 
 
 class Template:

@@ -250,6 +250,17 @@ def test_html_extraction(spark):
         assert rows[i]["text"] == "\n\n".join(p for p in want if p) and rows[i]["n_chars"] == len(rows[i]["text"])
 
 
+def test_odd_pages_leave_the_frame(spark):
+    """An empty page, one without article or one with two take neither the frame nor the titles from the other pages."""
+    page = "<body><div class=c7>side {0}</div><article><header><h1>Title {0}</h1></header><p>Text {0} of it.</p></article></body>"
+    good = [(i, f"http://h.org/{i}", page.format(i)) for i in range(20)]
+    for odd in ("", None, "<body><div>an index</div></body>", page.format(99).replace("</body>", "<article><p>More</p></article></body>")):
+        rows = spark.createDataFrame([*good, (99, "http://h.org/99", odd)], "page_id long, url string, html string")
+        got = {r["page_id"]: r["text"] for r in htmlmain.main_text(rows).collect()}
+        assert all(got[i] == f"Title {i}\n\nText {i} of it." for i in range(20)), got
+        assert bool(got[99]) == bool(odd)
+
+
 def test_sharding(spark, docs):
     rows = QUERIES["op5_hilbert_sharding"](spark, SF).collect()
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {i: (len(t.encode()) + 16, zlib.crc32(t.encode())) for i, t in docs.items()}

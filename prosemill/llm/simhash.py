@@ -370,7 +370,7 @@ def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
     Candidates are told by 128 positional bytes (standard error 0.035): pairs that share the expected number less four
     standard errors, and four bytes in a row. Each one is verified by its shingles or in one group by other links; of
-    pairs at that very similarity 1 in 4,000 is no candidate. A text without words is linked to nothing but other such
+    pairs at that very similarity 1 in 3,300 is no candidate (by the binomial law). A text without words is linked to nothing but other such
     texts.
     """
     tune(docs.sparkSession)

@@ -32,11 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends here, and a lost executor costs no recomputation."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Writes df to the shared folder and reads it back: lineage ends here, and a lost executor costs no recomputation.
+
+    With by, the table is partitioned by these columns, so that a test on them reads the files of its values alone.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/prosemill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -190,6 +190,62 @@ def test_language_on_awkward_rows(spark):
     assert {r["doc_id"]: r["n_tokens"] for r in rows}[1] == 1
 
 
+def plain_score(text, w, class_of, share, counts, total):
+    """The log10 probability of a text, symbol by symbol and word by word, with loops."""
+    enc, symbols, words = packing.encoding(), [], []
+    for word in words_of(text):
+        ids = enc.encode_ordinary(" " + word.decode())
+        symbols += [2 * i for i in ids[:-1]] + [2 * ids[-1] + 1]
+        words.append((word, len(ids)))
+    symbols.append(attention.END)
+    words.append((None, 1))
+    logs = []
+    for i, s in enumerate(symbols):
+        first = i // attention.STEP * attention.STEP - attention.CONTEXT - 1  # of the window: what stands before its places
+        before = [class_of[symbols[j]] if j >= 0 else class_of[attention.END] for j in range(first, i)]
+        h = np.array([w["E"][c] + (w["F"][before[j - 1]] if j > 0 else 0) + (w["H"][before[j - 2]] if j > 1 else 0) for j, c in enumerate(before)], float)
+        a = np.exp((h[-1] @ w["Q"]) @ (h @ w["K"]).T)
+        y = h[-1] + (a / a.sum()) @ (h @ w["V"]) @ w["O"]
+        z = y + np.maximum(y @ w["A"] + w["a"], 0) @ w["B"]
+        group, member = divmod(int(class_of[s]), attention.MEMBERS)
+        own = slice(group * attention.MEMBERS, (group + 1) * attention.MEMBERS)
+        top, low_ = w["G"] @ z + w["g"], w["M"][own] @ z + w["m"][own]
+        logs.append(top[group] - math.log(sum(map(math.exp, top))) + low_[member] - math.log(sum(map(math.exp, low_))) + share[s])
+    out, at, n_words = 0.0, 0, len(counts)
+    rest = attention.ALPHA + (1 - attention.ALPHA) * attention.DISCOUNT * n_words / total
+    for word, n in words:
+        seen = (1 - attention.ALPHA) * max(counts.get(word, 0) - attention.DISCOUNT, 0) / total
+        out += math.log10(math.exp(sum(logs[at : at + n])) * rest + seen)
+        at += n
+    return out
+
+
+@pytest.mark.parametrize("held", [0, 64, 1 << 20])
+def test_language_scores_by_brute_force(spark, monkeypatch, held):
+    """Counts held by the tasks, joined ones, and some of both give the score that loops give."""
+    monkeypatch.setattr(attention, "HELD_WORDS", held)
+    rng = np.random.default_rng(4)
+    rows = [(i, t) for i, t in enumerate(["", None, "the cat sat on the mat " * 9, "The Cat, ünï 漢字 x.", "of of of zzzz zzzz the", *(" ".join(f"v{int(x * x)}" for x in rng.integers(0, 12, 40)) for _ in range(20))])]
+    counts = Counter(x for i, t in rows if i % 3 for x in [*words_of(t), None])
+    total = sum(counts.values())
+    h = lambda x: attention.END_HASH if x is None else int(np.array(xxhash.xxh64_intdigest(x), np.uint64).view(np.int64))
+    class_of = rng.integers(0, attention.CLASSES, attention.SYMBOLS)
+    share = rng.random(attention.SYMBOLS) - 3
+    w = {k: v * np.float32(0.7) for k, v in attention.initial(5).items()}
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([(h(x), n) for x, n in counts.items()], "key long, n long")
+    got = {r["doc_id"]: r for r in attention.scored(own, table, w, class_of, share, total, len(counts)).collect()}
+    for i, t in rows:
+        assert got[i]["score"] == pytest.approx(plain_score(t, w, class_of, share, counts, total), rel=1e-4)
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[x] + 0.1) / (total + 0.1 * (len(counts) + 1))) for x in [*words_of(t), None]))
+        assert got[i]["n_known"] == sum(counts[x] > 0 for x in [*words_of(t), None])
+
+
+def test_held_out_scores_beat_the_base(spark):
+    rows = QUERIES["op9_attention_scores"](spark, SF.replace("0.001", "0.01")).where("held_out").agg(*[F.sum(c).alias(c) for c in ("score", "base_score", "n_tokens")]).first()
+    assert rows["score"] > rows["base_score"] + 0.05 * rows["n_tokens"]
+
+
 def test_pages_awkward(spark):
     rows = [(1, None, "<p>x"), (2, "http://h.org/a", None), (3, "http://h.org/b", ""), (4, "http://H.org/c", "<nav>n</nav><p>" + "y " * 50_000), (4, "http://H.org/c", "<p>&nbsp;a&lt;b")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": F.lit(1), "text": F.lit(2), "template": F.lit(3)})

@@ -361,7 +361,7 @@ def test_fast_path_is_the_model():
 
 def test_spelling_of_words_in_one_text():
     words = ["the", "can't", "'s", "\u00a0x", "x\u00a0", "\u00a0", "漢字", "a,b.c!!", "12345", "\u2003y", "thntblere"]
-    ids, n = M.spelled(words * 3)
+    ids, n = M.spelled([w.encode() for w in words * 3])
     want = [packing.encoding().encode_ordinary(" " + w) for w in words * 3]
     assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 

@@ -1,8 +1,9 @@
 """Packing token sequences by bounded-space online best fit.
 
 Texts are cut into chunks (white space and the word after it), each distinct chunk of a batch is tokenised once, and
-ids are gathered by chunk: the pattern of the byte-level tokenizer never joins a word to what stands behind it, so the
-ids are those of the whole text. A fixed number of bins is open at a time; a bitset keyed by free space gives the bin
+ids are gathered by chunk: the pattern of the byte-level tokenizer never joins a character that isn't white space (in
+Unicode's sense) to white space behind it, and cuts are made only there and around special tokens, so the ids are those
+of the whole text. A fixed number of bins is open at a time; a bitset keyed by free space gives the bin
 that an item fills best. When all bins are open and none fits, the fullest one closes first.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,8 @@ OPEN, PACKED, WAVE = 4096, 200_000, 8192
 #: Arrow batches; ids and their places take several numbers for each token.
 BATCH_MB = 4
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Strings of a text that the tokenizer of this vocabulary takes as one token.
+SPECIALS = {b"<|endoftext|>": 50256}
 
 
 @lru_cache(maxsize=4)
@@ -42,13 +45,42 @@ def encoding(name: str = VOCABULARY):
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks: a run of white space with the word after it. Starts, ends, and the first chunk of each document (len+1)."""
+def _after_wide_space(data: np.ndarray) -> np.ndarray:
+    """Places behind a white-space character that isn't ASCII (U+0085, A0, 1680, 2000-200A, 2028, 2029, 202F, 205F, 3000)."""
+    found = []
+    for lead, size in ((0xC2, 2), (0xE1, 3), (0xE2, 3), (0xE3, 3)):
+        at = np.flatnonzero(data[: len(data) - size + 1] == lead)
+        one, two = data[at + 1], data[at + size - 1]
+        if lead == 0xC2:
+            ok = (one == 0x85) | (one == 0xA0)
+        elif lead == 0xE1:
+            ok = (one == 0x9A) & (two == 0x80)
+        elif lead == 0xE2:
+            ok = (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF)) | (one == 0x81) & (two == 0x9F)
+        else:
+            ok = (one == 0x80) & (two == 0x80)
+        found.append(at[ok] + size)
+    return np.concatenate(found)
+
+
+def chunk_spans(data: np.ndarray, offsets: np.ndarray, specials: Iterable[bytes] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks: a run of white space with the word after it, or a special token. Starts, ends, and the first chunk of each
+    document (len+1)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     space = A.SPACE[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[1:-1] = space[1:] & ~space[:-1]
+    cut[_after_wide_space(data)] = False
+    raw = data.tobytes() if specials else b""
+    for special in specials:
+        at = raw.find(special)
+        while at >= 0:
+            # One that lies across two documents isn't one.
+            if offsets[np.searchsorted(offsets, at, side="right")] >= at + len(special):
+                cut[[at, at + len(special)]] = True
+                at += len(special) - 1
+            at = raw.find(special, at + 1)
     cut[offsets] = True
     starts = np.flatnonzero(cut[:-1])
     return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
@@ -56,10 +88,10 @@ def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def token_ids(data: np.ndarray, offsets: np.ndarray, name: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch of texts, and where each text's ids start (len+1)."""
-    starts, ends, first = chunk_spans(data, offsets)
+    starts, ends, first = chunk_spans(data, offsets, SPECIALS)
     codes, distinct = A.word_codes(data, starts, ends)
     encode = encoding(name).encode_ordinary
-    ids = [encode(x) for x in distinct.cast(pa.large_string()).to_pylist()]
+    ids = [[SPECIALS[x]] if x in SPECIALS else encode(x.decode()) for x in distinct.to_pylist()]
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
     at = np.cumsum(lengths) - lengths

@@ -8,10 +8,12 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from conftest import SF  # noqa: E402
@@ -20,6 +22,7 @@ from prosemill.llm import attention, exactdedup, hilbert, htmlmain, linededup, m
 from prosemill.llm.arrowtext import LOWER, SPACE_BYTES  # noqa: E402
 from prosemill.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 low = lambda t: (t or "").encode().translate(LOWER)
 words_of = lambda t: low(t).split()
 
@@ -125,13 +128,14 @@ def check_packing(rows, capacity):
 
 
 def test_packing_awkward_rows(spark):
-    rows = packing.packed(awkward(spark), 256, 2, with_ids=True).collect()
-    enc, got = packing.encoding(), defaultdict(list)
+    every = [*AWKWARD, (13, "\u00a0 \u00a0 \u00a0  z <|endoftext|> a", "fr", "a")]
+    rows = packing.packed(awkward(spark, every), 256, 2, with_ids=True).collect()
+    got = defaultdict(list)
     for r in rows:
         assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
         got[r["doc_id"]].append((r["piece"], r["start"], r["ids"]))
-    for i, t, *_ in AWKWARD:
-        ids = enc.encode_ordinary(t or "") + [2]
+    for i, t, *_ in every:
+        ids = TOKENIZER.encode(t or "", add_special_tokens=False).ids + [2]
         own = sorted(got[i])[:: 2 if i == 4 else 1]
         assert [x for _, _, p in own for x in p] == ids and all(len(p) == 256 for n, _, p in own if n)
     bins = defaultdict(list)
@@ -330,13 +334,22 @@ def test_sharding(spark, docs):
 
 
 def test_packing(spark, docs):
+    """Each piece against the tokenizer's ids of the whole text."""
     rows = QUERIES["op7_best_fit_packing"](spark, SF).collect()
-    bins = defaultdict(list)
+    bins, pieces = defaultdict(list), defaultdict(list)
     for r in rows:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
+        pieces[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
     check_packing(bins, 1024)
-    total = sum(r["length"] for r in rows)
-    assert total == sum(len(packing.encoding().encode_ordinary(t)) + 1 for t in docs.values())
+    assert set(pieces) == set(docs)
+    total = 0
+    for i, t in docs.items():
+        ids, at = np.array([*TOKENIZER.encode(t or "", add_special_tokens=False).ids, 2], "<u4"), 0
+        total += len(ids)
+        for k, (piece, start, length, crc) in enumerate(sorted(pieces[i])):
+            assert (piece, start, crc) == (k, at, zlib.crc32(ids[at : at + length].tobytes())) and (length == 1024 or k == 0)
+            at += length
+        assert at == len(ids)
     assert len(bins) <= 1.02 * -(-total // 1024) + 1
 
 
@@ -440,7 +453,7 @@ def test_pipeline(spark, docs):
         if i == len(P.STAGES) - 1:
             wanted = Counter()
             for r in before.collect():
-                wanted[r["doc_id"]] += len(packing.encoding().encode_ordinary(r["text"])) + 1
+                wanted[r["doc_id"]] += len(TOKENIZER.encode(r["text"], add_special_tokens=False).ids) + 1
             got = Counter()
             for r in out.collect():
                 got[r["doc_id"]] += r["length"]

@@ -6,11 +6,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from prosemill.llm import arrowtext as A
 from prosemill.llm import attention as M
@@ -18,6 +20,7 @@ from prosemill.llm import graph, hilbert, htmlmain, mixing, packing, quality, si
 from prosemill.llm.exactdedup import CountingQuotientFilter
 from prosemill.llm.linededup import CuckooFilter
 
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 TEXTS = ["", None, "  ", "a", "Über  ALLES\tzwei\nDrei ", "x\x0by\x0cz\r\n", "é" * 40, " lead", "trail ", "a b a b", " nbsp word "]
 
 
@@ -325,6 +328,18 @@ def test_gradients():
         assert (M.gradients(up, x, t, weight)[0] - M.gradients(down, x, t, weight)[0]) / 0.02 == pytest.approx(g[k][at], rel=0.02)
 
 
+PIECES = ["a", "word", "'s", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\u0085", "\u1680", "\u2028", "\u202f", "\u200b", "\x1f", "\x0b", "é", "漢字", "12", "!?", "<|endoftext|>", "<|endof", "text|>", "€"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join) | st.text(max_size=20), max_size=6))
+def test_ids_are_those_of_the_tokenizer(texts):
+    """For special tokens, mixed white space and texts side by side in a batch."""
+    data, at = A.buffers(pa.array(texts, pa.string()))
+    ids, first = packing.token_ids(data, at)
+    assert [ids[i:j].tolist() for i, j in zip(first, first[1:])] == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_windows_score_each_symbol_once():
     lengths = [1, 5, 24, 25, 100]
     at = np.concatenate([[0], np.cumsum(lengths)])

@@ -1,13 +1,18 @@
 """Main text of web pages by template deduction from equivalence classes.
 
-A token is a structural tag in its place: the path of containers above it with their classes. Across the pages of a
-host, tokens with the same occurrence vector (how often in which page) form an equivalence class. Vectors are compared
-by two linear hashes, sums over pages of page hash times count, so they are aggregated like any sum and no page list
-is gathered. Classes met in at least half of the host's pages are valid; the tokens met once in each page but one, or but
-a tenth of them, frame the pages (pages without tags or text don't count), other valid classes nest in its slots by their
-paths. What stands between template tokens is a slot.
-Slots under the frame's article are the main text; without one, all slots count that are neither in boilerplate
-containers nor, over all pages of the host, mostly links.
+Tokens are of two kinds: a structural tag in its place (the path of containers down to it, with their classes), and a
+block of text in its place. Across the pages of a host, tokens with the same occurrence vector (how often in which page)
+form an equivalence class. Vectors are compared by two linear hashes, sums over pages of page hash times count, so they
+are aggregated like any sum and no page list is gathered. A class is valid if at least half of the host's pages have it
+(text: four pages at least) and if it nests: its tokens stand in order, and beside any valid class of more pages it lies
+within one gap, or that class within one of its gaps. Nested in this way the valid classes are the host's template. The
+texts of the template go; what stands between its tokens are slots.
+
+The tags met once in each page but one, or but a tenth of them, frame the pages (pages without tags or text don't
+count). Slots under the frame's article are the main text; without one, all slots count. In both cases slots in
+boilerplate elements and, outside an article, in places that are mostly links over all pages of the host are left out.
+Texts that change from page to page (adverts, comments) are told by their element, and where that is a mere div by the
+words of its class, if it holds less than half of the host's text.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
@@ -49,9 +56,17 @@ def _token(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(names)])
 
 
-def _boilerplate(element: str) -> bool:
-    tag, *names = element.split(".")
-    return tag in BOILERPLATE or any(n in BOILERPLATE_WORDS for n in names)
+def _told_by_tag(element: str) -> bool:
+    return element.split(".", 1)[0] in BOILERPLATE
+
+
+def _told_by_words(element: str) -> bool:
+    return any(n in BOILERPLATE_WORDS for n in element.split(".")[1:])
+
+
+def text_token(path: tuple[str, ...], text: str) -> str:
+    """The token of a block of text: no path begins with its mark."""
+    return "#" + xxhash.xxh3_64_hexdigest("\n".join([*path, "", text]).encode())
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
@@ -104,11 +119,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, str], list[int]] = {}
         for host, page_id, page in zip(*(c.to_pylist() for c in batch.columns)):
             own: dict[str, list[int]] = {"": [1, 0, 0, 0]}
-            for k, (path, text, linked) in enumerate(blocks(page or "")):
-                x = own.setdefault("/".join(path), [0, k, 0, 0])
+            found = list(blocks(page or ""))
+            for k, (path, text, linked) in enumerate(found):
+                # Places in thousandths of the page, so that pages of any length are alike.
+                x = own.setdefault("/".join(path), [0, 1000 * k // len(found), 0, 0])
                 if text:
                     x[2] += len(text)
                     x[3] += linked
+                    x = own.setdefault(text_token(path, text), [0, 1000 * k // len(found), 0, 0])
+                    x[0] += 1
+                    x[2] += len(text)
                 else:
                     x[0] += 1
             own[""][0] = int(len(own) > 1)
@@ -123,8 +143,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
 
+#: Pages that a text must be on to belong to a template: on fewer, copies of an article would look like one.
+TEXT_PAGES = 4
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, pages, template): for each host its valid classes in page order, as JSON; pages: host, page_id, html.
+    """(host, pages, template): for each host the tokens of valid support in page order, as JSON; pages: host, page_id, html.
 
     Tokens below half of a host's pages are left out before anything is gathered, so a template has at most twice as
     many tokens as a page of the host has on average.
@@ -132,41 +156,133 @@ def templates(pages: DataFrame) -> DataFrame:
     schema = "host string, token string, n long, pages long, once long, h1 long, h2 long, place long, text long, linked long"
     cols = ("n", "pages", "once", "h1", "h2", "place", "text", "linked")
     sums = pages.select("host", "page_id", "html").mapInArrow(_counts, schema).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in cols])
-    sums = written(sums, "html-tokens")
+    is_text = F.col("token").startswith("#")
+    sums = written(sums.where(~is_text | (F.col("pages") >= TEXT_PAGES)), "html-tokens")
     total = sums.where("token = ''").select("host", F.col("pages").alias("size"), F.col("n").alias("of"))
     valid = sums.where("token <> '' AND n > 0").join(total, "host").where("2 * pages >= of")
     # The frame: exactly once in each page that has anything, but for one odd page or a tenth of them.
-    frame = (F.expr("of - once <= greatest(1, of div 10)") & (2 * F.col("once") >= F.col("of"))).alias("frame")
-    entry = F.struct((F.col("place") / F.col("pages")).alias("at"), "token", frame, F.xxhash64("h1", "h2", "pages").alias("class"), "text", "linked")
+    frame = (~is_text & F.expr("of - once <= greatest(1, of div 10)") & (2 * F.col("once") >= F.col("of"))).alias("frame")
+    entry = F.struct((F.col("place") / F.col("pages")).alias("at"), "token", frame, F.xxhash64("h1", "h2", "pages").alias("class"), "pages", "of", "text", "linked")
     classes = valid.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("template"))
     return total.join(classes, "host", "left").select("host", F.col("size").alias("pages"), "template")
 
 
+@dataclass
+class Class:
+    """Tokens that share an occurrence vector, in page order, with the classes nested in the gaps between them."""
+
+    pages: int
+    places: list[float] = field(default_factory=list)
+    tokens: list[str] = field(default_factory=list)
+    text: int = 0  # characters of its texts, over all pages
+    inside: dict[int, list[Class]] = field(default_factory=dict)
+
+    def gap(self, other: Class) -> int | None:
+        """The gap (0: before the first token) that all of the other class lies in."""
+        low, high = bisect_left(self.places, other.places[0]), bisect_right(self.places, other.places[-1])
+        return low if low == high else None
+
+
+def nested(tokens: list[dict]) -> Class:
+    """The template: classes put into each other from the most pages and tokens on; those that cross a valid one are left out."""
+    found: dict[int, Class] = {}
+    for t in tokens:  # in page order
+        own = found.setdefault(t["class"], Class(t["pages"]))
+        own.places.append(t["at"])
+        own.tokens.append(t["token"])
+        own.text += t["text"] * t["token"].startswith("#")
+    root = Class(0)
+    for own in sorted(found.values(), key=lambda c: (-c.pages, -len(c.tokens), c.tokens)):
+        at = root
+        while True:
+            gap = at.gap(own) if at.tokens else 0
+            if gap is None:
+                break
+            beside = at.inside.setdefault(gap, [])
+            around = next((c for c in beside if c.gap(own) is not None and c.places[0] < own.places[0] and own.places[-1] < c.places[-1]), None)
+            if around:
+                at = around
+                continue
+            apart = all(own.places[-1] <= c.places[0] or c.places[-1] <= own.places[0] or own.gap(c) is not None for c in beside)
+            if apart:
+                beside.append(own)
+            break
+    return root
+
+
+def _classes(template: Class) -> Iterator[Class]:
+    todo = [template]
+    while todo:
+        own = todo.pop()
+        yield own
+        todo += [c for inside in own.inside.values() for c in inside]
+
+
 class Template:
     """The slots of a host that hold main text."""
 
     def __init__(self, template: str | None):
         self.main: dict[str, bool] = {}
         tokens = json.loads(template) if template else []
+        of = tokens[0]["of"] if tokens else 0
+        whole = nested(tokens)
+        tokens = [t for t in tokens if not t["token"].startswith("#")]
+        self.all = sum(t["text"] for t in tokens)
+        # The template's texts; a class with half of a page's text or more is an article that many pages have. In an
+        # article only what nearly all of many pages say alike.
+        self.fixed, self.fixed_inside = set(), set()
+        for c in _classes(whole):
+            if c.text and 2 * c.text * of < self.all * c.pages:
+                self.fixed.update(c.tokens)
+                if of >= 10 and 10 * c.pages >= 9 * of:
+                    self.fixed_inside.update(c.tokens)
         framed = [t["token"].split("/") for t in tokens if t["frame"]]
         tops = ["/".join(p) for p in framed if p[-1].split(".")[0] in CONTENT or "main" in p[-1].split(".")[1:]]
         # Of nested content elements the innermost that frames the page: an article inside main.
         inner = [t for t in tops if t.rsplit("/", 1)[-1].startswith("article")] or tops
-        self.content = [t for t in inner if not any(_boilerplate(e) for e in t.split("/"))]
+        self.content = [t for t in inner if not any(_told_by_tag(e) or _told_by_words(e) for e in t.split("/"))]
         self.links = {t["token"] for t in tokens if 2 * t["linked"] > t["text"] > 0}
+        # Text under each place, over all pages of the host.
+        self.mass: dict[str, int] = {}
+        for t in tokens:
+            path = t["token"].split("/")
+            for k in range(1, len(path) + 1 if t["text"] else 0):
+                top = "/".join(path[:k])
+                self.mass[top] = self.mass.get(top, 0) + t["text"]
+
+    def _boilerplate(self, path: tuple[str, ...], start: int, in_content: bool) -> bool:
+        """Told by one of the elements from start on; a header in an article holds its title."""
+        for k in range(start, len(path)):
+            header = in_content and path[k].split(".", 1)[0] == "header"
+            if _told_by_tag(path[k]) and not header:
+                return True
+            words = [n for n in path[k].split(".")[1:] if n in BOILERPLATE_WORDS and not (in_content and n == "header")]
+            if words and 2 * self.mass.get("/".join(path[: k + 1]), 0) < max(1, self.all):
+                return True
+        return False
+
+    def _content(self, token: str) -> str | None:
+        return next((t for t in self.content if token == t or token.startswith(t + "/")), None)
+
+    def _says(self, path: tuple[str, ...], text: str) -> bool:
+        """The text is the template's."""
+        if not self.fixed:
+            return False
+        fixed = self.fixed_inside if self._content("/".join(path)) else self.fixed
+        return text_token(path, text) in fixed
 
     def keeps(self, path: tuple[str, ...]) -> bool:
         token = "/".join(path)
         if token not in self.main:
-            top = next((t for t in self.content if token == t or token.startswith(t + "/")), None)
+            top = self._content(token)
             if top is not None:
-                self.main[token] = not any(_boilerplate(e) for e in path[top.count("/") + 1 :] if not e.startswith("header"))
+                self.main[token] = not self._boilerplate(path, top.count("/") + 1, True)
             else:
-                self.main[token] = not self.content and not any(map(_boilerplate, path)) and token not in self.links
+                self.main[token] = not self.content and not self._boilerplate(path, 0, False) and token not in self.links
         return self.main[token]
 
     def text(self, page: str) -> str:
-        found = [(p, t) for p, t, _ in blocks(page) if t]
+        found = [(p, t) for p, t, _ in blocks(page) if t and not self._says(p, t)]
         out = [t for p, t in found if self.keeps(p)]
         if not out and self.content:  # this page lacks the host's frame
             own = Template(None)
@@ -179,8 +295,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     A null or empty html gives an empty text, as does a page of boilerplate alone. Pages without a host share the host
-    ''. Repeated rows are pages of their own. A host with one page has that page's own tags as its template. An empty
-    table gives no rows; other columns are ignored.
+    ''. Repeated rows are pages of their own. A host with fewer than four pages has no text in its template. Tokens at
+    the same place (ties) stand in the order of their names. Texts of any length are whole tokens. An empty table gives
+    no rows; other columns are ignored.
     """
     tune(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))

@@ -310,6 +310,34 @@ def test_html_extraction(spark):
         assert rows[i]["text"] == "\n\n".join(p for p in want if p) and rows[i]["n_chars"] == len(rows[i]["text"])
 
 
+def extracted(spark, pages):
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in htmlmain.main_text(rows).collect()}
+
+
+@pytest.mark.parametrize("n", [4, 6, 40])
+def test_template_of_divs(spark, n):
+    """No article, no telling class: what all pages say alike goes, what varies stays; of more than four pages one lacks the notice."""
+    notice = "<div class=c3><p>We use small files, read on.</div>"
+    page = "<body><div class=c1><div>Site name and slogan</div></div>{2}<div class=c2><div class=x><h2>Title {0}</h2></div><p>Text {0} {1}<p>All of it {0}</div><div class=c4>All rights reserved by us</div></body>"
+    got = extracted(spark, [(i, f"http://d.org/{i}", page.format(i, "word " * (9 + i), notice * (i != 2 or n == 4))) for i in range(n)])
+    assert got == {i: f"Title {i}\n\nText {i} " + " ".join(["word"] * (9 + i)) + f"\n\nAll of it {i}" for i in range(n)}
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    page = "<body><div class=c1>Name of the site</div><div class=c2><p>{0}<p>Second part of {0}</div></body>"
+    body = lambda i: "the same article " * 9 if i < 6 else f"article {i} " * 9
+    got = extracted(spark, [(i, "http://e.org/", page.format(body(i).strip())) for i in range(9)])
+    assert got == {i: f"{body(i).strip()}\n\nSecond part of {body(i).strip()}" for i in range(9)}
+
+
+def test_words_of_a_class_tell_only_small_parts(spark):
+    """An article's own element with such a word stays; a header with one goes, as do comments in the article."""
+    page = "<body><article><header><h1>T {0}</h1></header><header class=ad>Buy {0}</header><div class='market share'><p>" + "Body {0} " * 30 + "</div><div class=comments>Nice {0}</div></article></body>"
+    got = extracted(spark, [(i, "http://f.org/", page.format(i)) for i in range(12)])
+    assert got == {i: f"T {i}\n\n" + " ".join([f"Body {i}"] * 30) for i in range(12)}
+
+
 def test_odd_pages_leave_the_frame(spark):
     """An empty page, one without article or one with two take neither the frame nor the titles from the other pages."""
     page = "<body><div class=c7>side {0}</div><article><header><h1>Title {0}</h1></header><p>Text {0} of it.</p></article></body>"

@@ -385,6 +385,17 @@ def test_held_out():
     assert M.held_out([0, 1, None]).tolist() == [zlib.crc32(s) % 10 == 0 for s in (b"0", b"1", b"None")]
 
 
+def test_classes_nest():
+    """A class that crosses one of more pages is left out; what lies in a gap is nested there."""
+    rows = [("a", 0, 9), ("b", 10, 9), ("c", 20, 9), ("n1", 2, 8), ("n2", 6, 8), ("m", 4, 7), ("x1", 8, 6), ("x2", 15, 6), ("after", 30, 5)]
+    kind = {"a": 1, "b": 1, "c": 1, "n1": 2, "n2": 2, "m": 3, "x1": 4, "x2": 4, "after": 5}
+    root = htmlmain.nested([{"at": at, "token": t, "class": kind[t], "pages": n, "text": 0} for t, at, n in sorted(rows, key=lambda r: r[1])])
+    top = root.inside[0][0]
+    assert top.tokens == ["a", "b", "c"] and [c.tokens for c in root.inside[0]] == [["a", "b", "c"], ["after"]]
+    assert [c.tokens for c in top.inside[1]] == [["n1", "n2"]] and [c.tokens for c in top.inside[1][0].inside[1]] == [["m"]]
+    assert ["x1", "x2"] not in [c.tokens for c in htmlmain._classes(root)]
+
+
 def test_blocks():
     page = '<body><nav>menu</nav><div class="ad">buy</div><main><article><h1>A &amp; B</h1><p>one<b>two</b><br> three<p>four<ul><li>x<li>y</ul><aside>no</aside><div class="comments">no</div></article></main><footer>&copy;</footer>'
     assert htmlmain.Template(None).text(page) == "A & B\n\nonetwo three\n\nfour\n\nx\n\ny"

@@ -177,21 +177,51 @@ def test_substring_on_awkward_rows(spark):
     assert not [r for r in substring.repeated_passages(awkward(spark)).collect() if r["doc_id"] in (1, 2, 3, 6, 12)]
 
 
-def test_passage_of_many_documents(spark):
-    """More documents than go on from a batch: each is still linked over the whole passage."""
-    rows = [(i, " ".join(f"u{i}_{k}" for k in range(i % 7 + 3)) + f" {PASSAGE} " + " ".join(f"v{i}_{k}" for k in range(9)), "en", "a") for i in range(6 * substring.LOCAL)]
-    for parts in (1, 3):
-        covered = defaultdict(set)
-        for r in substring.repeated_passages(awkward(spark, rows).coalesce(1).repartition(parts)).collect():
-            covered[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
-            covered[r["other_id"]].update(range(r["other_start"], r["other_end"]))
-        assert covered == {i: set(range(i % 7 + 3, i % 7 + 73)) for i in range(len(rows))}
-
-
-def test_language_on_awkward_rows(spark):
-    rows = attention.language_scores(awkward(spark)).collect()
-    assert len(rows) == len(AWKWARD) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
-    assert {r["doc_id"]: r["n_tokens"] for r in rows}[1] == 1
+def links(spark, rows, parts):
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(parts)
+    return sorted(tuple(r) for r in substring.repeated_passages(df).collect())
+
+
+@pytest.mark.parametrize("n", [48, 600])
+def test_passage_of_many_documents(spark, n):
+    """More documents than one list takes: each is linked over the whole passage, whatever the partitions are."""
+    rows = [(i, " ".join(f"u{i}_{k}" for k in range(i % 7 + 3)) + f" {PASSAGE} " + " ".join(f"v{i}_{k}" for k in range(9))) for i in range(n)]
+    got = [links(spark, rows, parts) for parts in (1, 3, 7)]
+    assert got[0] == got[1] == got[2]
+    covered, label = defaultdict(set), {i: i for i in range(n)}
+    for doc, s, e, other, t, u, _ in got[0]:
+        covered[doc].update(range(s, e))
+        covered[other].update(range(t, u))
+    assert covered == {i: set(range(i % 7 + 3, i % 7 + 73)) for i in range(n)}
+    for _ in range(30):  # the lists of a hot key hang together
+        for doc, _, _, other, *_ in got[0]:
+            label[doc] = label[other] = min(label[doc], label[other])
+    assert set(label.values()) == {0}
+
+
+def test_two_paragraphs_of_many_documents(spark):
+    """Each of two short paragraphs stands in many documents; only the last two hold both in a row, which makes a passage."""
+    one, two = (" ".join(f"{c}{i}" for i in range(30)) for c in "pq")
+    own = lambda i, k: " ".join(f"x{i}_{k}_{j}" for j in range(20))
+    rows = [(i, f"{own(i, 0)} {(one, two)[i % 2]} {own(i, 1)}") for i in range(60)]
+    rows += [(i, f"{own(i, 0)} {one} {two} {own(i, 1)}") for i in (97, 98)]
+    assert links(spark, rows, 3) == [(98, 20, 80, 97, 20, 80, 60)]
+
+
+@pytest.mark.parametrize("rate", [0.05, 0.1, 0.15])
+def test_fuzzy_passages_are_found(spark, rate):
+    """Passages of 60 words of which some are changed: recall among those that are alike enough, and no other links."""
+    rng, rows, alike = np.random.default_rng(int(100 * rate)), [], set()
+    for i in range(100):
+        words = [f"s{i}_{k}" for k in range(60)]
+        changed = [f"c{i}_{k}" if rng.random() < rate else w for k, w in enumerate(words)]
+        if sum(a == b for a, b in zip(words, changed)) >= 0.82 * 60:
+            alike.add(2 * i)
+        for j, w in ((0, words), (1, changed)):
+            rows.append((2 * i + j, " ".join([*(f"l{i}_{j}_{k}" for k in range(40)), *w, *(f"r{i}_{j}_{k}" for k in range(40))])))
+    got = links(spark, rows, 2)
+    assert all(r[0] == r[3] + 1 and r[3] % 2 == 0 for r in got)
+    assert len({r[3] for r in got} & alike) >= 0.9 * len(alike)
 
 
 def plain_score(text, w, class_of, share, counts, total):

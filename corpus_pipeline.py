@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from prosemill.llm import exactdedup, mixing, packing, quality, simhash
-from prosemill.llm.common import shared_dir
+from prosemill.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,6 @@ a few fixture rows (negative ids), and some also with a lexicon of words that do
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -21,6 +20,7 @@ from prosemill.plans import pipeline
 from prosemill.plans.sqltext import (
     FIXTURES, GATE_SQL, TEXTS, all_matches, any_like, clean_lines_sql, clean_nav_sql, first_at, labels_sql, match, points_sql, score_sql, sentences_sql, strip_sql, truncated_sql, values,
 )
+from prosemill.session import shared_dir
 from prosemill.sources import records, sinks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +53,7 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def shared(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
     """Writes a frame to the shared folder that the cluster names, and reads it back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="prosemill-")
+    base = shared_dir(spark)
 
     def out(df: DataFrame) -> DataFrame:
         path = f"{base}/prosemill/plan-{uuid.uuid4().hex}"
@@ -409,7 +409,7 @@ def licensed_union(spark, sf):
 
 
 def shared_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="prosemill-")
+    base = shared_dir(spark)
     return f"{base}/prosemill/files-{uuid.uuid4().hex}"
 
 

@@ -1,7 +1,8 @@
-"""What a session needs: the package in the Python workers."""
+"""What a session needs: the package in the Python workers, and a folder that all of them share."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -21,3 +22,15 @@ def ship(spark: SparkSession) -> None:
             out.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
     sc._prosemill_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names for shared files. One of our own only where none is set and all is one process."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = path or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        path = tempfile.mkdtemp(prefix="prosemill-")
+        spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")

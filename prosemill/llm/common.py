@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.session import ship
+from prosemill.session import shared_dir, ship
 
 #: A side of a join is broadcast only if it was counted to be at most this many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -21,17 +20,6 @@ def tune(spark: SparkSession, batch_mb: int = 6) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_mb << 20))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names for shared files; one of our own only where none is set (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="prosemill-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
 def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends here, and a lost executor costs no recomputation.
 
@@ -43,12 +31,6 @@ def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes the intermediate tables in the shared folder, once no frame that reads them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/prosemill")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def checked_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     """df with a broadcast hint if its counted rows stay below BROADCAST_BYTES, else as it is (a shuffle join follows)."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
@@ -63,13 +45,15 @@ def only_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") ->
 def attach(left: DataFrame, right: DataFrame, key: str, size: str, total: int, row_bytes: int) -> DataFrame:
     """Left join with groups that may be very unequal: right has a row for each key and its size in rows of left.
 
-    Groups of at least total / 512 rows number 512 at most, so they are broadcast whatever the input is; the rest is
-    broadcast if counted small, else it meets by a shuffle join in which no key is hot.
+    Groups of at least 1 / n of all rows number n at most, with n such that they fit BROADCAST_BYTES; so they are
+    broadcast whatever the input is. The rest is broadcast if counted small, else it meets by a shuffle join in which no
+    key has more than 1 / n of all rows.
     """
     if right.count() * row_bytes <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), key, "left")
-    hot = F.broadcast(right.where(F.col(size) * 512 >= total))
-    cold = right.where(F.col(size) * 512 < total)
+    n = max(1, min(1 << 16, BROADCAST_BYTES // max(1, row_bytes)))
+    hot = F.broadcast(right.where(F.col(size) * n >= total))
+    cold = right.where(F.col(size) * n < total)
     some = left.join(hot, key, "inner")
     rest = left.join(hot.select(key), key, "left_anti").join(cold, key, "left")
     return some.select(*rest.columns).unionByName(rest)

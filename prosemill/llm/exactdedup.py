@@ -175,6 +175,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs without the rows that exact_duplicates drops."""
+    """docs without the rows that exact_duplicates drops.
+
+    A null text is empty; of equal texts the rows with the largest doc_id stay, all of them if the id repeats. An empty
+    table gives no rows; columns of any name stay.
+    """
     gone = written(exact_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "dropped")
     return only_ids(docs, gone, "left_anti")

@@ -41,20 +41,35 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(low[keep])], schema=schema)
 
 
+#: Rounds at most; they grow with the square of the logarithm of the edges, so this is never reached in practice.
+ROUNDS = 64
+
+
+def _met(edges: DataFrame, low: DataFrame, total: int) -> DataFrame:
+    """edges (u, v) with their node's m. Nodes with 1 of 4096 edges or more are 4096 at most: they are broadcast, so that
+    the edges of a hub stay where they are; the others meet by a shuffle."""
+    low = written(low, "lows")
+    hubs = F.broadcast(low.where(F.col("size") * 4096 >= total).select("u", "m"))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(low.where(F.col("size") * 4096 < total).select("u", "m"), "u")
+    return edges.join(hubs, "u").unionByName(rest)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): every node of an edge with the smallest node that it reaches. Loops are dropped."""
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").mapInArrow(_forest, "u long, v long").distinct()
     e = written(e, "edges")
     was = None
-    for _ in range(64):
+    for _ in range(ROUNDS):
         said = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
         if not said[0] or said == was:
             break
         was = said
         both = e.union(e.select("v", "u").toDF("u", "v"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct()
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("size"))
+        large = _met(both, low, 2 * said[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
+        small = _met(large, low, said[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         e = written(small, "edges")
+    else:
+        raise RuntimeError(f"components did not converge in {ROUNDS} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64())), batch.column(2)], names=["doc_id", "x", "quality"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    found = some.mapInArrow(rows, "doc_id long, x array<double>, quality double").toPandas().sort_values("doc_id", kind="stable")
+    found = some.mapInArrow(rows, "doc_id long, x array<double>, quality double").groupBy("doc_id").agg(F.min_by("x", F.xxhash64("x")).alias("x"), F.first("quality").alias("quality")).toPandas().sort_values("doc_id", kind="stable")
     x = np.stack(found["x"].to_list()) if len(found) else np.zeros((0, len(FEATURES)))
     return fit(x, found["quality"].to_numpy(float), list(FEATURES.values()))
 
@@ -221,7 +221,11 @@ def scored(docs: DataFrame, model: Trees, threshold: float = 0.5) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, model: Trees, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns; no text is shuffled."""
+    """The rows of docs that the rules keep, with all their columns; no text is shuffled.
+
+    A null or empty text fails the base rule, so its row goes; ties at the threshold stay; repeated rows are judged
+    each. An empty table gives no rows; columns of any name stay.
+    """
     tune(docs.sparkSession, BATCH_MB)
     names = docs.columns
     text = F.col(names[names.index("text")]).cast("string").alias("__text")

@@ -1,8 +1,8 @@
 """SimHash near-duplicates through a byte-position inverted index with count filtering.
 
-Two 64-bit fingerprints with at most 3 differing bits share at least 5 of their 8 bytes, so among any 6 positions they
-share at least 3. Postings are kept under three positional bytes at a time, for all choices of three of the first six
-positions; a pair is looked at where the first three positions that it shares among those six meet, hence once. There
+Two 64-bit fingerprints with at most 3 differing bits share at least 5 of their 8 bytes, so among any 7 positions they
+share at least 4. Postings are kept under four positional bytes at a time, for all choices of four of the first seven
+positions; a pair is looked at where the first four positions that it shares among those seven meet, hence once. There
 its shared positional bytes are tallied over all eight positions; pairs below the guaranteed five are out, the rest is
 verified by counting bits. Equal fingerprints are one entry, and a list hands on a spanning forest, never all pairs.
 
@@ -29,8 +29,10 @@ from prosemill.llm.common import attach, checked_broadcast, only_ids, tune, writ
 from prosemill.llm.graph import components, roots
 
 SEED = 42
-#: Positions among which a pair within 3 bits shares three bytes or more, and the index's choices of three.
-TRIPLES = list(combinations(range(6), 3))
+#: Positions among which a pair within 3 bits shares SHARED bytes or more, and the index's choices of so many: a posting's
+#: key has 32 bits of the fingerprint, so that lists of unlike fingerprints stay short up to billions of them.
+POSITIONS, SHARED = 7, 4
+CHOICES = np.array(list(combinations(range(POSITIONS), SHARED)))
 MIN_SHARED, RADIUS = 5, 3
 
 
@@ -75,12 +77,15 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint under every choice of three of its first six positional bytes."""
+    """Each fingerprint under every choice of SHARED of its first POSITIONS positional bytes."""
     for batch in batches:
         fp, rep = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         b = fp.astype("<i8").view(np.uint8).reshape(-1, 8).astype(np.int64)
-        key = np.concatenate([(c << 24) | (b[:, i] << 16) | (b[:, j] << 8) | b[:, k] for c, (i, j, k) in enumerate(TRIPLES)])
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.tile(fp, len(TRIPLES))), pa.array(np.tile(rep, len(TRIPLES)))], names=["key", "fp", "rep"])
+        for c, choice in enumerate(CHOICES):
+            key = np.full(len(fp), c, np.int64)
+            for i in choice:
+                key = (key << 8) | b[:, i]
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", "fp", "rep"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -108,7 +113,6 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 def close_pairs(key: np.ndarray, fp: np.ndarray, block: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows of one key that pass the tally and the verification, in blocks of rows at one distance."""
     n, d = len(key), 1
-    triple = np.array(TRIPLES)
     while True:
         i = np.flatnonzero(key[d:] == key[:-d]) if d < n else np.zeros(0, np.int64)
         if not len(i):
@@ -117,11 +121,11 @@ def close_pairs(key: np.ndarray, fp: np.ndarray, block: int = 1 << 22) -> Iterat
         same = x.astype("<u8").view(np.uint8).reshape(-1, 8) == 0
         ok = (same.sum(1) >= MIN_SHARED) & (np.bitwise_count(x) <= RADIUS)
         i, same = i[ok], same[ok]
-        # the pair's own place: the first three shared positions
+        # the pair's own place: the first positions that it shares
         if len(i):
-            rank = np.cumsum(same[:, :6], 1)
-            of = triple[key[i] >> 24]
-            own = (np.take_along_axis(same[:, :6], of, 1).all(1)) & (rank[np.arange(len(i)), of[:, 2]] == 3)
+            rank = np.cumsum(same[:, :POSITIONS], 1)
+            of = CHOICES[key[i] >> 8 * SHARED]
+            own = (np.take_along_axis(same[:, :POSITIONS], of, 1).all(1)) & (rank[np.arange(len(i)), of[:, -1]] == SHARED)
             yield i[own], i[own] + d
         d += 1
 
@@ -178,12 +182,6 @@ def shingle_set(norm: bytes, words: int) -> tuple[np.ndarray, bytes]:
     return h, xxhash.xxh3_64_digest(h.astype("<u8").tobytes())
 
 
-def shingle_set(norm: bytes, words: int) -> tuple[np.ndarray, bytes]:
-    """The distinct shingle hashes of a text in order, and eight bytes that tell the set."""
-    h = np.unique(shingle_hashes(norm, words))
-    return h, xxhash.xxh3_64_digest(h.astype("<u8").tobytes())
-
-
 def signatures(docs: DataFrame, words: int = 5) -> DataFrame:
     """(doc_id, sig): the positional bytes, then those that tell the set; texts with one sig have the same shingles."""
 
@@ -399,6 +397,10 @@ def near_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
 
 def near_deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with the one of each group of near-copies whose doc_id is the smallest; rows without a doc_id stay."""
+    """docs with the one of each group of near-copies whose doc_id is the smallest; rows without a doc_id stay.
+
+    A null or empty text has no shingles: such documents are one group. Rows that repeat the smallest doc_id all stay.
+    An empty table gives no rows; columns of any name stay.
+    """
     gone = written(near_components(docs).where("doc_id <> component_id").select("doc_id").distinct(), "near-dropped")
     return only_ids(docs, gone, "left_anti")

@@ -25,6 +25,8 @@ from prosemill.llm.common import BROADCAST_BYTES, tune, written
 SHARD = 1 << 18
 #: Distinct keys that a task holds before it hands its partial counts on.
 HELD = 1 << 18
+#: Keys that every task is given, at most: those that are 1 in so many of all references.
+HOT = 8192
 
 
 class CuckooFilter:
@@ -53,6 +55,11 @@ class CuckooFilter:
             self.table[bucket, free[0]] = tag
         return bool(len(free))
 
+    @property
+    def room(self) -> int:
+        """Keys that the filter takes without getting too full."""
+        return self.buckets * self.SLOTS * 9 // 10
+
     def insert(self, keys: np.ndarray) -> None:
         for one, two, tag in zip(*(x.tolist() for x in self.places(keys))):
             if self._put(one, tag) or self._put(two, tag):
@@ -83,8 +90,9 @@ class CuckooFilter:
     def contains(self, keys: np.ndarray) -> np.ndarray:
         one, two, tag = self.places(keys)
         found = (self.table[one] == tag[:, None]).any(1) | (self.table[two] == tag[:, None]).any(1)
-        for at, t in self.stash:
-            found |= ((one == at) | (two == at)) & (tag == t)
+        if self.stash:
+            kept = np.array([at << 16 | t for at, t in self.stash], np.int64)
+            found |= np.isin(one << 16 | tag, kept) | np.isin(two << 16 | tag, kept)
         return found
 
     def to_bytes(self) -> bytes:
@@ -146,39 +154,66 @@ def changed(counts: DataFrame, delta: DataFrame, sign: int) -> DataFrame:
     return both.groupBy("shard", "k1", "k2").agg(F.sum("refs").alias("refs")).where("refs > 0")
 
 
+FILTER = "shard long, room long, filter binary"
+
+
 def filters(counts: DataFrame) -> DataFrame:
-    """(shard, filter): a cuckoo filter of the keys of each shard."""
+    """(shard, room, filter): a cuckoo filter of the keys of each shard, and how many keys it takes."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         own = CuckooFilter(len(rows))
         own.insert(np.sort(rows["k2"].to_numpy().view(np.uint64)))
-        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "filter": [own.to_bytes()]})
+        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "room": [own.room], "filter": [own.to_bytes()]})
 
-    return counts.groupBy("shard").applyInPandas(build, "shard long, filter binary")
+    return counts.groupBy("shard").applyInPandas(build, FILTER)
 
 
 def updated_filters(old: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
     """Filters brought from the keys of one table of counts to those of another by insertions and deletions alone.
 
-    A filter that would get too full is built anew.
+    Shards without a filter, and those whose filter has no room for the keys of after, are built anew from after.
     """
+    sizes = after.groupBy("shard").agg(F.count("*").alias("n"))
+    full = written(sizes.join(old.select("shard", "room"), "shard", "left").where("room IS NULL OR n > room").select("shard"), "line-full")
+    anew = filters(after.join(full, "shard", "left_semi"))
     gone = before.join(after, ["shard", "k1", "k2"], "left_anti").select("shard", "k2", F.lit(-1).alias("sign"))
     come = after.join(before, ["shard", "k1", "k2"], "left_anti").select("shard", "k2", F.lit(1).alias("sign"))
 
     def change(key, filter_rows: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        new = rows["k2"].to_numpy()[rows["sign"] == 1].view(np.uint64)
-        own = CuckooFilter.from_bytes(filter_rows["filter"].iloc[0]) if len(filter_rows) else CuckooFilter(max(64, 2 * len(new)))
+        own = CuckooFilter.from_bytes(filter_rows["filter"].iloc[0])
         own.delete(rows["k2"].to_numpy()[rows["sign"] == -1].view(np.uint64))
-        own.insert(new)
-        return pd.DataFrame({"shard": [key[0]], "filter": [own.to_bytes()]})
+        own.insert(rows["k2"].to_numpy()[rows["sign"] == 1].view(np.uint64))
+        return pd.DataFrame({"shard": [key[0]], "room": [own.room], "filter": [own.to_bytes()]})
 
-    return old.groupBy("shard").cogroup(gone.union(come).groupBy("shard")).applyInPandas(change, "shard long, filter binary")
+    stay = old.join(full, "shard", "left_anti")
+    moved = gone.union(come).join(stay.select("shard"), "shard", "left_semi")
+    return stay.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(change, FILTER).union(anew)
 
 
-def _dropped(docs: DataFrame, frequent: DataFrame, refs: int, shards: int) -> DataFrame:
-    """(doc_id, hits): the frequent keys of each document, as packed 16-byte digests."""
-    # Keys of at least 1/1024 of all references are 1024 at most; every task gets them, so that no shard is hot.
-    hot = frequent.where(F.col("refs") * 1024 >= refs).select("k1", "k2").toArrow()
+def _passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by shard, each shard's filter first: the occurrences that their filter lets through."""
+    shard, own = None, None
+    for batch in batches:
+        shards, blobs = batch.column(0).to_numpy(), batch.column(1)
+        k2, keep = batch.column(4).fill_null(0).to_numpy().view(np.uint64), np.zeros(len(shards), bool)
+        with_filter = blobs.is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.append(True, np.diff(shards) != 0)) if len(shards) else []
+        for i, j in zip(cuts, [*cuts[1:], len(shards)]):
+            if shards[i] != shard:
+                shard, own = shards[i], None
+            if with_filter[i]:
+                own = CuckooFilter.from_bytes(blobs[int(i)].as_py())
+            if own is not None:
+                keep[i:j] = own.contains(k2[i:j])
+        keep &= ~with_filter
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (2, 3, 4)], names=["doc_id", "k1", "k2"])
+
+
+def _dropped(docs: DataFrame, frequent: DataFrame, front: DataFrame, refs: int, shards: int) -> DataFrame:
+    """(doc_id, k1, k2): the frequent keys of each document. Occurrences meet their shard's filter in a stream, of which
+    nothing but the filter is held; what passes is looked up in the exact counts."""
+    # Keys of 1 in HOT references or more are HOT at most; every task gets them, so that no shard is hot.
+    hot = frequent.where(F.col("refs") * HOT >= refs).select("k1", "k2").toArrow()
     packed = np.stack([hot.column(i).to_numpy() for i in (0, 1)], 1).view(np.uint64).astype(">u8").tobytes()
     hot_keys = frozenset(packed[i : i + 16] for i in range(0, len(packed), 16))
 
@@ -197,20 +232,12 @@ def _dropped(docs: DataFrame, frequent: DataFrame, refs: int, shards: int) -> Da
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(k1), pa.array(k2), pa.array([hot_one] * len(at))], names=["doc_id", "k1", "k2", "hot"])
 
     found = docs.mapInArrow(occurrences, "doc_id long, k1 long, k2 long, hot boolean")
-    # The rows of a shard meet its filter; what the filter lets through is looked up in the exact counts.
-    rest = found.where("NOT hot").select(F.pmod("k1", F.lit(shards)).alias("shard"), "doc_id", "k1", "k2")
-    cold = frequent.where(F.col("refs") * 1024 < refs).select("shard", "k1", "k2")
-
-    def verify(rows: pd.DataFrame, exact: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or exact.empty:
-            return pd.DataFrame({"doc_id": pd.Series([], dtype="int64"), "k1": pd.Series([], dtype="int64"), "k2": pd.Series([], dtype="int64")})
-        front = CuckooFilter(len(exact))
-        front.insert(np.sort(exact["k2"].to_numpy().view(np.uint64)))
-        maybe = rows[front.contains(rows["k2"].to_numpy().view(np.uint64))]
-        return maybe.merge(exact[["k1", "k2"]], on=["k1", "k2"])[["doc_id", "k1", "k2"]]
-
-    sure = rest.groupBy("shard").cogroup(cold.groupBy("shard")).applyInPandas(verify, "doc_id long, k1 long, k2 long")
-    return found.where("hot").select("doc_id", "k1", "k2").union(sure)
+    rest = found.where("NOT hot").select(F.pmod("k1", F.lit(shards)).alias("shard"), F.lit(None).cast("binary").alias("filter"), "doc_id", "k1", "k2")
+    blank = [F.lit(None).cast("long").alias(c) for c in ("doc_id", "k1", "k2")]
+    both = front.select("shard", "filter", *blank).union(rest).repartition("shard").sortWithinPartitions("shard", F.col("filter").isNull())
+    maybe = both.mapInArrow(_passed, "doc_id long, k1 long, k2 long")
+    sure = maybe.join(frequent.where(F.col("refs") * HOT < refs).select("k1", "k2"), ["k1", "k2"], "left_semi")
+    return found.where("hot").select("doc_id", "k1", "k2").union(sure.select("doc_id", "k1", "k2"))
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) -> DataFrame:
@@ -227,7 +254,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, with_text: bool = False) ->
     refs = counts.agg(F.sum("refs")).first()[0] or 0
     shards = max(1, -(-refs // SHARD))
     frequent = written(counts.where(F.col("refs") >= min_docs).withColumn("shard", F.pmod("k1", F.lit(shards))), "line-frequent")
-    hits = written(_dropped(own, frequent, refs, shards), "line-hits")
+    front = written(filters(frequent.where(F.col("refs") * HOT < refs)), "line-filters")
+    hits = written(_dropped(own, frequent, front, refs, shards), "line-hits")
     lists = hits.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("hits"))
     lists = F.broadcast(lists) if hits.count() * 32 <= BROADCAST_BYTES else lists
     lists = lists.withColumnRenamed("doc_id", "__id")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prosemill.llm.common import attach, tune, written
+from prosemill.llm.common import attach, checked_broadcast, tune, written
 
 #: Levels of each dimension: 2 ** BITS.
 BITS = 6
@@ -100,10 +100,10 @@ def hilbert_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     for p in sorted(counts):
         starts.append((p, before))
         before += counts[p]
-    base = F.lit(0).cast("long")
-    if starts:
-        base = F.element_at(F.map_from_arrays(F.array(*[F.lit(p).cast("long") for p, _ in starts]), F.array(*[F.lit(b).cast("long") for _, b in starts])), F.shiftright("at", 33))
-    rank = base + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row for each range: a table of its own, not a literal in every row's expression.
+    bases = checked_broadcast(spark.createDataFrame(starts, "__range long, __base long"), 16)
+    ranked = ranked.withColumn("__range", F.shiftright("at", 33)).join(bases, "__range")
+    rank = F.col("__base") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     small, more = divmod(total, shards)
     # The first `more` shards have small + 1 rows.
     edge = more * (small + 1)

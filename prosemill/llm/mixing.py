@@ -22,6 +22,10 @@ from prosemill.llm.common import tune, written
 
 #: Buckets of the hash histogram of a pattern.
 BUCKETS = 4096
+#: Patterns that the flow is solved for, at most: their sizes come to the driver and the plan goes to every task.
+PATTERNS = 100_000
+#: Documents of a pattern and source that are looked at to fill what its cut leaves open.
+FILL = 16
 
 
 def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[float]:
@@ -92,6 +96,18 @@ def min_cost_flow(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int]
             v = u
 
 
+def filling(missing: int, sizes: list[tuple[int, int, int | None]]) -> list[int]:
+    """Of (size, hash, doc_id): the documents that come near to what is missing: the largest first as long as they fit, or
+    one alone."""
+    left, taken = missing, []
+    for size, _, doc in sorted(set(sizes), key=lambda x: (-x[0], *x[1:])):
+        if size <= left and doc is not None:
+            left -= size
+            taken.append(doc)
+    alone = min(((abs(missing - size), h, doc) for size, h, doc in sizes if doc is not None), default=None)
+    return [alone[2]] if alone and alone[0] < left else taken
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, at = A.buffers(batch.column(0))
@@ -108,7 +124,7 @@ def mixture(docs: DataFrame, members: Column, weights: tuple[float, ...] = (1, 2
     """(rows, plan). members: array of the names of a document's sources.
 
     rows: doc_id, pattern, size; plan: pattern, source, source_size, target, times, cut, extra - a document of the pattern is
-    read `times` times for that source, once more if its hash is at most cut or it is the extra one. The plan has a row for each pair of a
+    read `times` times for that source, once more if its hash is at most cut or it is an extra one. The plan has a row for each pair of a
     pattern and a source, and sizes of patterns come to the driver; their number doesn't follow the documents.
     """
     spark = docs.sparkSession
@@ -116,6 +132,8 @@ def mixture(docs: DataFrame, members: Column, weights: tuple[float, ...] = (1, 2
     key = F.to_json(F.array_sort(F.array_distinct(F.transform(members, lambda x: F.struct(x.isNull().alias("none"), x.alias("name"))))))
     own = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), key.alias("pattern"))
     rows = written(own.mapInArrow(_sizes, "size long, doc_id long, pattern string"), "mix-sizes")
+    if (n := rows.select("pattern").distinct().count()) > PATTERNS:
+        raise ValueError(f"{n} patterns of sources are more than the flow takes ({PATTERNS}): group the sources first")
     grouped = rows.groupBy("pattern").agg(F.sum("size").alias("size")).withColumn("sources", F.from_json("pattern", "array<struct<none:boolean,name:string>>")).collect()
     found = sorted(((tuple((x["none"], x["name"]) for x in g["sources"]), g["size"], g["pattern"]) for g in grouped), key=lambda x: repr(x[0]))
     names = sorted({s for x in found for s in x[0]}, key=lambda s: (s[0], (s[1] or "").encode("utf-32-be")))
@@ -142,27 +160,32 @@ def mixture(docs: DataFrame, members: Column, weights: tuple[float, ...] = (1, 2
     edge = edge.groupBy("pattern", "source").agg(F.min_by(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("words")).alias("more")), "bucket").alias("e")).select("pattern", "source", "e.*")
     inside = rows.withColumn("h", h).withColumn("bucket", bucket).join(F.broadcast(edge), ["pattern", "bucket"])
     order = Window.partitionBy("pattern", "source").orderBy("h", "doc_id")
-    # The cut is the last place up to which the sum stays within the rest; what is then missing, one more document brings
-    # nearest: the one whose size comes closest to it.
+    # The cut is the last place up to which the sum stays within the rest; what is then missing, further documents fill.
     inside = inside.withColumn("sum", F.sum("size").over(order)).where("sum <= more").groupBy("pattern", "source").agg(F.max("h").alias("last"), F.max("sum").alias("got"))
     cuts = edge.join(inside, ["pattern", "source"], "left").select("pattern", "source", F.coalesce("last", F.shiftleft("bucket", 52)).alias("cut"), (F.col("more") - F.coalesce("got", F.lit(0))).alias("missing"))
     cuts = spark.createDataFrame(cuts.collect(), "pattern string, source string, cut long, missing long")
-    beyond = rows.join(F.broadcast(cuts), "pattern").where(h > F.col("cut"))
-    off = F.abs(F.col("missing") - F.col("size"))
-    extra = beyond.where(off < F.col("missing")).groupBy("pattern", "source").agg(F.min(F.struct(off.alias("off"), h.alias("h"), F.col("doc_id"))).alias("best"))
-    extra = extra.select("pattern", "source", F.col("best.doc_id").alias("extra"))
+    # Beyond the cut: some documents, in the hash's order, that fit what is missing, and the one whose size is nearest to it.
+    beyond = rows.join(F.broadcast(cuts), "pattern").where((h > F.col("cut")) & (F.col("size") > 0)).select("pattern", "source", "missing", "size", h.alias("h"), "doc_id")
+    place = F.row_number().over(Window.partitionBy("pattern", "source").orderBy("h", "doc_id"))
+    fit = beyond.where("size <= missing").withColumn("place", place).where(F.col("place") <= FILL)
+    near = beyond.groupBy("pattern", "source").agg(F.min_by(F.struct("missing", "size", "h", "doc_id"), F.struct(F.abs(F.col("missing") - F.col("size")), "h", "doc_id")).alias("x")).select("pattern", "source", "x.*")
+    some: dict[tuple, list] = {}
+    for r in [*fit.select(*near.columns).collect(), *near.collect()]:  # FILL + 1 rows of each row of the plan at most
+        some.setdefault((r["pattern"], r["source"]), [r["missing"]]).append((r["size"], r["h"], r["doc_id"]))
+    extra = [(*k, filling(x[0], x[1:])) for k, x in some.items()]
+    extra = spark.createDataFrame(extra, "pattern string, source string, extra array<long>")
 
     def by(own: DataFrame, more: DataFrame, *cols: str) -> DataFrame:
         same = (own["pattern"] == more["pattern"]) & own["source"].eqNullSafe(more["source"])
         return own.join(F.broadcast(more), same, "left").select(own["*"], *[more[c] for c in cols])
 
     plan = by(by(plan, cuts, "cut"), extra, "extra").withColumn("cut", F.when(F.col("rest") > 0, F.col("cut")).otherwise(F.lit(-(1 << 63))))
-    return rows, spark.createDataFrame(plan.collect(), schema + ", cut long, extra long")
+    return rows, spark.createDataFrame(plan.collect(), schema + ", cut long, extra array<long>")
 
 
 def _times(seed: int) -> Column:
     """How often a document is read, from the plan's row beside it."""
-    more = (_hash(seed) <= F.coalesce("__cut", F.lit((1 << 63) - 1))) | (F.col("doc_id").cast("long") == F.col("__extra"))
+    more = (_hash(seed) <= F.coalesce("__cut", F.lit((1 << 63) - 1))) | F.coalesce(F.array_contains("__extra", F.col("doc_id").cast("long")), F.lit(False))
     return F.col("__times") + F.when(more, 1).otherwise(0)
 
 
@@ -185,7 +208,11 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """docs as the mix reads them: a row is left out, or there once, twice or three times."""
+    """docs as the mix reads them: a row is left out, or there once, twice or three times.
+
+    A null or empty text has no words and is never read. A null source is a source. Rows that repeat a doc_id are read
+    equally often. An empty table gives no rows; columns of any name stay.
+    """
     names = docs.columns
     _, plan = mixture(docs, F.array(F.col("source").cast("string")), seed=seed)
     out = docs.join(_beside(plan), docs["source"].cast("string").eqNullSafe(F.col("__source")))

@@ -117,6 +117,23 @@ def test_line_references_are_reversible(spark):
         assert own.contains(keys).all() and (own.table > 0).sum() + len(own.stash) == len(keys)
 
 
+def test_filters_grow_with_their_shard(spark):
+    """Insert, delete and insert again far beyond a filter's capacity: it is built anew, and nothing goes to a stash."""
+    few = [(i, f"line {i}") for i in range(20)]
+    many = [(100 + i, "\n".join(f"line {i} {k}" for k in range(100))) for i in range(20)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    base, more = (linededup.written(linededup.reference_counts(frame(x), 2), "test") for x in (few, many))
+    both = linededup.written(linededup.changed(base, more, 1), "test")
+    table, state = base, linededup.filters(base)
+    for new in (both, base, both):
+        state, table = linededup.written(linededup.updated_filters(state, table, new), "test"), new
+        rows = new.collect()
+        for r in state.collect():
+            own = linededup.CuckooFilter.from_bytes(r["filter"])
+            keys = np.array([x["k2"] for x in rows if x["shard"] == r["shard"]], np.int64).view(np.uint64)
+            assert own.contains(keys).all() and not own.stash and (own.table > 0).sum() == len(keys) <= r["room"]
+
+
 def check_packing(rows, capacity):
     for own in rows.values():
         own.sort()
@@ -412,13 +429,23 @@ def test_packing(spark, docs):
 
 
 def test_mixing(spark):
+    """Each source by itself: target and size against a plain version, and taken near the target."""
     rows = QUERIES["op8_source_mixing"](spark, SF).collect()
-    taken, target = Counter(), {}
+    taken, size = Counter(), Counter()
     for r in rows:
         taken[r["source"]] += r["taken"]
-        target[r["source"]] = r["target"]
-        assert r["taken"] <= 3 * r["size"]
-    assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.05)
+        size[r["source"]] += r["size"]
+        assert r["taken"] <= 3 * r["size"] and r["taken"] % max(1, r["size"]) == 0
+    names = sorted(size, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
+    weight, target, left, free = {s: i % 3 + 1 for i, s in enumerate(names)}, {}, sum(size.values()), set(names)
+    while free:
+        shares = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if shares[s] > 3 * size[s]}
+        target.update({s: 3 * size[s] for s in over} if over else shares)
+        left, free = left - sum(3 * size[s] for s in over), free - over if over else set()
+    for r in rows:
+        assert r["source_size"] == size[r["source"]] and r["target"] == pytest.approx(target[r["source"]])
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] for s in names), {s: (taken[s], target[s]) for s in names}
     again = {r["doc_id"]: r["taken"] for r in QUERIES["op8_source_mixing"](spark, SF).collect()}
     assert again == {r["doc_id"]: r["taken"] for r in rows}
 

@@ -194,12 +194,22 @@ def test_simhash():
     assert simhash.simhash(simhash.shingle_hashes(b"", 3)) == 0
 
 
+def test_full_filter_keeps_every_key():
+    """Insertions beyond the capacity go to the stash; nothing is lost, and deletions undo them."""
+    keys = np.random.default_rng(6).integers(0, 1 << 63, 600, dtype=np.uint64)
+    own = CuckooFilter(64)
+    own.insert(keys)
+    assert own.stash and own.contains(keys).all() and CuckooFilter.from_bytes(own.to_bytes()).contains(keys).all()
+    own.delete(keys[100:])
+    assert own.contains(keys[:100]).all() and (own.table > 0).sum() + len(own.stash) == 100
+
+
 def test_every_close_pair_is_met_once():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     fps = np.unique(np.concatenate([base ^ sum((np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64) for _ in range(k)), np.zeros(40, np.uint64)) for k in (0, 1, 2, 3, 3, 4, 5)]))
     batch = pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), pa.array(np.arange(len(fps)))], names=["fp", "rep"])
-    (posted,) = simhash._postings(iter([batch]))
+    posted = pa.Table.from_batches(simhash._postings(iter([batch]))).combine_chunks()
     key, fp, rep = (posted.column(i).to_numpy() for i in range(3))
     order = np.argsort(key, kind="stable")
     met = Counter()

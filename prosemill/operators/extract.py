@@ -14,9 +14,11 @@ LABELS = {"workflow_step": X.WORKFLOW, "criteria": X.CRITERIA, "objection": X.OB
 
 
 def labels(text: Column, table: dict[str, str]) -> Column:
-    """Array of the labels whose pattern is found, in the table's order."""
+    """Array of the labels whose pattern is found, in the table's order. One pattern of all tells most texts apart."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.array_compact(F.array(*[F.when(has(low, rf"\b(?:{p})"), k) for k, p in table.items()]))
+    found = F.array_compact(F.array(*[F.when(has(low, rf"\b(?:{p})"), k) for k, p in table.items()]))
+    any_of = has(low, r"\b(?:" + "|".join(f"(?:{p})" for p in table.values()) + ")")
+    return F.when(any_of, found).otherwise(F.array().cast("array<string>"))
 
 
 def confidence(workflow: Column, criteria: Column, objection: Column, industry: Column, length: Column, reasoning: Column, narrative: Column, docs: Column) -> Column:
@@ -72,9 +74,9 @@ def quality_gate(df: DataFrame, text: str = "decision_context") -> DataFrame:
 
 
 def best_per_key(df: DataFrame, key: str, value: str, tie: str) -> DataFrame:
-    """The row with the largest value of each key; ties go to the smallest tie. Aggregated before the shuffle."""
-    order = F.struct(F.col(value).alias("__v"), (-F.col(tie)).alias("__t"))
-    return df.groupBy(key).agg(F.max_by(F.struct(*df.columns), order).alias("__row")).select("__row.*")
+    """The row with the largest value of each key (null last); ties go to the smallest tie. Aggregated before the shuffle."""
+    order = F.struct(F.col(value).isNull().alias("__n"), (-F.col(value)).alias("__v"), F.col(tie).alias("__t"))
+    return df.groupBy(key).agg(F.min_by(F.struct(*df.columns), order).alias("__row")).select("__row.*")
 
 
 def top_per_key(df: DataFrame, key: str, k: int, *order: Column) -> DataFrame:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import takewhile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
-from prosemill.functions.patterns import strip
+from prosemill.functions.patterns import any_of, strip
 from prosemill.session import ship
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -44,14 +47,18 @@ def http_body(raw: Column) -> Column:
 
 
 class Node:
+    """An element: its parts are texts and elements. Unclosed elements may nest to any depth, so nothing here recurses."""
+
     def __init__(self, tag: str, attributes: str = "", parent: Node | None = None):
         self.tag, self.attributes, self.parent, self.parts = tag, attributes, parent, []
+        self.place = len(parent.parts) if parent else 0
 
     def walk(self) -> Iterator[Node]:
-        yield self
-        for p in self.parts:
-            if isinstance(p, Node):
-                yield from p.walk()
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            yield node
+            todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
 
     def text(self, without: frozenset = frozenset()) -> str:
         """Pieces of text, each stripped, joined by spaces."""
@@ -66,29 +73,29 @@ class Node:
         return " ".join(out)
 
     def following(self) -> list[Node]:
-        if not self.parent:
-            return []
-        own = self.parent.parts
-        return [p for p in own[own.index(self) + 1 :] if isinstance(p, Node)]
+        return [p for p in self.parent.parts[self.place + 1 :] if isinstance(p, Node)] if self.parent else []
 
 
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("")
+        self.open: Counter[str] = Counter()
 
     def handle_starttag(self, tag, attrs):
         node = Node(tag, dict(attrs).get("class") or "", self.at)
         self.at.parts.append(node)
         if tag not in _VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent and node.tag != tag:
-            node = node.parent
-        if node.parent:
-            self.at = node.parent
+        if self.open[tag]:  # an end without a start closes nothing
+            while True:
+                closed, self.at = self.at, self.at.parent
+                self.open[closed.tag] -= 1
+                if closed.tag == tag:
+                    break
 
     def handle_data(self, data):
         self.at.parts.append(data)
@@ -109,44 +116,77 @@ def dom_text(html: str | None, without: frozenset = CHROME | {"header"}) -> str:
     return parsed(html).text(without)
 
 
-def _headers(root: Node, words: list[str]) -> Iterator[Node]:
-    for node in root.walk():
-        if node.tag in ("h2", "h3", "h4", "strong", "b") and any(w in node.text().lower() for w in words):
-            yield node
+HEADERS, TITLES = frozenset("h2 h3 h4 strong b".split()), frozenset("h2 h3 h4".split())
+
+
+def _says(node: Node, words: list[str]) -> bool:
+    low = node.text().lower()
+    return any(w in low for w in words)
+
+
+def _has_class(pattern: str) -> Callable[[Node], bool]:
+    return lambda node: bool(re.search(pattern, node.attributes, re.I))
+
+
+def _is_header(words: list[str]) -> Callable[[Node], bool]:
+    return lambda node: node.tag in HEADERS and _says(node, words)
+
 
+def _next(node: Node) -> str:
+    """The text of the element after a header."""
+    return next((n.text() for n in node.following()), "")
 
-def review_sections(html: str | None) -> list[str]:
-    """Blocks whose class tells of a review (over 100 characters), what follows a telling header (over 50), else the page (over 200)."""
-    root = parsed(html)
-    out = [t for n in root.walk() if re.search(X.REVIEW_CLASS, n.attributes, re.I) and len(t := n.text()) > 100]
-    out += [t for h in _headers(root, X.REVIEW_HEADERS) if (f := h.following()) and len(t := f[0].text()) > 50]
-    return out or [t for t in [root.text(CHROME)] if len(t) > 200]
 
+def _titled(stops: list[str], most: int) -> Callable[[Node], str]:
+    """'Header: body' of a header and so many elements after it, up to the next header."""
 
-def case_sections(html: str | None) -> list[str]:
-    """'Header: body' with up to five elements after a telling header, to the next header; over 100 characters. Else the page."""
-    root, out = parsed(html), []
-    for h in _headers(root, X.CASE_HEADERS):
-        body = []
-        for n in h.following()[:5]:
-            if n.tag in ("h2", "h3", "h4") or n.tag in ("strong", "b") and any(w in n.text().lower() for w in X.CASE_STOPS):
-                break
-            body += [n.text()] if n.text() else []
-        text = f"{h.text()}: {' '.join(body)}"
-        out += [text] if body and len(text) > 100 else []
-    return out or [t for t in [root.text(CHROME)] if len(t) > 200]
+    def ends(node: Node) -> bool:
+        return node.tag in TITLES or node.tag in HEADERS and _says(node, stops)
 
+    def of(header: Node) -> str:
+        body = [n.text() for n in takewhile(lambda n: not ends(n), header.following()[:most])]
+        body = " ".join(t for t in body if t)
+        return f"{header.text()}: {body}" if body else ""
 
-def blog_sections(html: str | None) -> list[str]:
-    """The first article, else main, else element of a telling class, else the page; over 200 characters."""
-    root = parsed(html)
-    nodes = [n for n in root.walk() if n.tag not in ALL_CHROME]
-    main = next((n for n in nodes if n.tag == "article"), None) or next((n for n in nodes if n.tag == "main"), None)
-    main = main or next((n for n in nodes if re.search(X.MAIN_CLASS, n.attributes, re.I)), None) or root
-    return [t for t in [main.text(ALL_CHROME)] if len(t) > 200]
+    return of
 
 
-PARSERS = {"review": review_sections, "case_study": case_sections, "blog": blog_sections}
+@dataclass(frozen=True)
+class Rule:
+    """A section for each element that is picked, if its text is longer than least."""
+
+    pick: Callable[[Node], bool]
+    text: Callable[[Node], str]
+    least: int
+
+
+#: Each parser: rules, of which all (or only the first element of the first rule that picks one) give sections; what the
+#: page's text leaves out if there is none; and the length that it must exceed.
+@dataclass(frozen=True)
+class Parser:
+    rules: tuple[Rule, ...]
+    all_of_them: bool
+    without: frozenset
+    least: int = 200
+
+    def sections(self, html: str | None) -> list[str]:
+        root = parsed(html)
+        if self.all_of_them:
+            out = [t for r in self.rules for n in root.walk() if r.pick(n) and len(t := r.text(n)) > r.least]
+            return out or self._long([root.text(self.without)])
+        nodes = [n for n in root.walk() if n.tag not in self.without]
+        main = next((n for r in self.rules for n in nodes if r.pick(n)), root)
+        return self._long([main.text(self.without)])
+
+    def _long(self, texts: list[str]) -> list[str]:
+        return [t for t in texts if len(t) > self.least]
+
+
+PARSERS = {
+    "review": Parser((Rule(_has_class(X.REVIEW_CLASS), Node.text, 100), Rule(_is_header(X.REVIEW_HEADERS), _next, 50)), True, CHROME),
+    "case_study": Parser((Rule(_is_header(X.CASE_HEADERS), _titled(X.CASE_STOPS, 5), 100),), True, CHROME),
+    "blog": Parser(tuple(Rule(pick, Node.text, 0) for pick in (lambda n: n.tag == "article", lambda n: n.tag == "main", _has_class(X.MAIN_CLASS))), False, ALL_CHROME),
+}
 
 
 def _udf(f, kind: str):
@@ -164,6 +204,21 @@ def with_dom_text(df: DataFrame, html: str = "html") -> DataFrame:
 
 
 def with_sections(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
-    """A row for each section that the parser of that name finds."""
+    """A row for each section that the parser of that name finds. A page at a time in Python, as a tree needs it."""
+    ship(df.sparkSession)
+    return df.withColumn("section", F.explode(_udf(PARSERS[parser].sections, "array<string>")(F.col(html))))
+
+
+def with_dispatched_sections(df: DataFrame, source: str, parsers: dict[str, str], keywords: list[str], html: str = "html") -> DataFrame:
+    """Sections of pages by the parser that parsers names for their source key ('blog' for others), of those that hold a
+    keyword; only they are exploded."""
     ship(df.sparkSession)
-    return df.withColumn("section", F.explode(_udf(PARSERS[parser], "array<string>")(F.col(html))))
+    out = None
+    for name in PARSERS:
+        keys = [k for k, p in parsers.items() if p == name]
+        own = F.col(source).isin(keys)
+        if name == "blog":
+            own = own | ~F.coalesce(F.col(source), F.lit("")).isin(list(parsers))
+        part = with_sections(df.where(F.coalesce(own, F.lit(name == "blog"))), name, html)
+        out = part if out is None else out.unionByName(part)
+    return out.where(any_of(F.col("section"), keywords))

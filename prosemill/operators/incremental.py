@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAGES = ("ingest", "filter", "extract", "validate", "package")
@@ -74,14 +74,23 @@ def fallback(df: DataFrame, cache: DataFrame, classify, text: str, value: str =
 
 
 def append_new(batch: DataFrame, path: str, key: str) -> None:
-    """Appends rows with keys that the table at path doesn't have; a batch is seen whole or not at all.
+    """Appends rows with keys that the table at path doesn't have; rows without a key (null or empty) are left out.
 
-    Parquet appends are committed by renaming; a key met twice in the batch comes once. One writer at a time.
+    A key met twice in the batch comes once. The rows are written to a hidden folder below path, which is then renamed
+    to batch=...: a batch is seen whole or not at all, and a retry adds nothing. One writer at a time.
     """
     spark = batch.sparkSession
-    new = batch.dropDuplicates([key])
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-    staged = new.withColumn("__batch", F.lit(uuid.uuid4().hex)).drop("__batch")
-    staged.write.mode("append").parquet(path)
+    new = batch.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").dropDuplicates([key])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(hadoop(path)) and len(fs.listStatus(hadoop(path))):
+        new = new.join(read_appended(spark, path).select(key), key, "left_anti")
+    name = uuid.uuid4().hex
+    new.write.parquet(f"{path}/_batch-{name}")
+    if not fs.rename(hadoop(f"{path}/_batch-{name}"), hadoop(f"{path}/batch={name}")):
+        raise OSError(f"could not publish {path}/batch={name}")
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The table that append_new writes, of all its batches, without the column that tells them."""
+    return spark.read.parquet(path).drop("batch")

@@ -51,7 +51,8 @@ def cooccurrence(text: Column) -> Column:
 
 def _present(low: Column, keyword: str) -> Column:
     k = keyword.lower()
-    return low.contains(k) if " " in k else low.rlike(java(whole([k], escape=True), ignore_case=False))
+    # A substring is looked for first: it settles nearly all texts without a pattern.
+    return low.contains(k) if " " in k else low.contains(k) & low.rlike(java(whole([k], escape=True), ignore_case=False))
 
 
 def with_keyword_score(df: DataFrame, weights: dict[str, int] = X.WEIGHTED, text: str = "text") -> DataFrame:

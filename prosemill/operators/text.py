@@ -34,8 +34,8 @@ def clean_nav(text: Column) -> Column:
     return strip(F.regexp_replace(out, r"\n{3,}", "\n\n"))
 
 
-def _is_nav_line(line: Column) -> Column:
-    short = strip(line)
+def _is_nav_line(short: Column) -> Column:
+    """Of a stripped line. Long lines are settled by their length."""
     length = F.aggregate(F.regexp_extract_all(short, F.lit(java(NAV)), F.lit(0)), F.lit(0), lambda n, m: n + F.length(m))
     return (F.length(short) < 40) & (length > 0.5 * F.length(short)) & (length > 0)
 
@@ -48,7 +48,9 @@ def clean_lines(text: Column) -> Column:
     out = _without(out, X.SHORT_LINES + "+")
     out = _without(out, X.FOOTER, True)
     out = _without(out, X.SOCIAL, True, False)
-    out = F.array_join(F.filter(F.split(out, "\n"), lambda line: ~_is_nav_line(line)), "\n")
+    # The stripped line is made once, beside the line itself.
+    lines = F.transform(F.split(out, "\n"), lambda line: F.struct(line.alias("line"), strip(line).alias("short")))
+    out = F.array_join(F.transform(F.filter(lines, lambda x: ~_is_nav_line(x["short"])), lambda x: x["line"]), "\n")
     out = F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"[ \t]+", " ")
     return strip(out)
 

@@ -20,7 +20,7 @@ from prosemill.plans import pipeline
 from prosemill.plans.sqltext import (
     FIXTURES, GATE_SQL, TEXTS, all_matches, any_like, clean_lines_sql, clean_nav_sql, first_at, labels_sql, match, points_sql, score_sql, sentences_sql, strip_sql, truncated_sql, values,
 )
-from prosemill.session import shared_dir
+from prosemill.session import shared_dir, spread
 from prosemill.sources import records, sinks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,11 +44,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """row_id, text, source_url of all documents and the fixture rows."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "text", F.concat(F.lit("https://"), "source", F.lit(".example.com/page/"), F.col("doc_id").cast("string")).alias("source_url"))
-    return docs.union(spark.sql(f"SELECT CAST(row_id AS BIGINT), text, source_url FROM {FIXTURES}"))
+    return spread(docs).union(spark.sql(f"SELECT CAST(row_id AS BIGINT), text, source_url FROM {FIXTURES}"))
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"))
 
 
 def shared(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:

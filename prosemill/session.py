@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,3 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="prosemill-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if its scan has fewer splits than that would take: a file of one row group is one task, whatever
+    follows. Tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df

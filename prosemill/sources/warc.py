@@ -17,7 +17,7 @@ def wet_records(raw: DataFrame, record: str = "value", at_least: int = 100, only
 
     The header ends at the first blank line after the URL or date; only keeps one type of record, such as conversion.
     """
-    r = F.regexp_replace(F.col(record), r"\r\n", "\n")
+    r = F.regexp_replace(F.regexp_replace(F.col(record), r"\r\n", "\n"), r"^WARC/1\.0(?=\n)", "")
     body = strip(F.regexp_extract(r, r"(?s)WARC-(?:Target-URI|Date):.*?\n[ \t]*\n(.*)", 1))
     out = raw.select(_header(r, "WARC-Target-URI").alias("url"), _header(r, "WARC-Date").alias("crawl_date"), _header(r, "WARC-Type").alias("warc_type"), body.alias("text"))
     out = out.where((F.col("url") != "") & (F.length("text") >= at_least))
@@ -25,8 +25,11 @@ def wet_records(raw: DataFrame, record: str = "value", at_least: int = 100, only
 
 
 def read_wet(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Reads WET files, compressed or not; the reader streams them record by record."""
-    return wet_records(spark.read.option("lineSep", "WARC/1.0\r\n").text(path), **options)
+    """Reads WET files, compressed or not; the reader streams them record by record.
+
+    A record starts where a line begins with WARC/1.0, whatever ends the lines; the same words inside a line are text.
+    """
+    return wet_records(spark.read.option("lineSep", "\nWARC/1.0").text(path), **options)
 
 
 def read_paths(spark: SparkSession, path: str) -> DataFrame:

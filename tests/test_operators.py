@@ -120,12 +120,49 @@ def test_first_per_key(spark):
 
 def test_html():
     page = "<html><nav>menu</nav><h3>The Challenge</h3><p>" + "hard work " * 12 + "</p><h3>Other</h3><p>no</p><div class='review-body'>" + "fine tool " * 12 + "</div></html>"
-    assert html.case_sections(page) == ["The Challenge: " + ("hard work " * 12).strip()]
-    assert html.review_sections(page) == [("fine tool " * 12).strip()]
-    assert html.blog_sections("<article>" + "x " * 150 + "</article>") == [("x " * 150).strip()]
+    assert html.PARSERS["case_study"].sections(page) == ["The Challenge: " + ("hard work " * 12).strip()]
+    assert html.PARSERS["review"].sections(page) == [("fine tool " * 12).strip()]
+    assert html.PARSERS["blog"].sections("<article>" + "x " * 150 + "</article>") == [("x " * 150).strip()]
     assert html.dom_text(None) == "" and "menu" not in html.dom_text(page)
 
 
+@pytest.mark.parametrize("name", html.PARSERS)
+def test_deep_pages(name):
+    """Thousands of elements that nobody closes, and ends that nothing opened."""
+    deep = "<p>x <li>y " * 5000
+    assert html.PARSERS[name].sections(deep + "</div>" * 5000) == [("x y " * 5000).strip()]
+    assert html.dom_text("<div>" * 3000 + "a" + "</div>" * 3000 + "b") == "a b"
+
+
+def test_dispatch(spark):
+    rows = [(1, "g2", "<div class=review>" + "we switched tools " * 9 + "</div>"), (2, "other", "<article>" + "we switched " * 30 + "</article>"), (3, None, "<main>" + "nothing of it " * 30 + "</main>")]
+    got = html.with_dispatched_sections(spark.createDataFrame(rows, "id long, site string, html string"), "site", {"g2": "review"}, ["switched"]).collect()
+    assert sorted((r["id"], len(r["section"])) for r in got) == [(1, len("we switched tools " * 9) - 1), (2, len("we switched " * 30) - 1)]
+
+
+def test_wet_records_start_at_lines(spark, tmp_path):
+    """A mention inside a line is text; files with line feeds alone are read as well."""
+    body = "see WARC/1.0\r\nhere, " + "words of it " * 20
+    for name, end in (("a", "\r\n"), ("b", "\n")):
+        record = f"WARC/1.0{end}WARC-Type: conversion{end}WARC-Target-URI: http://{name}/{{}}{end}WARC-Date: 2024-01-02{end}{end}" + body.replace("\r\n", end) + f"{end}{end}"
+        (tmp_path / f"{name}.wet").write_text("".join(record.format(i) for i in range(2)), newline="")
+        got = warc.read_wet(spark, str(tmp_path / f"{name}.wet")).collect()
+        assert sorted((r["url"], r["text"]) for r in got) == [(f"http://{name}/{i}", body.replace("\r\n", "\n").strip()) for i in range(2)]
+
+
+def test_append_skips_rows_without_a_key(spark, tmp_path):
+    batch = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("", 3)], "url string, n long")
+    for _ in range(2):
+        incremental.append_new(batch, str(tmp_path / "t"), "url")
+    incremental.append_new(spark.createDataFrame([("a", 9), ("b", 4)], "url string, n long"), str(tmp_path / "t"), "url")
+    assert sorted(map(tuple, incremental.read_appended(spark, str(tmp_path / "t")).collect())) == [("a", 1), ("b", 4)]
+
+
+def test_best_of_string_ties(spark):
+    rows = spark.createDataFrame([("k", 2.0, "b"), ("k", 2.0, "a"), ("k", None, "0")], "key string, v double, id string")
+    assert extract.best_per_key(rows, "key", "v", "id").first()["id"] == "a"
+
+
 def test_wet(spark, tmp_path):
     body = "first line\n\nsecond WARC/1.0 inside " + "x" * 100
     record = f"WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: https://a.org/1\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n\r\n{body}\r\n\r\n"

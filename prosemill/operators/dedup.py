@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill.session import ship
@@ -28,6 +28,18 @@ def without_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return df.join(known.select(key).distinct(), key, "left_anti")
 
 
+def numbered(df: DataFrame, order: str, name: str, checkpoint) -> DataFrame:
+    """Adds a column of numbers from 0 without gaps, in the order of a column: ranges of it are sorted by themselves, and
+    only the number of rows of each range is summed over all."""
+    ranged = checkpoint(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("__at", F.monotonically_increasing_id()))
+    sizes = ranged.groupBy(F.shiftright("__at", 33).alias("__range")).agg(F.count("*").alias("__n"))
+    # A row for each range.
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    both = ranged.withColumn("__range", F.shiftright("__at", 33)).join(bases, "__range")
+    return both.withColumn(name, F.col("__base") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__range", "__base", "__at")
+
+
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, bit-parallel: one big integer holds a row of the table."""
     if not a or not b:

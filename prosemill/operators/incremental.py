@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosemill.operators.text import truncated
+
 STAGES = ("ingest", "filter", "extract", "validate", "package")
 
 
@@ -73,6 +76,31 @@ def fallback(df: DataFrame, cache: DataFrame, classify, text: str, value: str =
     return found.mapInPandas(ask, found.schema)
 
 
+#: Keys that a classifier's answer must have.
+ANSWER = ("decision_context", "criteria", "objection", "workflow_step", "industry_hint", "confidence")
+
+
+def answered_rows(df: DataFrame, data: str = "data", most: int = 240) -> DataFrame:
+    """Rows of the answers (JSON texts) that are whole: they have every key of ANSWER and no true skip mark.
+
+    Adds the keys as columns (decision_context cut to most characters, confidence a double); other answers give no row.
+    """
+    answer = F.from_json(F.col(data), "map<string,string>")
+    whole = reduce(lambda a, b: a & b, [F.map_contains_key("__answer", F.lit(k)) for k in ANSWER])
+    skip = F.coalesce(F.col("__answer")["skip"], F.lit("false")).isin("", "0", "false", "null")
+    out = df.withColumn("__answer", answer).where(F.col("__answer").isNotNull()).where(whole & skip)
+    values = {k: F.col("__answer")[k] for k in ANSWER}
+    values["decision_context"] = truncated(values["decision_context"], most)
+    values["confidence"] = values["confidence"].try_cast("double")
+    return out.withColumns(values).where("confidence IS NOT NULL").drop("__answer", data)
+
+
+def cacheable(df: DataFrame, data: str = "data") -> DataFrame:
+    """(cache_key, data) of answers: what can't be read is kept as a mark to skip, so that it isn't asked again."""
+    bad = F.from_json(F.col(data), "map<string,string>").isNull()
+    return df.select("cache_key", F.when(bad, F.lit('{"skip": true, "error": "not JSON"}')).otherwise(F.col(data)).alias("data")).dropDuplicates(["cache_key"])
+
+
 def append_new(batch: DataFrame, path: str, key: str) -> None:
     """Appends rows with keys that the table at path doesn't have; rows without a key (null or empty) are left out.
 

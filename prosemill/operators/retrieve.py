@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prosemill.functions.patterns import has
 from prosemill.session import ship
 
 
@@ -52,6 +53,21 @@ def embedded(df: DataFrame, text: str, encode) -> DataFrame:
     return df.withColumn("embedding", F.pandas_udf(of, "array<float>")(F.col(text)))
 
 
+def metadata_filter(step: str | None = None, industry: str | None = None, min_confidence: float = 0.0, columns: tuple[str, str, str] = ("workflow_step", "industry_hint", "confidence")) -> Column:
+    """Rows whose step and industry hold a pattern, in any case, and whose confidence is high enough; null never matches."""
+    out = F.lit(True)
+    for pattern, column in ((step, columns[0]), (industry, columns[1])):
+        if pattern:
+            out = out & has(F.col(column), pattern)
+    return out & (F.col(columns[2]) >= min_confidence) if min_confidence > 0 else out
+
+
+def retrieved(rows: DataFrame, query: list[float], k: int = 10, threshold: float = 0.72, row_id: str = "vec_id", step: str | None = None, industry: str | None = None, min_confidence: float = 0.0) -> DataFrame:
+    """The k best rows that the metadata filter lets through, with similarity_score in four digits."""
+    found = top_k(rows, query, k, threshold, row_id, metadata_filter(step, industry, min_confidence))
+    return found.withColumn("similarity_score", F.round("similarity", 4)).drop("similarity")
+
+
 def top_k(rows: DataFrame, query: list[float], k: int = 10, threshold: float = 0.72, row_id: str = "vec_id", where: Column | None = None) -> DataFrame:
     """The k rows most similar to one query, at least the threshold. Filters come before scoring; ties go to the smaller id."""
     kept = rows.where(where) if where is not None else rows
@@ -91,12 +107,12 @@ def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: floa
 
 
 def eval_report(results: DataFrame, expectations: DataFrame) -> DataFrame:
-    """For each expectation (query_id, min_results, expected labels): how many results, whether enough, whether a label is met.
+    """For each expectation (query_id, min_results, expected): how many results, whether enough, whether a label is met.
 
-    results: query_id, label. Without results the labels aren't tested.
+    results: query_id, label. An expected text is met as a part of a label; without results the labels aren't tested.
     """
     got = results.join(expectations.select("query_id", "expected"), "query_id")
-    got = got.groupBy("query_id").agg(F.count("*").alias("n_results"), F.max(F.array_contains("expected", F.col("label")).cast("int")).alias("hit"))
+    got = got.groupBy("query_id").agg(F.count("*").alias("n_results"), F.max(F.exists("expected", lambda x: F.col("label").cast("string").contains(x.cast("string"))).cast("int")).alias("hit"))
     out = expectations.join(got, "query_id", "left").withColumn("n_results", F.coalesce("n_results", F.lit(0).cast("long")))
     count_pass, label_pass = F.col("n_results") >= F.col("min_results"), (F.col("n_results") == 0) | (F.col("hit") == 1)
     return out.select("query_id", "n_results", count_pass.alias("count_pass"), label_pass.alias("label_pass"), (count_pass & label_pass).alias("overall_pass"))

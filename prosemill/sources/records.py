@@ -77,8 +77,47 @@ def comment_tree(items: DataFrame, depth: int = 3, most: int = 50) -> DataFrame:
     return out
 
 
-#: Bodies that say that an item is gone.
+#: Bodies that say that an item is gone; shortest text of a post; how much of an expansion record is its text.
 GONE = ("", "[deleted]", "[removed]")
+MIN_POST, SHORT_TEXT = 50, 2000
+FORUM = "https://www.reddit.com"
+
+
+def _post(title: Column, body: Column) -> Column:
+    return strip(F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), body))
+
+
+def forum_posts(posts: DataFrame, segment: str = "reddit_api") -> DataFrame:
+    """Records of landed posts (id, title, selftext, body, permalink, subreddit, created_utc); short ones are left out."""
+    first = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("selftext", "body")], F.lit(""))
+    text = _post(F.col("title"), F.when(first.isin(*GONE), F.lit("")).otherwise(first))
+    link = F.concat(F.lit(FORUM), F.when(F.coalesce("permalink", F.lit("")) != "", F.col("permalink")).otherwise(F.concat(F.lit("/r/"), F.coalesce("subreddit", F.lit("")), F.lit("/comments/"), F.coalesce("id", F.lit("")), F.lit("/"))))
+    out = posts.select(
+        link.alias("url"), F.substring(text, 1, MAX_TEXT).alias("text"), epoch_date(F.coalesce("created_utc", F.lit(0))).alias("crawl_date"), F.lit(segment).alias("segment_id"),
+        F.lit("www.reddit.com").alias("domain"), F.lit("community_discussion").alias("source_type"), F.coalesce("subreddit", F.lit("reddit")).alias("subreddit"), F.length(text).alias("__n"),
+    )
+    return out.where(F.col("__n") >= MIN_POST).drop("__n")
+
+
+def untagged(body: Column) -> Column:
+    """Markup as spaces, if there is any."""
+    body = F.coalesce(body, F.lit(""))
+    return F.when(body.contains("<") & body.contains(">"), strip(F.regexp_replace(F.regexp_replace(body, r"<[^>]+>", " "), r"(?U)\s+", " "))).otherwise(body)
+
+
+def expansion_records(items: DataFrame, segment: str, domain: str) -> DataFrame:
+    """Records of the second shape from items (url, title, body, created): full_text of 8000 characters and a text of 2000."""
+    full = F.substring(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), untagged(F.col("body"))), 1, MAX_TEXT)
+    return items.select(
+        "url", F.col("url").alias("source_url"), "title", full.alias("full_text"), F.substring(full, 1, SHORT_TEXT).alias("text"),
+        epoch_date(F.coalesce("created", F.lit(0))).alias("crawl_date"), F.lit(segment).alias("segment_id"), F.lit(domain).alias("domain"),
+    )
+
+
+def best_text(df: DataFrame) -> Column:
+    """full_text where a record has one, else its text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.when(F.coalesce("full_text", F.lit("")) != "", F.col("full_text")).otherwise(text) if "full_text" in df.columns else text
 
 
 def alive(df: DataFrame, text: str = "text") -> DataFrame:

@@ -103,7 +103,6 @@ def test_tokens_are_those_of_the_library():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     more = ["don't  we'll\n\n  x", "<|endoftext|> a", "1234 56,7!! \t\t tab", "日本語 текст ¿qué?", "a  b  c", "\n", "x" * 3000]
     texts = [t or "" for t in TEXTS] + more
     ids, at = packing.token_ids(*A.buffers(pa.array(texts)))

@@ -97,6 +97,68 @@ TWO_SIGNAL_DECISION = [
     "we went with", "we ended up", "we picked", "procured", "purchased",
 ]
 TWO_SIGNAL_ACTOR = ["we ", "our team", "our company", "our org", "we've ", "the team selected", "the company chose", "they selected", "the client", "my team"]
+# The two-signal test of other sources: shortest text, terms of deciding, terms of acting (empty: not asked for).
+PREFILTERS = {
+    "reviews": (
+        80,
+        ["chose", "selected", "switched", "migrated", "evaluated", "replaced", "rejected", "moved from", "adopted", "piloted", "procured", "purchased", "trialed"],
+        ["we ", "our team", "our company", "our org", "we've ", "the team", "the company", "they selected", "they chose", "the client", "the organization"],
+    ),
+    "articles": (
+        100,
+        ["chose", "selected", "switched", "migrated", "evaluated", "replaced", "rejected", "moved from", "adopted", "piloted"],
+        ["we ", "our team", "our company", "we've ", "we'd "],
+    ),
+    "items": (
+        101,
+        ["chose", "selected", "switched", "migrated", "evaluated", "replaced", "rejected", "moved from", "adopted", "piloted", "trialed"],
+        ["we ", "our team", "our company", "we've ", "we'd "],
+    ),
+    "posts": (
+        80,
+        ["chose", "selected", "switched", "migrated", "evaluated", "replaced", "rejected", "moved from", "adopted", "piloted", "trialed", "we decided", "we went with", "we ended up", "we picked"],
+        ["we ", "our team", "our company", "our org", "we've ", "we'd ", "the team", "the company", "my team", "our shop"],
+    ),
+    "questions": (
+        0,
+        [
+            "switched from", "migrated from", "replaced", "chose instead", "moved away from", "why we use", "we chose", "we selected", "alternatives considered", "comparison", "vs ",
+            "instead of", "moved to", "switched to", "migrated to", "evaluated", "shortlisted", "why not", "we decided", "our team chose", "we went with",
+        ],
+        [],
+    ),
+    "expansion": (200, ["switched", "migrated", "replaced", "chose", "moved from", "alternatives", "we decided", "we selected"], []),
+}
+# The same test by whole words; a term that ends in a space needs a word after it.
+REGEX_PREFILTERS = {
+    "targeted_items": (
+        80,
+        ["chose", "switched", "migrated", "replaced", "moved", "adopted", "selected", "evaluated", "decided", "implemented", "deployed", "went with", "ended up"],
+        ["we ", "our team", "our company", "my team", "my company", "i ", "i've", "we've", "we're", "we chose", "we migrated", "we moved", "we switched", "we replaced"],
+    ),
+    "answers": (
+        100,
+        ["chose", "switched", "migrated", "replaced", "moved", "adopted", "selected", "evaluated", "decided", "implemented", "deployed", "went with", "ended up", "settled on"],
+        [
+            "we ", "our team", "our company", "our org", "my team", "my company", "i ", "i've", "we've", "we're", "our stack", "we chose", "we migrated", "we moved", "we switched",
+            "we replaced", "we selected", "we went with", "we decided", "we ended up", "we evaluated",
+        ],
+    ),
+    "expansion_words": (
+        0,
+        ["chose", "switched", "migrated", "replaced", "moved", "adopted", "selected", "evaluated", "decided", "implemented", "deployed"],
+        ["we", "our team", "our company", "our org", "i ", "the team", "the company", "my team", "our stack", "we've", "we're"],
+    ),
+}
+# Phrases of which a raw record of the targeted ingestion needs one.
+TARGETED = [
+    "we chose", "we selected", "we evaluated", "we switched", "we migrated", "we replaced", "we adopted", "we rejected", "we piloted", "we trialed", "we procured", "we purchased",
+    "why we switched", "why we chose", "why we moved", "why we use", "why we replaced", "moved from", "migrated from", "switched from", "migrated away from", "transitioned from",
+    "replaced with", "moved away from", "vendor evaluation", "vendor selection", "software evaluation", "evaluated several", "evaluated multiple", "compared vendors",
+    "shortlisted vendors", "proof of concept", "security review", "compliance review", "procurement process", "RFP process", "request for proposal", "vendor assessment",
+    "due diligence", "rejected because", "decided against", "too expensive for", "vendor lock-in", "lacked support", "integration issues", "scalability issues",
+    "security concerns", "case study", "lessons learned", "retrospective", "post-mortem", "engineering blog", "tech stack", "tool evaluation",
+]
 TITLE_SIGNALS = [
     "switched", "migrated", "migration", "chose", "selected", "moved from", "from.*to", "vs ", "compared", "why we", "how we", "replaced",
     "alternatives", "evaluation", "choosing", "decided", "abandoned", "deprecated", "away from", "instead of", "over.*because",

@@ -203,10 +203,15 @@ def with_dom_text(df: DataFrame, html: str = "html") -> DataFrame:
     return df.withColumn("text", _udf(dom_text, "string")(F.col(html)))
 
 
-def with_sections(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
-    """A row for each section that the parser of that name finds. A page at a time in Python, as a tree needs it."""
+def with_section_list(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
+    """Adds sections, a list of what the parser of that name finds. A page at a time in Python, as a tree needs it."""
     ship(df.sparkSession)
-    return df.withColumn("section", F.explode(_udf(PARSERS[parser].sections, "array<string>")(F.col(html))))
+    return df.withColumn("sections", _udf(PARSERS[parser].sections, "array<string>")(F.col(html)))
+
+
+def with_sections(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
+    """A row for each section that the parser of that name finds."""
+    return with_section_list(df, parser, html).withColumn("section", F.explode("sections")).drop("sections")
 
 
 def with_dispatched_sections(df: DataFrame, source: str, parsers: dict[str, str], keywords: list[str], html: str = "html") -> DataFrame:

@@ -49,6 +49,22 @@ def signal_coverage(df: DataFrame, text: str) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), share(verb).alias("pct_verb"), share(marker).alias("pct_marker"), share(verb & marker).alias("pct_both"))
 
 
+def change_report(before: DataFrame, after: DataFrame, text: str, value: str) -> DataFrame:
+    """A row for the rows before and one for those after (stage): counts, percentages as in signal_coverage, upper median of value.
+
+    A stage without rows has a row of zeros.
+    """
+    verb, marker = S.gate_verb(F.col(text)), S.gate_marker(F.col(text))
+    parts = [d.select(F.lit(s).alias("stage"), verb.alias("v"), marker.alias("m"), F.col(value).alias("x")) for s, d in (("before", before), ("after", after))]
+    share = lambda c: F.bround(F.lit(100.0) * F.count_if(c) / F.count("*"), 1)
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)")
+    found = parts[0].union(parts[1]).groupBy("stage").agg(
+        F.count("*").alias("row_count"), share(F.col("v")).alias("pct_verb"), share(F.col("m")).alias("pct_marker"), share(F.col("v") & F.col("m")).alias("pct_both"), F.round(median, 3).alias("median"),
+    )
+    stages = before.sparkSession.sql("SELECT explode(array('before', 'after')) AS stage")
+    return stages.join(found, "stage", "left").na.fill(0)
+
+
 def rates(n_in: Column, n_out: Column, n_duplicates: Column) -> dict[str, Column]:
     base = F.greatest(n_in, F.lit(1))
     return {"duplicate_rate": F.bround(n_duplicates / base, 4), "noise_rate": F.bround((n_in - n_out) / base, 4)}

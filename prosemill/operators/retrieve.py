@@ -53,6 +53,19 @@ def embedded(df: DataFrame, text: str, encode) -> DataFrame:
     return df.withColumn("embedding", F.pandas_udf(of, "array<float>")(F.col(text)))
 
 
+def embedded_incremental(df: DataFrame, known: DataFrame, key: str, text: str, encode) -> DataFrame:
+    """All rows of df with their embedding: from known (key, embedding) where it has the key, else by the encoder.
+
+    A vector goes to a row by the key (such as row_hash), never by its place; only texts of new keys are encoded, one
+    for each key. A null key is never known, and each row with one is encoded.
+    """
+    old = known.where(F.col(key).isNotNull()).groupBy(key).agg(F.first("embedding").alias("embedding"))
+    fresh = df.where(F.col(key).isNotNull()).join(old.select(key), key, "left_anti").groupBy(key).agg(F.first(text).alias("__text"))
+    vectors = old.select(key, "embedding").unionByName(embedded(fresh, "__text", encode).select(key, "embedding"))
+    keyed = df.where(F.col(key).isNotNull()).join(vectors, key)
+    return keyed.unionByName(embedded(df.where(F.col(key).isNull()), text, encode))
+
+
 def metadata_filter(step: str | None = None, industry: str | None = None, min_confidence: float = 0.0, columns: tuple[str, str, str] = ("workflow_step", "industry_hint", "confidence")) -> Column:
     """Rows whose step and industry hold a pattern, in any case, and whose confidence is high enough; null never matches."""
     out = F.lit(True)

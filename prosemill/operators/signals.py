@@ -22,6 +22,15 @@ def two_signal_regex(text: Column, decision: list[str], actor: list[str], at_lea
     return (F.length(F.coalesce(text, F.lit(""))) >= at_least) & has(text, whole(decision)) & has(text, whole(actor))
 
 
+def source_prefilter(text: Column, source: str) -> Column:
+    """The two-signal test of a source: substrings or whole words, as its table says; without terms of acting, one signal."""
+    if source in X.REGEX_PREFILTERS:
+        at_least, decision, actor = X.REGEX_PREFILTERS[source]
+        return two_signal_regex(text, decision, actor, at_least)
+    at_least, decision, actor = X.PREFILTERS[source]
+    return two_signal_prefilter(text, decision, actor, at_least) if actor else keyword_prefilter(text, decision, at_least)
+
+
 def title_signal(title: Column, patterns: list[str]) -> Column:
     return has(title, alternation(patterns))
 

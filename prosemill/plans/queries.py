@@ -18,10 +18,10 @@ from prosemill.operators import dedup, extract, html, incremental, pii, report,
 from prosemill.operators import text as T
 from prosemill.plans import pipeline
 from prosemill.plans.sqltext import (
-    FIXTURES, GATE_SQL, TEXTS, all_matches, any_like, clean_lines_sql, clean_nav_sql, first_at, labels_sql, match, points_sql, score_sql, sentences_sql, strip_sql, truncated_sql, values,
+    FIXTURES, GATE_SQL, TEXTS, all_matches, any_like, clean_lines_sql, clean_nav_sql, first_at, labels_sql, match, points_sql, score_sql, sentences_sql, strip_sql, truncated_sql, values, words_sql,
 )
 from prosemill.session import shared_dir, spread
-from prosemill.sources import records, sinks, warc
+from prosemill.sources import landed, records, sinks, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,6 +76,30 @@ def two_signal_prefilter(spark, sf):
     return texts(spark, sf).where(signals.two_signal_prefilter(F.col("text"))).select("row_id")
 
 
+def source_test(column: str, source: str) -> str:
+    """SQL of a source's two-signal test."""
+    if source in X.REGEX_PREFILTERS:
+        n, decision, actor = X.REGEX_PREFILTERS[source]
+        signals_ = [words_sql(column, decision), words_sql(column, actor)]
+    else:
+        n, decision, actor = X.PREFILTERS[source]
+        signals_ = [any_like(column, t) for t in (decision, actor) if t]
+    return f"(length({column}) >= {n} AND {' AND '.join(signals_)})"
+
+
+_VARIANTS = [*X.PREFILTERS, *X.REGEX_PREFILTERS]
+
+
+@query(f"SELECT row_id, {', '.join(f'coalesce({source_test("text", v)}, false) AS {v}' for v in _VARIANTS)} FROM {TEXTS}")
+def prefilter_variants(spark, sf):
+    return texts(spark, sf).select("row_id", *[signals.source_prefilter(F.col("text"), v).alias(v) for v in _VARIANTS])
+
+
+@query(f"SELECT row_id FROM {TEXTS} WHERE {any_like('text', X.TARGETED)}")
+def targeted_prefilter(spark, sf):
+    return texts(spark, sf).where(signals.keyword_prefilter(F.col("text"), X.TARGETED)).select("row_id")
+
+
 @query(f"SELECT row_id FROM (SELECT row_id, substr(text, 1, 80) AS title FROM {TEXTS}) WHERE {match('title', alternation(X.TITLE_SIGNALS))}")
 def title_signal(spark, sf):
     return texts(spark, sf).where(signals.title_signal(F.substring("text", 1, 80), X.TITLE_SIGNALS)).select("row_id")
@@ -637,6 +661,117 @@ def expansion_records(spark, sf):
     return records.expansion_records(items, "stackexchange_x", "x.stackexchange.com").select("url", F.md5("full_text").alias("full_digest"), F.md5("text").alias("digest"), "crawl_date")
 
 
+# Landed objects: each holds a phrase of deciding, so that the tests let most through.
+_SAYS = "'We chose it, ' || text"
+
+
+def _says():
+    return F.concat(F.lit("We chose it, "), "text")
+
+
+@query(
+    f"""WITH a AS (SELECT doc_id, 'https://dev.to/article/' || doc_id AS u, CASE WHEN {source_test('w', 'articles')} THEN w WHEN {source_test('s', 'articles')} THEN s END AS t
+        FROM (SELECT doc_id, {strip_sql(f"'Notes ' || doc_id || chr(10) || chr(10) || CASE WHEN {_SAYS} <> '' THEN {_SAYS} ELSE 'We chose it' END")} AS w, {strip_sql("'Notes ' || doc_id || chr(10) || chr(10) || 'We chose it'")} AS s FROM documents WHERE doc_id % 2 = 0)),
+        c AS (SELECT a.u || '#comment_' || substr(md5(substr(t2, 1, 50)), 1, 8) AS url, t2 AS t FROM (SELECT doc_id - doc_id % 2 AS id, {_SAYS} AS t2 FROM documents WHERE doc_id % 2 = 1) JOIN a ON doc_id = id
+            WHERE a.t IS NOT NULL AND id % 3 <> 0 AND length(t2) > 50 AND {source_test('t2', 'articles')}),
+        r AS (SELECT u AS url, t, 'devto_api' AS segment_id FROM a WHERE t IS NOT NULL UNION ALL SELECT url, t, 'devto_comments' FROM c)
+        SELECT url, md5(substr(min(t), 1, 8000)) AS digest, segment_id, '2024-05-06' AS crawl_date FROM r GROUP BY url, segment_id"""
+)
+def article_records(spark, sf):
+    docs, i = table(spark, sf, "documents"), F.col("doc_id")
+    articles = docs.where(i % 2 == 0).select(
+        i.alias("id"), F.lit("").alias("url"), F.concat(F.lit("Notes "), i.cast("string")).alias("title"), F.lit("We chose it").alias("description"), F.when(i % 4 == 0, _says()).alias("body_markdown"), _says().alias("body_html"),
+        F.lit(None).cast("string").alias("published_at"), F.lit("2024-05-06T01:02:03Z").alias("created_at"), F.lit("migration").alias("tag"), F.when(i % 3 == 0, 49).otherwise(50).alias("positive_reactions_count"),
+    )
+    comments = docs.where(i % 2 == 1).select((i - i % 2).alias("article_id"), _says().alias("body_html"))
+    return landed.article_records(articles, comments).select("url", F.md5("text").alias("digest"), "segment_id", "crawl_date")
+
+
+_DAY = "CAST(CAST(to_timestamp(1700000000 + 86400 * {}) AT TIME ZONE 'UTC' AS DATE) AS VARCHAR)"
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, {strip_sql(f"'Item ' || doc_id || chr(10) || chr(10) || {_SAYS}")} AS t FROM documents WHERE doc_id % 10 = 0),
+        r AS (SELECT doc_id AS root, 'https://news.ycombinator.com/item?id=' || doc_id AS url, t FROM s WHERE length(t) > 50
+        UNION ALL SELECT s.doc_id, 'https://news.ycombinator.com/item?id=' || s.doc_id || '#c' || substr(md5(substr(c.t, 1, 50)), 1, 8), c.t FROM (SELECT doc_id, {_SAYS} AS t FROM documents WHERE doc_id % 10 BETWEEN 1 AND 3) c
+            JOIN s ON s.doc_id = c.doc_id - c.doc_id % 10 WHERE length(c.t) >= 100 AND {source_test('c.t', 'items')})
+        SELECT url, md5(substr(min(t), 1, 8000)) AS digest, {_DAY.format('root')} AS crawl_date FROM r GROUP BY url, root"""
+)
+def item_records(spark, sf):
+    i = F.col("doc_id")
+    items = table(spark, sf, "documents").select(
+        i.alias("item_id"), F.when(i % 10 > 0, i - 1).alias("parent_id"), F.concat(F.lit("Item "), i.cast("string")).alias("title"), _says().alias("text"), (F.lit(1700000000) + 86400 * i).alias("time"),
+        F.lit(None).cast("boolean").alias("deleted"), F.lit(False).alias("dead"),
+    )
+    return landed.item_records(items).select("url", F.md5("text").alias("digest"), "crawl_date")
+
+
+_FLAT = strip_sql("regexp_replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')")
+
+
+@query(
+    f"""WITH q AS (SELECT doc_id, 'Why we moved to it' || chr(10) || chr(10) || {_FLAT.format('coalesce(text, chr(32))')} AS t, doc_id % 4 AS score FROM documents WHERE doc_id % 2 = 0),
+        b AS (SELECT doc_id - doc_id % 2 AS id, string_agg(' ' || {_FLAT.format("k || ' ' || coalesce(text, '')")}, '' ORDER BY k DESC) AS x FROM documents, (VALUES (2), (3), (4)) AS v(k) WHERE doc_id % 2 = 1 GROUP BY 1)
+        SELECT 'https://q.example/' || doc_id AS url, md5(substr(t || ' ' || coalesce(x, ''), 1, 8000)) AS full_digest, md5(substr(substr(t || ' ' || coalesce(x, ''), 1, 8000), 1, 2000)) AS digest, score, {_DAY.format('doc_id')} AS crawl_date
+        FROM q LEFT JOIN b ON id = doc_id AND score >= 2"""
+)
+def question_records(spark, sf):
+    docs, i = table(spark, sf, "documents"), F.col("doc_id")
+    questions = docs.where(i % 2 == 0).select(i.alias("question_id"), F.concat(F.lit("https://q.example/"), i.cast("string")).alias("link"), F.lit("Why we moved to it").alias("title"), F.col("text").alias("body"), (i % 4).alias("score"), (F.lit(1700000000) + 86400 * i).alias("creation_date"))
+    k = F.explode(F.sequence(F.lit(1), F.lit(4)))
+    answers = docs.where(i % 2 == 1).select((i - i % 2).alias("question_id"), k.alias("k"), "text").select("question_id", F.col("k").alias("answer_id"), F.col("k").alias("score"), F.concat_ws(" ", F.col("k").cast("string"), F.coalesce("text", F.lit(""))).alias("body"))
+    return landed.question_records(questions, answers, "x").select("url", F.md5("full_text").alias("full_digest"), F.md5("text").alias("digest"), "score", "crawl_date")
+
+
+@query(f"SELECT 'https://a.example/' || doc_id AS url, md5(substr(t, 1, 8000)) AS full_digest, 'se_answers_x' AS segment_id FROM (SELECT doc_id, {_FLAT.format(_SAYS)} AS t FROM documents) WHERE {source_test('t', 'answers')}")
+def answer_records(spark, sf):
+    i = F.col("doc_id")
+    answers = table(spark, sf, "documents").select(F.concat(F.lit("https://a.example/"), i.cast("string")).alias("url"), _says().alias("body"), F.lit(3).alias("score"), F.lit(1700000000).alias("creation_date"))
+    return landed.answer_records(answers, "x").select("url", F.md5("full_text").alias("full_digest"), "segment_id")
+
+
+@query("SELECT url, page_id AS place FROM pages WHERE page_id % 3 <> 0")
+def index_lines(spark, sf):
+    line = F.to_json(F.struct("url", F.lit("20240102030405").alias("timestamp"), F.when(F.col("page_id") % 3 == 0, "404").otherwise("200").alias("status"), F.lit("text/html").alias("mime"), F.lit("f.warc.gz").alias("filename"), F.col("page_id").cast("string").alias("offset"), F.lit("9").alias("length")))
+    return landed.index_lines(pages(spark, sf).select(F.concat(F.lit("org,example)/ 20240102030405 "), line).alias("value"))).select("url", F.col("offset").alias("place"))
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, doc_id % 2 = 1 AS blog, {strip_sql(_SAYS)} AS t FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, false, {strip_sql("'Again we chose it, ' || text")} FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL),
+        k AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM s WHERE length(t) > CASE WHEN blog THEN 200 ELSE 100 END)
+        SELECT DISTINCT 'https://c.example/' || doc_id || CASE WHEN n > 1 THEN '#snippet_' || substr(md5(substr(t, 1, 100)), 1, 8) ELSE '' END AS url, md5(substr(t, 1, 8000)) AS digest, '2024-01-02' AS crawl_date,
+        CASE WHEN blog THEN 'tech_blog' ELSE 'case_study' END AS source_type FROM k WHERE {source_test('t', 'reviews')}
+        UNION ALL SELECT 'https://c.example/' || doc_id, md5(t), '2024-01-02', 'case_study' FROM
+            (SELECT doc_id, {strip_sql(f"{strip_sql(_SAYS)} || ' ' || {strip_sql(chr(39) + 'Again we chose it, ' + chr(39) + ' || text')}")} AS t FROM documents WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT doc_id FROM k)) WHERE length(t) > 200"""
+)
+def capture_records(spark, sf):
+    safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    odd = F.concat(F.lit("<html><body><article>We chose it, "), safe, F.lit("</article></body></html>"))
+    even = F.concat(F.lit('<html><body><div class="review">We chose it, '), safe, F.lit('</div><div class="x-reviews">Again we chose it, '), safe, F.lit("</div></body></html>"))
+    blog = F.col("doc_id") % 2 == 1
+    rows = table(spark, sf, "documents").select(F.concat(F.lit("https://c.example/"), F.col("doc_id").cast("string")).alias("url"), F.lit("20240102030405").alias("timestamp"), F.when(blog, "other").otherwise("trustradius").alias("source"), F.when(blog, odd).otherwise(even).alias("html"))
+    return landed.capture_records(rows).select("url", F.md5("text").alias("digest"), "crawl_date", "source_type")
+
+
+@query(
+    f"""WITH r AS (SELECT 'before' AS stage, decision_context AS t, confidence FROM {_ROWS} UNION ALL SELECT 'after', decision_context, confidence FROM {_ROWS} WHERE confidence >= 0.35)
+        SELECT stage, count(*) AS row_count, round_even(100.0 * count(*) FILTER (v) / count(*), 1) AS pct_verb, round_even(100.0 * count(*) FILTER (m) / count(*), 1) AS pct_marker,
+        round_even(100.0 * count(*) FILTER (v AND m) / count(*), 1) AS pct_both, round(list_sort(list(confidence))[count(*) // 2 + 1], 3) AS median
+        FROM (SELECT *, {match('t', whole(X.GATE_VERBS, True))} AS v, {match('t', whole(X.GATE_MARKERS, True))} AS m FROM r) GROUP BY 1"""
+)
+def change_report(spark, sf):
+    rows = _rows(spark, sf)
+    return report.change_report(rows, rows.where(F.col("confidence") >= pipeline.MIN_CONFIDENCE), "decision_context", "confidence")
+
+
+@query("SELECT doc_id, CASE WHEN md5(text) IN (SELECT md5(text) FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL) THEN -1.0 ELSE CAST(length(coalesce(text, '')) AS DOUBLE) END AS value FROM documents")
+def embed_incremental(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "text", F.md5("text").alias("hash"))
+    known = rows.where("doc_id % 2 = 0").select("hash", F.array(F.lit(-1.0).cast("float")).alias("embedding"))
+    out = retrieve.embedded_incremental(rows, known, "hash", "text", lambda ts: [[float(len(t))] for t in ts])
+    return out.select("doc_id", F.col("embedding")[0].cast("double").alias("value"))
+
+
 @query()
 def embed_documents(spark, sf):
     return retrieve.embedded(table(spark, sf, "documents").select("doc_id", "text"), "text", retrieve.hashed_encoder()).select("doc_id", "embedding")

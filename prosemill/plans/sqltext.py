@@ -51,6 +51,12 @@ def match(column: str, pattern: str) -> str:
     return f"regexp_matches(coalesce({column}, ''), {re2(pattern, edges=True)})"
 
 
+def words_sql(column: str, terms: list[str]) -> str:
+    """Any of the terms between boundaries; one that ends in a space needs a character of a word next."""
+    ends = [re.escape(t) + (_WORD if t.endswith(" ") else f"(?:$|{_EDGE})") for t in terms]
+    return f"regexp_matches(coalesce({column}, ''), {literal(f'(?i)(?:^|{_EDGE})(?:' + '|'.join(ends) + ')')})"
+
+
 def all_matches(column: str, pattern: str, ignore_case: bool = True) -> str:
     return f"regexp_extract_all({column}, {re2(pattern, ignore_case)})"
 

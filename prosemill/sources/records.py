@@ -136,6 +136,12 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_shards(spark: SparkSession, path: str, schema: str = RECORD) -> DataFrame:
+    """All records of a folder of shards (one JSON array each, compressed or not); files that can't be read are skipped."""
+    spread = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", True)
+    return spread.json(path)
+
+
 def engagement_top(df: DataFrame, k: int, points: str = "points", comments: str = "num_comments", tie: str = "item_id") -> DataFrame:
     """The k rows with the largest points * (comments + 1)."""
     return df.withColumn("engagement", F.col(points) * (F.col(comments) + 1)).orderBy(F.desc("engagement"), tie).limit(k)

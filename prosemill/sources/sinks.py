@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,15 @@ def schema_json(schema: T.StructType, notes: dict[str, dict]) -> str:
     return json.dumps(json.loads(T.StructType(fields).json()), indent=2)
 
 
+def provenance_json(spark: SparkSession, reports: list[str], **about) -> str:
+    """The reports of the stages (paths of small JSON files, in the stages' order) as one chain; files that aren't there are left out."""
+    hadoop, found = spark._jvm.org.apache.hadoop.fs.Path, []
+    for path in reports:
+        if hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(path)):
+            found.append(json.loads(spark.read.text(path, wholetext=True).first()[0]))
+    return json.dumps({**about, "pipeline_stages": found}, indent=2)
+
+
 def report_json(df: DataFrame) -> str:
     """A report of one row as JSON."""
     return json.dumps(df.first().asDict(recursive=True), default=str)

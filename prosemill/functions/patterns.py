@@ -40,10 +40,11 @@ def hits(text: Column, pattern: str, ignore_case: bool = True) -> Column:
 
 def any_of(text: Column, terms: list[str]) -> Column:
     """Any term is a substring of the lower-cased text."""
-    low, out = F.lower(F.coalesce(text, F.lit(""))), F.lit(False)
-    for t in terms:
-        out = out | low.contains(t.lower())
-    return out
+    low = F.lower(F.coalesce(text, F.lit("")))
+    tests = [low.contains(t.lower()) for t in terms] or [F.lit(False)]
+    while len(tests) > 1:  # a tree of little depth: generated code of a long chain of tests overflows the compiler's stack
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+    return tests[0]
 
 
 def strip(text: Column) -> Column:

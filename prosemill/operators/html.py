@@ -39,6 +39,13 @@ def links(html: Column, most: int = 50) -> Column:
     return F.slice(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit('href="([^"]+)"'), F.lit(1)), 1, most)
 
 
+def feed_links(xml: Column, most: int = 50) -> Column:
+    """Link targets of a feed: texts of its link elements, then targets of its alternate links; of the first so many, web addresses alone."""
+    xml = F.coalesce(xml, F.lit(""))
+    found = F.concat(*[F.regexp_extract_all(xml, F.lit(p), F.lit(1)) for p in ("<link>([^<]+)</link>", '<link rel="alternate"[^>]+href="([^"]+)"')])
+    return F.filter(F.slice(found, 1, most), lambda x: x.startswith("http"))
+
+
 def http_body(raw: Column) -> Column:
     """What follows the headers of a response: after the first blank line, with or without carriage returns."""
     at = F.instr(raw, "\r\n\r\n")

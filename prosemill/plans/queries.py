@@ -297,6 +297,15 @@ def html_links(spark, sf):
     return pages(spark, sf).select("page_id", F.explode(html.links(F.col("html"))).alias("link"))
 
 
+@query(
+    """SELECT page_id, unnest(list_filter([' spaced ' || url, url || '?a'] || CASE WHEN page_id % 2 = 0 THEN ['https://alt.example/' || page_id] ELSE [] END, lambda x: starts_with(x, 'http'))) AS link FROM pages"""
+)
+def feed_links(spark, sf):
+    parts = [F.lit("<rss><link> spaced "), "url", F.lit("</link><item><link>"), "url", F.lit("?a</link></item>")]
+    other = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<link rel="alternate" type="text/html" href="https://alt.example/'), F.col("page_id").cast("string"), F.lit('"/>'))).otherwise("")
+    return pages(spark, sf).select("page_id", F.explode(html.feed_links(F.concat(*parts, other))).alias("link"))
+
+
 @query()
 def html_to_text(spark, sf):
     return html.with_dom_text(pages(spark, sf)).select("page_id", "text")
@@ -321,6 +330,24 @@ def pii_types(spark, sf):
     return pii.with_pii(texts(spark, sf), ["text"]).select("row_id", F.array_join("pii_types", ",").alias("pii_types"))
 
 
+def _found(pattern: str, ignore_case: bool = False) -> str:
+    return f"len({all_matches('text', pattern, ignore_case)})"
+
+
+def _first_of(*counts: str) -> str:
+    return f"coalesce({', '.join(f'nullif({c}, 0)' for c in counts)}, 0)"
+
+
+_COUNTS = {
+    "email": _found(X.EMAIL), "phone": _first_of(*map(_found, X.PHONES)), "address": _first_of(_found(X.STREET, True), _found(X.PO_BOX, True), _found(X.CITY_ZIP)), "credit_card": _found(X.CARD),
+}
+
+
+@query(f"SELECT row_id, array_to_string(list_filter([{', '.join(f'CASE WHEN {c} > 0 THEN {chr(39)}{k}:{chr(39)} || {c} END' for k, c in _COUNTS.items())}], lambda x: x IS NOT NULL), ',') AS details FROM {TEXTS}")
+def pii_details(spark, sf):
+    return pii.with_pii(texts(spark, sf), ["text"], tuple(_COUNTS)).select("row_id", F.array_join("pii_details", ",").alias("details"))
+
+
 @query(f"SELECT pii_type, count(*) AS n_rows FROM (SELECT unnest(types) AS pii_type FROM {_PII}) GROUP BY 1")
 def pii_summary(spark, sf):
     return pii.pii_summary(texts(spark, sf), ["text"])
@@ -523,6 +550,11 @@ def top_domains(spark, sf):
     return report.distribution(pages(spark, sf).select(report.domain(F.col("url")).alias("value")), "value", 15)
 
 
+@query("SELECT string_split(url, '/')[3] AS value, count(*) AS n_rows FROM pages GROUP BY 1")
+def raw_domains(spark, sf):
+    return report.distribution(pages(spark, sf).select(report.raw_domain(F.col("url")).alias("value")), "value", None)
+
+
 @query("SELECT n_in, n_out, round_even((n_in - n_out) / greatest(n_in, 1), 4) AS noise_rate, round_even((n_in - n_unique) / greatest(n_in, 1), 4) AS duplicate_rate FROM (SELECT count(*) AS n_in, count(DISTINCT text) AS n_unique, count(DISTINCT text) FILTER (length(text) > 500) AS n_out FROM documents)")
 def quality_report(spark, sf):
     counts = table(spark, sf, "documents").groupBy("text").agg(F.count("*").alias("n")).agg(F.sum("n").alias("n_in"), F.count("*").alias("n_unique"), F.count_if(F.length("text") > 500).alias("n_out"))

@@ -20,6 +20,14 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def write_validated(passing: DataFrame, flagged: DataFrame, path: str) -> list[str]:
+    """Writes path/validated and, if there are flagged rows, path/flagged; returns what was written."""
+    parts = {"validated": passing} | ({"flagged": flagged} if flagged.head(1) else {})
+    for name, rows in parts.items():
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+    return list(parts)
+
+
 def debug_sample(df: DataFrame, status: str, key: str, text: str, k: int = 50) -> DataFrame:
     """k rows of each status, texts cut to 300 characters."""
     return stratified_sample(df, status, key, k).withColumn(text, F.substring(F.col(text), 1, 300))

@@ -98,3 +98,9 @@ def test_incremental_vectors(spark):
     known = spark.createDataFrame([("a", [9.0]), ("a", [9.0]), (None, [7.0]), ("gone", [8.0])], "k string, embedding array<float>")
     got = retrieve.embedded_incremental(df, known, "k", "t", lambda ts: [[float(len(t))] for t in ts])
     assert rows(got.select("i", F.col("embedding")[0])) == [(1, 9.0), (2, 3.0), (3, 3.0), (4, 4.0), (5, 0.0)]
+
+
+def test_flagged_rows_are_written_if_there_are_any(spark, tmp_path):
+    some, none = spark.range(3), spark.range(0)
+    assert sinks.write_validated(some, none, str(tmp_path / "a")) == ["validated"] and not (tmp_path / "a" / "flagged").exists()
+    assert sinks.write_validated(none, some, str(tmp_path / "b")) == ["validated", "flagged"] and spark.read.parquet(str(tmp_path / "b" / "flagged")).count() == 3

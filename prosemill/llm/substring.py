@@ -8,6 +8,8 @@
    a key that a third of all documents hold makes two matches for each, never all pairs. Keys of very many occurrences
    are dealt to several lists by the document, and the first documents of these meet in a list of their own. Who is
    matched depends on the documents alone, not on how they are partitioned.
+   These links join passages to classes. Where a list holds more places than these links reach, all its places of different
+   classes are compared in a second turn by the words around them, and those that may lie in a passage are matched as well.
 4. Matches of a pair of documents are chained in order in both texts: the best predecessor under a linear gap cost is a
    prefix maximum, kept in a Fenwick tree. Chains are cut where they leave out many words.
 5. The words around each chain are fetched and aligned: along each diagonal of the chain, changing from one to the next
@@ -22,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill.llm import arrowtext as A
-from prosemill.llm.common import attach, tune, written
+from prosemill.llm.common import attach, checked_broadcast, tune, written
+from prosemill.llm.graph import components
 
 #: Words of a seed, seeds of a window, words that a chain may leave out at a time, cost of a word left out.
 K, W, GAP, COST = 6, 8, 60, 0.05
@@ -38,6 +41,14 @@ MIN_WORDS, MIN_IDENTITY, MIN_CHAIN, SURE = 50, 0.8, 8, 12
 RUN, LISTS, LONG = 3, 4096, 64
 #: One document of TRIED is looked at to find such keys; this decides on lists only.
 TRIED = 32
+#: Words that places of a list are compared by (BEFORE of them before the seed), and how many must be equal: MOST, as in any
+#: passage, on the seed's diagonal or those up to SHIFT words beside it, LEAST of them on its own, as one of three diagonals
+#: has so many. Lists are compared by blocks of so many places.
+NEAR, BEFORE, MOST, LEAST, SHIFT, BLOCK = 128, 61, int(MIN_WORDS * MIN_IDENTITY), 14, 2, 2048
+#: Words of a cell.
+CELL = 24
+#: Places in a filter of the lists to compare: a list that gets in by chance is compared for nothing.
+SLOTS = 1 << 26
 #: Words fetched beyond a chain's ends, and the grid that fetched ranges are rounded to.
 MARGIN, GRID = 56, 32
 
@@ -122,17 +133,26 @@ def _neighbours(h: np.ndarray, doc: np.ndarray, old: int = 0) -> tuple[np.ndarra
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From keys sorted by (list, doc, pos): matches with the list's first document and with the document before; of the
-    lists of a key that has several, the first document (b null, head: the key).
+    lists of a key that has several, the first document (b null, head: the key). Seeds whose places these don't all match
+    with each other, as there are more than three or two in one document, are told, too (a null, head: the key).
 
     Only the state of the list at hand is held: the first place in its first document and in the last two.
     """
     state: np.ndarray | None = None  # the first rows of the list's first and last document
+    seen, last = 0, -1  # rows of the list at hand, and the document of the last one
     names = ["a", "b", "pa", "pb", "da", "db", "head"]
     for batch in batches:
         cols = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])  # list, h, doc, pos, more
         if not cols.shape[1]:
             continue
         old, going = 0, state is not None and state[0, 0] == cols[0, 0]
+        key, h, doc = cols[:3]
+        begin = np.append(True, key[1:] != key[:-1])
+        number = np.arange(len(key)) - np.maximum.accumulate(np.where(begin, np.arange(len(key)), 0))
+        number += np.where(np.cumsum(begin) == 1, seen * going, 0)
+        again = (number > 0) & (doc == np.append(last, doc[:-1]))
+        more_than = h[((number == 3) | (number < 3) & again | (number == 0) & (key != h)) & (cols[4] == 0)]
+        seen, last = int(number[-1]) + 1, doc[-1]
         if going:
             old = state.shape[1]
             cols = np.concatenate([state, cols], 1)
@@ -140,16 +160,13 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, new_h, new_d = _neighbours(key, doc, old)
         first = np.flatnonzero(new_h & (key != h))
         first = first[1:] if going and len(first) and first[0] == 0 else first
-        n, m = len(a), len(first)
-        out = [np.concatenate([doc[a], doc[first]]), doc[b], np.concatenate([pos[a], pos[first]]), pos[b], np.concatenate([more[a], more[first]]), more[b], h[first]]
+        n, m, o = len(a), len(first), len(more_than)
+        out = [np.concatenate([doc[a], doc[first]]), doc[b], np.concatenate([pos[a], pos[first]]), pos[b], np.concatenate([more[a], more[first]]), more[b], np.concatenate([h[first], more_than])]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16(), pa.int64()]
         arrays = []
         for k, (x, kind) in enumerate(zip(out, kinds)):
             own = pa.array(x).cast(kind)
-            if k in (1, 3, 5):
-                own = pa.concat_arrays([own, pa.nulls(m, kind)])
-            elif k == 6:
-                own = pa.concat_arrays([pa.nulls(n, kind), own])
+            own = pa.concat_arrays([pa.nulls(n, kind), own] if k == 6 else [own, pa.nulls(m + o if k in (1, 3, 5) else o, kind)])
             arrays.append(own)
         yield pa.RecordBatch.from_arrays(arrays, names=names)
         head, own = (int(np.flatnonzero(x)[-1]) for x in (new_h, new_d))
@@ -224,7 +241,7 @@ def chains(pa_: list[int], pb: list[int], k: int = K, gap: int = GAP, cost: floa
     return out
 
 
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chained(batches: Iterator[pa.RecordBatch], least: int = MIN_CHAIN) -> Iterator[pa.RecordBatch]:
     """From matches sorted by (a, b): chains long enough to lie in a passage, with the places where the diagonal changes."""
     held: list[np.ndarray] | None = None
 
@@ -245,7 +262,7 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for own in chains(xs, ys):
                 p, q = own[0], own[-1]
                 words = ys[q] + K - ys[p]
-                if words < MIN_CHAIN or words < SURE and xs[p] in places:
+                if words < least or words < SURE and xs[p] in places:
                     continue
                 places.add(xs[p])
                 turns, was = [], None
@@ -355,8 +372,8 @@ KEYS = "h long, doc long, pos int, more short"
 MATCHES = "a long, b long, pa int, pb int, da short, db short, head long"
 
 
-def matches(own: DataFrame) -> DataFrame:
-    """(a, b, pa, pb, da, db) of own (doc_id, text): matches of keys, a the earlier document."""
+def matches(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, pa, pb, da, db) of own (doc_id, text): matches of keys, a the earlier document; and (h): seeds with more places."""
 
     def met(keys: DataFrame) -> DataFrame:
         return keys.select("list", "h", "doc", "pos", "more").repartition("list").sortWithinPartitions("list", "doc", "pos").mapInArrow(_matches, MATCHES)
@@ -364,25 +381,288 @@ def matches(own: DataFrame) -> DataFrame:
     keys = own.mapInArrow(_keys, KEYS).join(F.broadcast(_lists(own)), "h", "left")
     dealt = F.when(F.col("lists").isNull(), F.col("h")).otherwise(F.xxhash64("h", F.pmod(F.xxhash64("doc", F.lit(3)), F.col("lists"))))
     found = written(met(keys.withColumn("list", dealt)), "matches")
-    heads = found.where("head IS NOT NULL").select(F.col("head").alias("list"), F.col("head").alias("h"), F.col("a").alias("doc"), F.col("pa").alias("pos"), F.col("da").alias("more"))
-    return found.where("b IS NOT NULL").union(met(heads)).select("a", "b", "pa", "pb", "da", "db")
+    heads = found.where("a IS NOT NULL AND head IS NOT NULL").select(F.col("head").alias("list"), F.col("head").alias("h"), F.col("a").alias("doc"), F.col("pa").alias("pos"), F.col("da").alias("more"))
+    pairs = found.where("b IS NOT NULL").union(met(heads).where("b IS NOT NULL"))
+    return pairs.select("a", "b", "pa", "pb", "da", "db"), found.where("a IS NULL").select(F.col("head").alias("h"))
+
+
+# The second turn -------------------------------------------------------------------------------------------------------
+
+
+def classed(rows: DataFrame) -> DataFrame:
+    """rows of links with node and other_node, the passages of both sides, and class_id, the class of both. A passage is a
+    run of words that links cover without a gap; links join passages to classes, which are named by any number."""
+    sides = rows.select(F.col("doc_id").alias("doc"), F.col("start_word").alias("lo"), F.col("end_word").alias("hi"))
+    sides = sides.union(rows.select("other_id", "other_start", "other_end")).distinct()
+    by = Window.partitionBy("doc").orderBy("lo", "hi")
+    begins = F.coalesce(F.col("lo") >= F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    sides = sides.withColumn("at", F.when(begins, F.col("lo"))).withColumn("at", F.last("at", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    sides = written(sides.withColumn("node", F.xxhash64("doc", "at")), "passage-sides")
+    known = checked_broadcast(sides, 48)
+    out = rows
+    for doc, lo, hi, node in (("doc_id", "start_word", "end_word", "node"), ("other_id", "other_start", "other_end", "other_node")):
+        out = out.join(known.select(F.col("doc").alias(doc), F.col("lo").alias(lo), F.col("hi").alias(hi), F.col("node").alias(node)), [doc, lo, hi])
+    out = written(out, "passage-links")
+    label = components(out.select("node", "other_node"), "node", "other_node")
+    return out.join(checked_broadcast(label.select("node", F.col("component").alias("class_id")), 24), "node")
+
+
+def _passages(linked: DataFrame) -> DataFrame:
+    """(doc, passages): of each document the runs of words that links cover, with their classes."""
+    sides = linked.select(F.col("doc_id").alias("doc"), "node", F.col("start_word").alias("lo"), F.col("end_word").alias("hi"), "class_id")
+    sides = sides.union(linked.select("other_id", "other_node", "other_start", "other_end", "class_id"))
+    whole = sides.groupBy("doc", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("class_id").alias("label"))
+    return whole.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "label"))).alias("passages"))
+
+
+PLACES = "h long, doc long, pos int, label long, near binary"
+
+
+def _around(doc: np.ndarray, pos: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The bytes of the words around places of a batch, 0 outside the text."""
+    where = (first[doc] + pos)[:, None] + np.arange(-BEFORE, NEAR - BEFORE)
+    inside = (where >= first[doc][:, None]) & (where < first[doc + 1][:, None])
+    return np.where(inside, codes[np.clip(where, 0, len(codes) - 1)], np.uint8(0))
+
+
+def _thinned(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which places to compare: of text that repeats itself every few words, one of a cell, whose alignment covers the cell."""
+    order = np.lexsort((pos, key, doc))
+    a, b = order[:-1], order[1:]
+    close = np.flatnonzero((key[a] == key[b]) & (doc[a] == doc[b]) & (pos[b] - pos[a] < CELL))
+    drop = np.zeros(len(key), bool)
+    for i in range(0, len(close), 1 << 14):
+        x, y = a[close[i : i + (1 << 14)]], b[close[i : i + (1 << 14)]]
+        same = _count(_around(doc[x], pos[x], codes, first) == _around(doc[y], pos[y], codes, first)) >= NEAR // 2
+        drop[y[same & (pos[x] // CELL == pos[y] // CELL)]] = True
+    return np.flatnonzero(~drop)
+
+
+def _places(bits):
+    """Reads (doc_id, text, passages); of seeds in the filter the places, the class of the passage there (-1: none), and a byte
+    for each word around."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = bits.value
+        for batch in batches:
+            data, at = A.buffers(batch.column(1))
+            words, first = word_hashes(A.lowered(data), at)
+            h, doc, pos = seeds(words, first)
+            key = h.view(np.int64)
+            slot = key & (SLOTS - 1)
+            keep = np.flatnonzero((np.diff(first)[doc] >= MIN_WORDS) & (slots[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0))
+            key, doc, pos = key[keep], doc[keep], pos[keep]
+            codes = (words % np.uint64(251) + np.uint64(1)).astype(np.uint8)
+            kept = _thinned(key, doc, pos, codes, first)
+            keep, key, doc, pos = keep[kept], key[kept], doc[kept], pos[kept]
+            label = np.full(len(keep), -1)
+            cuts = np.searchsorted(doc, np.arange(len(batch) + 1))
+            for i, own in enumerate(batch.column(2).to_pylist()):
+                if own and cuts[i] < cuts[i + 1]:
+                    lo, hi, of_ = (np.array([x[c] for x in own], np.int64) for c in ("lo", "hi", "label"))
+                    p = pos[cuts[i] : cuts[i + 1]]
+                    j = np.searchsorted(lo, p, side="right") - 1
+                    label[cuts[i] : cuts[i + 1]] = np.where((j >= 0) & (p + K <= hi[j]), of_[j], -1)
+            for i in range(0, len(keep), 1 << 15):
+                own = slice(i, i + (1 << 15))
+                near = _around(doc[own], pos[own], codes, first)
+                ends = pa.py_buffer((np.arange(len(near) + 1) * NEAR).astype(np.int32))
+                near = pa.Array.from_buffers(pa.binary(), len(near), [None, ends, pa.py_buffer(np.ascontiguousarray(near))])
+                yield pa.RecordBatch.from_arrays([pa.array(key[own]), batch.column(0).take(pa.array(doc[own])), pa.array(pos[own].astype(np.int32)), pa.array(label[own]), near], names=["h", "doc", "pos", "label", "near"])
+
+    return of
+
+
+def _count(equal: np.ndarray) -> np.ndarray:
+    """How many of each row's bytes are 1."""
+    return (equal.view(np.uint64).sum(1) * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of x and y may lie in a passage; their marks for what lies outside a text differ. x may be one row."""
+    out = _count(x == y).astype(np.int64)
+    some = np.flatnonzero((out >= LEAST) & (out < MOST))
+    for i in range(0, len(some), 1 << 14):
+        own = some[i : i + (1 << 14)]
+        u, v = x[own] if len(x) == len(y) else x, y[own]
+        equal = u == v
+        for d in range(1, SHIFT + 1):
+            equal[:, d:] |= u[:, d:] == v[:, :-d]
+            equal[:, :-d] |= u[:, :-d] == v[:, d:]
+        out[own] = _count(equal)
+    return out >= MOST
+
+
+def _passage(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of x and y surely lie in a passage: by the words around alone, along the seed's diagonal as in align."""
+    equal = x == y
+    length, matched = np.full(len(equal), K), np.full(len(equal), K)
+    for side in (equal[:, BEFORE + K :], equal[:, :BEFORE][:, ::-1]):
+        gain = np.cumsum(np.where(side, 1, -2), 1)
+        best = np.argmax(gain, 1)
+        n = np.where(gain[np.arange(len(gain)), best] > 0, best + 1, 0)
+        length, matched = length + n, matched + (2 * n + gain[np.arange(len(gain)), best]) * (n > 0) // 3
+    return (length >= MIN_WORDS + 2) & (matched >= MIN_IDENTITY * length + 2)
+
+
+def alike(group: np.ndarray, block: np.ndarray, doc: np.ndarray, label: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group, in different documents, that may lie in a passage and aren't joined already: by passages of
+    one class, or by pairs before that surely lie in one.
+
+    block: rows of two blocks meet each other only, those with -1 all of their group. Of places of a document with the same
+    words around, the first is compared, and the others are matched to one place that is alike.
+    """
+    n, other = len(doc), np.where(near == 0, np.uint8(255), near)
+    _, same = np.unique(np.ascontiguousarray(near).view(f"V{NEAR}").reshape(-1), return_inverse=True)
+    order = np.lexsort((np.arange(n), same, doc, block, group))
+    new = np.append(True, np.logical_or.reduce([np.diff(c[order]) != 0 for c in (group, block, doc, same)]))
+    rep = np.empty(n, np.int64)
+    rep[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # Rows that stand for others, by group, block and class, so that rows of one class needn't be looked at.
+    reps = np.flatnonzero(rep == np.arange(n))
+    reps = reps[np.lexsort((label[reps], block[reps], group[reps]))]
+    ends = np.append(np.flatnonzero(np.append(True, np.diff(group[reps]) != 0)), len(reps))
+    sizes = np.diff(ends)
+    # What is joined: rows of a class to start with.
+    order = np.lexsort((label, group))
+    new = np.append(True, (np.diff(group[order]) != 0) | (np.diff(label[order]) != 0)) | (label[order] == -1)
+    joined = np.empty(n, np.int64)
+    joined[order] = np.cumsum(new) - 1
+    # Of small groups, pairs of all rows at once.
+    times = np.maximum(np.repeat(np.where(sizes <= 64, ends[1:], 0), sizes) - np.arange(len(reps)) - 1, 0)
+    total, i, up = np.concatenate([[0], np.cumsum(times)]), 0, list(range(n))
+    while i < len(reps):
+        j = max(i + 1, int(np.searchsorted(total, total[i] + (1 << 17), side="right")) - 1)
+        x, y = reps[np.repeat(np.arange(i, j), times[i:j])], reps[A.ragged(np.arange(i, j) + 1, times[i:j])]
+        keep = (doc[x] != doc[y]) & (joined[x] != joined[y]) & ((block[x] != block[y]) | (block[x] < 0))
+        x, y = x[keep], y[keep]
+        keep = _near(near[x], other[y])
+        x, y = x[keep], y[keep]
+        keep = []
+        for u, v, sure in zip(joined[x].tolist(), joined[y].tolist(), _passage(near[x], other[y]).tolist()):
+            while up[u] != u:
+                up[u] = u = up[up[u]]
+            while up[v] != v:
+                up[v] = v = up[up[v]]
+            keep.append(u != v)
+            if sure:
+                up[u] = v
+        one.append(x[np.array(keep, bool)])
+        two.append(y[np.array(keep, bool)])
+        i = j
+    for s, e in zip(ends[:-1][sizes > 64].tolist(), ends[1:][sizes > 64].tolist()):
+        own = reps[s:e]
+        u, v, d, b, c = near[own], other[own], doc[own], block[own], joined[own]
+        half = int(np.searchsorted(b, b[0], side="right"))
+        start = half if half < len(own) else 0  # of the rows that are met: those of the second block, or all
+        if b[0] >= 0 and not start:
+            continue
+        for i in range(half):
+            at = np.flatnonzero(c[max(start, i + 1) :] != c[i]) + max(start, i + 1)
+            at = at[d[at] != d[i]]
+            at = at[_near(u[i : i + 1], v[at])] if len(at) else at
+            if len(at):
+                sure = _passage(u[i : i + 1], v[at])
+                _, once = np.unique(c[at[sure]], return_index=True)
+                to = at[sure][once]
+                more = at[~sure]
+                more = more[~np.isin(c[more], c[to])]
+                one.append(np.full(len(to) + len(more), own[i]))
+                two += [own[to], own[more]]
+                c[np.isin(c, c[to])] = c[i]
+    rest = np.flatnonzero((rep != np.arange(n)) & ((label == -1) | (label != label[rep])))
+    rest = rest[np.argsort(rep[rest], kind="stable")]
+    names = group[reps[ends[:-1]]]
+    for own in np.split(rest, np.flatnonzero(np.diff(rep[rest])) + 1) if len(rest) else ():
+        first = int(rep[own[0]])
+        k = int(np.searchsorted(names, group[first]))
+        met = reps[ends[k] : ends[k + 1]]
+        met = met[(doc[met] != doc[first]) & ((block[met] != block[first]) | (block[met] < 0))]
+        if len(met) and (hit := met[_near(near[first][None], other[met])][:1]).size:
+            own = own[(label[own] == -1) | (label[own] != label[hit[0]])]
+            one.append(own)
+            two.append(np.repeat(hit, len(own)))
+    return np.concatenate(one), np.concatenate(two)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads (list, x, y, block, doc, pos, label, near) sorted by the first three: matches of places that are alike."""
+    held: list[np.ndarray] | None = None
+
+    def of(cols: list[np.ndarray]) -> pa.RecordBatch:
+        key, x, y, block, doc, pos, label, near = cols
+        new = np.append(True, (np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0))
+        i, j = alike(np.cumsum(new), np.where(x == y, -1, block), doc, label, near)
+        i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
+        zero = pa.array(np.zeros(len(i), np.int16))
+        return pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(doc[j]), pa.array(pos[i]), pa.array(pos[j]), zero, zero], names=["a", "b", "pa", "pb", "da", "db"])
+
+    for batch in batches:
+        cols = [c.to_numpy() for c in batch.columns[:-1]]
+        near = batch.column(len(cols)).cast(pa.large_binary())
+        cols.append(np.frombuffer(near.buffers()[2], np.uint8)[np.frombuffer(near.buffers()[1], np.int64)[near.offset] :][: len(near) * NEAR].reshape(-1, NEAR) if len(near) else np.zeros((0, NEAR), np.uint8))
+        cols = cols if held is None else [np.concatenate(z) for z in zip(held, cols)]
+        if not len(cols[0]):
+            continue
+        last = int(np.argmax(np.logical_and.reduce([c == c[-1] for c in cols[:3]])))
+        if last:
+            yield of([c[:last] for c in cols])
+        held = [c[last:] for c in cols]
+    if held is not None and len(held[0]):
+        yield of(held)
+
+
+def more_matches(own: DataFrame, seeds_: DataFrame, rows: DataFrame) -> DataFrame:
+    """Matches as of matches(): of the seeds with more places than were matched, all that are alike and that links (rows) don't
+    join already."""
+    slots = seeds_.select((F.col("h").bitwiseAND(F.lit(SLOTS - 1))).cast("int").alias("slot")).distinct().toArrow().column("slot").to_numpy()  # SLOTS at most
+    filter_ = np.zeros(SLOTS >> 3, np.uint8)
+    np.bitwise_or.at(filter_, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
+    bits = own.sparkSession.sparkContext.broadcast(filter_)
+    passages = checked_broadcast(_passages(classed(rows)), 64)
+    texts = own.join(passages, own["doc_id"] == passages["doc"], "left").select("doc_id", "text", "passages")
+    places = written(texts.mapInArrow(_places(bits), PLACES), "places")
+    # Lists of one document or one class have nothing to compare.
+    lists = places.groupBy("h").agg(F.count("*").alias("n"), (F.min("doc") != F.max("doc")).alias("docs"), (F.min("label") != F.max("label")).alias("labels"), F.min("label").alias("label"))
+    lists = written(lists.where("docs AND (labels OR label = -1)").select("h", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "place-lists")
+    met = places.join(checked_broadcast(lists, 24), "h").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select(F.col("h").alias("list"), F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "block", "doc", "pos", "label", "near")
+    return written(met.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y", "doc", "pos").mapInArrow(_compared, "a long, b long, pa int, pb int, da short, db short"), "more-matches")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """A row for each passage of at least 50 words that a document shares with an earlier one.
-
-    doc_id, start_word, end_word (exclusive), other_id, other_start, other_end, n_matched: words that match, 4/5 at
-    least. Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, counted from 0. A passage of many documents is told by
-    its links to the first document with it and to the one before (for passages of very many documents: those of its
-    list, and the lists' first documents likewise), so every document with it is in a row, and links grow with the
-    documents. Passages inside one document only don't count. A null or short text has none. Rows with one doc_id count
-    as one document; a null doc_id takes no part. Ties go to the earlier place. The rows don't depend on how docs is
-    partitioned. An empty table gives no rows; other columns are ignored.
+    """Rows for each passage of at least 50 words that a document shares with another one.
+
+    doc_id, start_word, end_word (exclusive), other_id (the earlier document), other_start, other_end, n_matched: words that
+    match, 4/5 at least. Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, counted from 0. Two places that share a seed and
+    lie in a passage have a row, or rows join the passages that they lie in to one class (classed): a passage of many
+    documents is told by links to the first document with it and to the one before (for passages of very many documents:
+    those of its list, and the lists' first documents likewise), and whatever these leave apart is compared in full. So
+    links grow with the documents, and every place with a passage is in a row. Passages inside one document only don't
+    count. A null or short text has none. Rows with one doc_id count as one document; a null doc_id takes no part. Ties go
+    to the earlier place. The rows don't depend on how docs is partitioned. An empty table gives no rows; other columns
+    are ignored.
     """
     tune(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    pairs = matches(own).repartition("a", "b").sortWithinPartitions("a", "b")
-    chained = pairs.mapInArrow(_chained, "a long, b long, a0 long, a1 long, b0 long, b1 long, turns array<long>")
+    pairs, more = matches(own)
+    rows = written(linked(own, pairs, MIN_CHAIN), "links")
+    # What lies around these matches was compared, so a single seed is enough.
+    return rows.union(written(linked(own, more_matches(own, more, rows), K), "more-links")).distinct()
+
+
+def passage_classes(docs: DataFrame) -> DataFrame:
+    """The rows of repeated_passages with class_id: rows of one class are links between passages that hang together."""
+    rows = written(repeated_passages(docs), "passages")
+    return classed(rows).select(*rows.columns, "class_id")
+
+
+def linked(own: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """The links of own (doc_id, text) along chains of at least so many words of matches (a, b, pa, pb, da, db)."""
+    pairs = pairs.repartition("a", "b").sortWithinPartitions("a", "b")
+    chained = pairs.mapInArrow(lambda batches: _chained(batches, least), "a long, b long, a0 long, a1 long, b0 long, b1 long, turns array<long>")
     grid = {}
     for side in "ab":
         lo, hi = F.greatest(F.col(f"{side}0") - MARGIN, F.lit(0)), F.col(f"{side}1") + MARGIN

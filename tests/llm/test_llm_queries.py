@@ -225,6 +225,53 @@ def test_two_paragraphs_of_many_documents(spark):
     assert links(spark, rows, 3) == [(98, 20, 80, 97, 20, 80, 60)]
 
 
+def test_links_past_the_first_partners(spark):
+    """Parts of a passage stand in many documents that come before and between the two that hold all of it, and no part of
+    these is a passage; and a passage that stands twice in the first document is told in both places."""
+    rng, words = np.random.default_rng(3), PASSAGE.split()[:60]
+    own = lambda i, k: [f"x{i}_{k}_{j}" for j in range(30)]
+    rows = []
+    for i in range(400):
+        at = int(rng.integers(0, 60 - 32))
+        rows.append((i, " ".join([*own(i, 0), *words[at : at + 32], *own(i, 1)])))
+    rows += [(i, " ".join([*own(i, 0), *words, *own(i, 1)])) for i in (150_000, 500_000)]
+    rows += [(i, " ".join([*own(i, 0), *(f"x{i % 2}_{j}" for j in range(32)), *own(i, 1)])) for i in range(150_001, 150_400)]
+    rows += [(i + 600_000, " ".join([*own(-i, 0), *words[30 - i : 60], *own(-i, 1)])) for i in range(5)]
+    assert [r for r in links(spark, rows, 3) if r[0] == 500_000] == [(500_000, 30, 90, 150_000, 30, 90, 60)]
+    twice = [(1, " ".join([*own(1, 0), *words, *own(1, 1), *words, *own(1, 2)])), (2, " ".join([*own(2, 0), *words, *own(2, 1)]))]
+    assert [r[3:6] for r in links(spark, twice, 2)] == [(1, 30, 90), (1, 120, 180)]
+
+
+def test_passage_classes_join_all_pairs(spark):
+    """Near copies of passages, their parts and long lists: any two that align by two seeds or more, by brute force, are in one class."""
+    rng, rows = np.random.default_rng(8), []
+    base = [[f"b{k}_{j}" for j in range(64)] for k in range(3)]
+    for i in range(150):
+        w = [f"c{i}_{j}" if rng.random() < 0.12 else x for j, x in enumerate(base[i % 3])]
+        w = w[:34] if i % 5 == 0 else w[30:] if i % 5 == 1 else w
+        rows.append((i, " ".join([*(f"l{i}_{j}" for j in range(80)), *w, *(f"r{i}_{j}" for j in range(80))])))
+    got = substring.passage_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    class_of = {}
+    for r in got:
+        assert class_of.setdefault(r["doc_id"], r["class_id"]) == r["class_id"] == class_of.setdefault(r["other_id"], r["class_id"])
+    texts, n_pairs = [t.split() for _, t in rows], 0
+    code = {w: k for k, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    ids = [np.array([code[w] for w in t], np.uint32) for t in texts]
+    found = []
+    for t in texts:
+        h, _, pos = substring.seeds(*substring.word_hashes(np.frombuffer(" ".join(t).encode(), np.uint8), np.array([0, len(" ".join(t))])))
+        found.append(set(zip(h.tolist(), pos.tolist())))
+    for i in range(150):
+        for j in range(i):
+            if len(shared := sorted(p for _, p in found[i] & found[j])) > 1:
+                s, e, t, u, n = substring.align(ids[j], ids[i], shared[0], shared[-1] + substring.K, [(shared[0], 0)])
+                if u - t >= 50 and n >= 0.8 * (u - t):
+                    n_pairs += 1
+                    assert class_of[i] == class_of[j]
+    assert n_pairs > 200
+    assert all(i % 5 > 1 for i in class_of)
+
+
 @pytest.mark.parametrize("rate", [0.05, 0.1, 0.15])
 def test_fuzzy_passages_are_found(spark, rate):
     """Passages of 60 words of which some are changed: recall among those that are alike enough, and no other links."""

@@ -8,10 +8,9 @@ around them. A word's probability mixes two: that of its spelling under the atte
 the training words (none if it isn't among them); what the discounts leave goes to spellings, so the mix is a proper
 distribution over words.
 
-Word and symbol counts come from all training documents; one document in SHARE (of small corpora more, or all) gives
-training windows. Weights are trained in rounds: each group of windows runs its own optimiser steps from the common
-weights, and the results are averaged. Every window that is gathered reaches a gradient, so what is trained on is a
-fixed share of the corpus and grows with it.
+Word and symbol counts and training windows come from all training documents, whatever their size is. Weights are trained
+in rounds: each group of windows runs its own optimiser steps from the common weights, and the results are averaged. Every
+window reaches a gradient.
 """
 
 from __future__ import annotations
@@ -39,8 +38,6 @@ STEP = L - CONTEXT
 GROUPS, MEMBERS, SKETCH = 32, 32, 16
 CLASSES = GROUPS * MEMBERS
 SINGLE = CLASSES - 192
-#: One document of SHARE is trained on, of small corpora more: about LEAST windows or all; bytes of a window's text, about.
-SHARE, LEAST, WINDOW_BYTES = 8, 1 << 18, 60
 #: Windows of a group; windows of a step; rounds; steps of a round at least.
 GROUP, BATCH, ROUNDS, STEPS = 1 << 18, 512, 4, 100
 #: Weight of the spelling under the attention model for any word, and the discount of a training word's count.
@@ -328,12 +325,15 @@ def symbol_scores(w: dict[str, np.ndarray], class_of: np.ndarray, share: np.ndar
 WORD, SYMBOL, WINDOW = 0, 1, 2
 
 
-def _gather(batches: Iterator[pa.RecordBatch], picked: int) -> Iterator[pa.RecordBatch]:
-    """Of training documents: partial counts of words and symbols, and the windows of so many of 1024 documents."""
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of training documents: partial counts of words and symbols, and all windows."""
     names = ["kind", "key", "n", "window"]
 
     def rows(kind, key, n, window=None):
-        blank = pa.nulls(len(key), pa.binary()) if window is None else pa.array(window, pa.binary())
+        blank = pa.nulls(len(key), pa.binary())
+        if window is not None:
+            ends = (np.arange(len(window) + 1) * window.itemsize * window.shape[1]).astype(np.int32)
+            blank = pa.Array.from_buffers(pa.binary(), len(window), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(window))])
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n), blank], names=names)
 
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -347,9 +347,6 @@ def _gather(batches: Iterator[pa.RecordBatch], picked: int) -> Iterator[pa.Recor
         ids = batch.column(0).to_pylist()
         crc = np.array([zlib.crc32(str(i).encode()) for i in ids], np.int64)
         keep = np.flatnonzero(~held_out(ids))
-        # Documents whose windows are wanted come first, so that they are one part of the batch.
-        wanted = crc[keep] // 10 % 1024 < picked
-        keep, n_wanted = np.concatenate([keep[wanted], keep[~wanted]]), int(wanted.sum())
         own, crc = Words(batch.column(1).take(pa.array(keep))), crc[keep]
         if not len(crc):
             continue
@@ -357,12 +354,14 @@ def _gather(batches: Iterator[pa.RecordBatch], picked: int) -> Iterator[pa.Recor
         held.append((np.append(own.hash, END_HASH), np.append(n, len(crc)).astype(np.int64)))
         of_symbols += np.bincount(own.symbols, np.repeat(n, own.length), SYMBOLS).astype(np.int64)
         of_symbols[END] += len(crc)
-        symbols, at, _ = own.part(0, n_wanted).sequences()
-        inputs, targets, score, doc, k = windows(symbols, at)
-        # Inputs with the last target, and how many targets count, are the window.
-        packed = np.concatenate([inputs, targets[:, -1:], (score >= 0).sum(1, keepdims=True)], 1).astype("<i4")
-        if len(packed):
-            yield rows(WINDOW, crc[doc] * 1_000_003 + k, np.ones(len(packed), np.int64), [r.tobytes() for r in packed])
+        for i in range(0, len(crc), 256):
+            part = crc[i : i + 256]
+            symbols, at, _ = own.part(i, i + len(part)).sequences()
+            inputs, targets, score, doc, k = windows(symbols, at)
+            # Inputs with the last target, and how many targets count, are the window.
+            packed = np.concatenate([inputs, targets[:, -1:], (score >= 0).sum(1, keepdims=True)], 1).astype("<i4")
+            if len(packed):
+                yield rows(WINDOW, part[doc] * 1_000_003 + k, np.ones(len(packed), np.int64), packed)
         if sum(len(k) for k, _ in held) > 2_000_000:
             held[:] = [words()]
             if len(held[0][0]) > 1_000_000:
@@ -383,18 +382,18 @@ def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _surroundings(single: np.ndarray):
     """For each symbol: sums of fixed random vectors of the single symbols in its windows."""
-    vectors = np.random.default_rng(5).integers(0, 2, (SINGLE + 1, SKETCH)) * 2 - 1
+    vectors = (np.random.default_rng(5).integers(0, 2, (SINGLE + 1, SKETCH)) * 2 - 1).astype(np.int16)
     vectors[SINGLE] = 0
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((SYMBOLS, SKETCH), np.int64)
         for batch in batches:
             inputs, _, _ = _unpacked(batch.column(0).to_pylist())
-            around = vectors[single[inputs]].sum(1)
+            around = vectors[single[inputs]].sum(1, dtype=np.int16)  # L at most
             own = inputs.reshape(-1)
             order = np.argsort(own, kind="stable")
             first = np.flatnonzero(np.append(True, np.diff(own[order]) > 0))
-            sums[own[order][first]] += np.add.reduceat(around[order // L], first, axis=0)
+            sums[own[order][first]] += np.add.reduceat(around[order // L], first, axis=0, dtype=np.int64)
         key = np.flatnonzero(np.abs(sums).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(sums[key, i]) for i in range(SKETCH))], names=["key", *(f"v{i}" for i in range(SKETCH))])
 
@@ -553,9 +552,7 @@ def language_scores(docs: DataFrame) -> DataFrame:
     """
     tune(docs.sparkSession, 8)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    picked = min(1024, max(1024 // SHARE, 1024 * LEAST * WINDOW_BYTES // max(1, size)))
-    gathered = written(own.mapInArrow(lambda batches: _gather(batches, picked), "kind int, key long, n long, window binary").withColumn("part", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(ROUNDS)).cast("int")), "lm-gathered")
+    gathered = written(own.mapInArrow(_gather, "kind int, key long, n long, window binary").withColumn("part", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(ROUNDS)).cast("int")), "lm-gathered")
     counts = written(gathered.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     of_symbols = np.zeros(SYMBOLS, np.int64)
@@ -611,25 +608,25 @@ def scored(own: DataFrame, counts: DataFrame, w: dict[str, np.ndarray], class_of
                 ids = uid + np.arange(n)
                 uid += n
                 rows = {"uid": pa.array(ids), "doc_id": some.column(0), "held_out": pa.array(held_out(some.column(0).to_pylist())), "n_tokens": pa.array(np.diff(words.first) + 1)}
-                rows |= {"n_known": pa.array(sums[0]), "base_score": pa.array(sums[1]), "score": pa.array(sums[2]), "key": pa.nulls(n, pa.int64()), "spelled": pa.nulls(n, pa.list_(pa.float32()))}
+                rows |= {"n_known": pa.array(sums[0]), "base_score": pa.array(sums[1]), "score": pa.array(sums[2]), "key": pa.nulls(n, pa.int64()), "spelled": pa.nulls(n, pa.list_(pa.float64()))}
                 yield pa.RecordBatch.from_pydict(rows)
                 if open_.any():
                     lacking = np.flatnonzero(open_[~is_end])
                     doc, h = np.searchsorted(words.first, lacking, side="right") - 1, words.hash[words.codes[lacking]]
                     order = np.lexsort((h, doc))
-                    doc, h, logs = doc[order], h[order], spelled[~is_end][lacking[order]].astype(np.float32)
+                    doc, h, logs = doc[order], h[order], spelled[~is_end][lacking[order]].astype(np.float64)
                     new = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(h) != 0)))
                     lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(h)), pa.int32()), pa.array(logs))
                     none = {c: pa.nulls(len(new), t) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}
                     yield pa.RecordBatch.from_pydict({"uid": pa.array(ids[doc[new]]), **none, "key": pa.array(h[new]), "spelled": lists})
             A.trim()
 
-    found = written(own.mapInArrow(score, f"uid long, {ROW}, key long, spelled array<float>"), "lm-scores")
+    found = written(own.mapInArrow(score, f"uid long, {ROW}, key long, spelled array<double>"), "lm-scores")
     open_ = found.where("key IS NOT NULL").select("uid", "key", "spelled")
     met = open_.join(counts.where((F.col("n") < least) & (F.col("key") != END_HASH)), "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     times, seen = F.size("spelled"), F.lit((1 - ALPHA) / max(1, total)) * F.greatest(F.col("n") - F.lit(DISCOUNT), F.lit(0.0))
     one = lambda x: F.when(F.col("n") > 0, F.log10(F.exp(x) * F.lit(rest) + seen)).otherwise((x + F.lit(float(np.log(rest)))) / F.lit(float(np.log(10))))
-    more = F.aggregate("spelled", F.lit(0.0), lambda s, x: s + one(x.cast("double")))
+    more = F.aggregate("spelled", F.lit(0.0), lambda s, x: s + one(x))
     sums = met.groupBy("uid").agg(
         F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("k"), F.sum(times * F.log10((F.col("n") + 0.1) / F.lit(bottom))).alias("b"), F.sum(more).alias("s")
     )

@@ -339,6 +339,23 @@ def test_language_scores_by_brute_force(spark, monkeypatch, held):
         assert got[i]["n_known"] == sum(counts[x] > 0 for x in [*words_of(t), None])
 
 
+def test_all_training_documents_are_trained_on(spark, monkeypatch):
+    """Whatever the size is: here 30 MB of words that are one symbol each."""
+
+    class Seen(Exception):
+        pass
+
+    def seen(windows, class_of):
+        raise Seen(windows.count())
+
+    monkeypatch.setattr(attention, "fitted", seen)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.expr("repeat('the ', 25000)").alias("text"))
+    with pytest.raises(Seen) as found:
+        attention.language_scores(docs)
+    n = int((~attention.held_out(list(range(300)))).sum())
+    assert found.value.args == (n * -(-25001 // attention.STEP),)
+
+
 def test_held_out_scores_beat_the_base(spark):
     rows = QUERIES["op9_attention_scores"](spark, SF.replace("0.001", "0.01")).where("held_out").agg(*[F.sum(c).alias(c) for c in ("score", "base_score", "n_tokens")]).first()
     assert rows["score"] > rows["base_score"] + 0.05 * rows["n_tokens"]

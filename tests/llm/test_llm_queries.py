@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from conftest import SF  # noqa: E402
 
-from prosemill.llm import attention, exactdedup, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring  # noqa: E402
+from prosemill.llm import attention, exactdedup, graph, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring  # noqa: E402
 from prosemill.llm.arrowtext import LOWER, SPACE_BYTES  # noqa: E402
 from prosemill.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
@@ -188,6 +188,27 @@ def test_simhash_on_awkward_rows(spark):
     assert near[11] == near[10] == 10 and near[4] == 3 and near[5] == 1 and near[7] == 7
 
 
+@pytest.mark.parametrize("whole", [0, graph.WHOLE])
+def test_components(spark, monkeypatch, whole):
+    """By rounds and by one task, which has a few jobs whatever the chains' lengths are."""
+    rng = np.random.default_rng(4)
+    path = rng.permutation(300)
+    edges = [*zip(path[:-1].tolist(), path[1:].tolist()), *((1000, i) for i in range(1001, 1200)), (5000, 5001), (5001, 5000), (7, 7), (9000, 9000)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(6000, 6100, (60, 2))]
+    label = {i: i for e in edges for i in e if e[0] != e[1]}
+    while any(label[a] != label[b] for a, b in edges if a != b):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    monkeypatch.setattr(graph, "WHOLE", whole)
+    spark.sparkContext.setJobGroup(f"components-{whole}", "")
+    got = graph.components(spark.createDataFrame(edges, "a long, b long").repartition(5), "a", "b").collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components-{whole}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, got)) == sorted(label.items())
+    assert not whole or jobs <= 10
+
+
 def test_substring_on_awkward_rows(spark):
     got = [tuple(r) for r in substring.repeated_passages(awkward(spark)).collect() if r["doc_id"] == 8]
     assert got == [(8, 0, 70, 7, 2, 72, 70)]

@@ -13,10 +13,10 @@ from prosemill.session import shared_dir, ship
 BROADCAST_BYTES = 32 << 20
 
 
-def tune(spark: SparkSession, batch_mb: int = 6) -> None:
+def tune(spark: SparkSession, batch_mb: int = 6, rows: int = 4096) -> None:
     """Ships the package and bounds Arrow batches by bytes, so that very long texts don't pile up in a Python worker."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_mb << 20))
 
 

@@ -138,7 +138,7 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Only the state of the list at hand is held: the first place in its first document and in the last two.
     """
-    state: np.ndarray | None = None  # the first rows of the list's first and last document
+    state: np.ndarray | None = None  # the first rows of the list's first and last two documents
     seen, last = 0, -1  # rows of the list at hand, and the document of the last one
     names = ["a", "b", "pa", "pb", "da", "db", "head"]
     for batch in batches:
@@ -169,8 +169,8 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = pa.concat_arrays([pa.nulls(n, kind), own] if k == 6 else [own, pa.nulls(m + o if k in (1, 3, 5) else o, kind)])
             arrays.append(own)
         yield pa.RecordBatch.from_arrays(arrays, names=names)
-        head, own = (int(np.flatnonzero(x)[-1]) for x in (new_h, new_d))
-        state = cols[:, [head, own]] if own > head else cols[:, [head]]
+        head, own = int(np.flatnonzero(new_h)[-1]), np.flatnonzero(new_d)[-2:]
+        state = cols[:, np.union1d(head, own[own > head])]
 
 
 class Fenwick:
@@ -255,9 +255,12 @@ def _chained(batches: Iterator[pa.RecordBatch], least: int = MIN_CHAIN) -> Itera
         new = np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0))
         a, b, x, y = a[new], b[new], x[new], y[new]
         cut = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
-        bounds = [0, *cut.tolist(), len(a)]
+        bounds = np.concatenate([[0], cut, [len(a)]])
+        # A pair's only match is a chain of one seed.
+        many = np.flatnonzero(np.diff(bounds) > 1)
+        one = bounds[:-1][np.diff(bounds) == 1] if least <= K else many[:0]
         rows: list[tuple] = []
-        for i, j in zip(bounds, bounds[1:]):
+        for i, j in zip(bounds[many].tolist(), bounds[many + 1].tolist()):
             xs, ys, places = x[i:j].tolist(), y[i:j].tolist(), set()
             for own in chains(xs, ys):
                 p, q = own[0], own[-1]
@@ -272,8 +275,10 @@ def _chained(batches: Iterator[pa.RecordBatch], least: int = MIN_CHAIN) -> Itera
                         turns += [ys[t], was]
                 rows.append((int(a[i]), int(b[i]), xs[p], xs[q] + K, ys[p], ys[q] + K, turns))
         names = ["a", "b", "a0", "a1", "b0", "b1"]
-        cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(6)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array([r[6] for r in rows], pa.list_(pa.int64()))], names=[*names, "turns"])
+        ones = [a[one], b[one], x[one].astype(np.int64), x[one] + np.int64(K), y[one].astype(np.int64), y[one] + np.int64(K)]
+        cols = [pa.array(np.concatenate([np.array([r[k] for r in rows], np.int64), ones[k]])) for k in range(6)]
+        turns = pa.ListArray.from_arrays(np.arange(len(one) + 1, dtype=np.int32) * 2, pa.array(np.stack([ones[4], ones[2] - ones[4]], 1).reshape(-1)))
+        return pa.RecordBatch.from_arrays([*cols, pa.concat_arrays([pa.array([r[6] for r in rows], pa.list_(pa.int64())), turns])], names=[*names, "turns"])
 
     for batch in batches:
         cols = [c.to_numpy() for c in batch.columns]
@@ -326,18 +331,56 @@ def _equal(wa: np.ndarray, wb: np.ndarray, at: np.ndarray, d: int) -> np.ndarray
     return out
 
 
+def straight(x: np.ndarray, x0: np.ndarray, x1: np.ndarray, y: np.ndarray, y0: np.ndarray, y1: np.ndarray, b0: np.ndarray, b1: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+    """align for many chains of one diagonal each: wa is x[x0:x1], wb is y[y0:y1] of each; (b start, b end, matching words)."""
+    rows, shift = np.arange(len(d)), x0 + d - y0
+    lo, hi = y0 + np.maximum(0, -d), np.minimum(y1, y0 + (x1 - x0) - d)  # where both have words
+    start, end = y0 + b0, y0 + b1
+    at, of = A.ragged(start, b1 - b0), np.repeat(rows, b1 - b0)
+    inside = np.flatnonzero((at >= lo[of]) & (at < hi[of]))
+    at, of = at[inside], of[inside]
+    matched, out = np.bincount(of[x[at + shift[of]] == y[at]], minlength=len(d)), []
+    for first, room, step in ((start - 1, start - lo, -1), (end, hi - end, 1)):
+        at = first[:, None] + step * np.arange(max(1, int(room.max(initial=0))))
+        hit = np.arange(at.shape[1]) < room[:, None]
+        hit &= np.take(x, at + shift[:, None], mode="clip") == np.take(y, at, mode="clip")
+        gain = np.cumsum(np.where(hit, np.int8(1), np.int8(-2)), 1, dtype=np.int32)
+        best = np.argmax(gain, 1)
+        top = gain[rows, best]
+        n = np.where(top > 0, best + 1, 0)
+        matched += (2 * n + np.maximum(top, 0)) // 3
+        out.append(n)
+    return b0 - out[0], b1 + out[1], matched
+
+
+def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers (4 bytes each) of a binary column and where each row's begin (len+1)."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(np.uint32), (at - at[0]) // 4
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "start_word", "end_word", "other_id", "other_start", "other_end", "n_matched"]
-    for batch in batches:
-        c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        rows = []
-        for a, b, b0, b1, turns, al, bl, wa, wb in zip(*(c[n].to_pylist() for n in ("a", "b", "b0", "b1", "turns", "alo", "blo", "wa", "wb"))):
-            x, y = np.frombuffer(wa, np.uint32), np.frombuffer(wb, np.uint32)
-            own = [(p - bl, d + bl - al) for p, d in zip(turns[::2], turns[1::2])]
-            s, e, t, u, n = align(x, y, b0 - bl, b1 - bl, own)
-            if u - t >= MIN_WORDS and n >= MIN_IDENTITY * (u - t):
-                rows.append((b, t + bl, u + bl, a, s + al, e + al, n))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(7)], names=names)
+    for whole in batches:
+        for batch in (whole.slice(i, 4096) for i in range(0, len(whole), 4096)):
+            c = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            a, b, b0, b1, al, bl = (c[n].to_numpy() for n in ("a", "b", "b0", "b1", "alo", "blo"))
+            (x, xo), (y, yo), flat = _spans(c["wa"]), _spans(c["wb"]), c["turns"].flatten().to_numpy()
+            n = c["turns"].value_lengths().to_numpy()
+            first, one = np.cumsum(n) - n, np.flatnonzero(n == 2)
+            out = np.zeros((5, len(batch)), np.int64)
+            d = flat[first[one] + 1]
+            s, e, hits = straight(x, xo[one], xo[one + 1], y, yo[one], yo[one + 1], (b0 - bl)[one], (b1 - bl)[one], d + (bl - al)[one])
+            out[:, one] = s + bl[one] + d, e + bl[one] + d, s + bl[one], e + bl[one], hits
+            for i in np.flatnonzero(n != 2).tolist():
+                turns = flat[first[i] : first[i] + n[i]].tolist()
+                own = [(p - int(bl[i]), d + int(bl[i] - al[i])) for p, d in zip(turns[::2], turns[1::2])]
+                s, e, t, u, hits = align(x[xo[i] : xo[i + 1]], y[yo[i] : yo[i + 1]], int(b0[i] - bl[i]), int(b1[i] - bl[i]), own)
+                out[:, i] = s + al[i], e + al[i], t + bl[i], u + bl[i], hits
+            s, e, t, u, hits = out
+            ok = np.flatnonzero((u - t >= MIN_WORDS) & (hits >= MIN_IDENTITY * (u - t)))
+            yield pa.RecordBatch.from_arrays([pa.array(v[ok]) for v in (b, t, u, a, s, e, hits)], names=names)
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -645,7 +688,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     to the earlier place. The rows don't depend on how docs is partitioned. An empty table gives no rows; other columns
     are ignored.
     """
-    tune(docs.sparkSession)
+    tune(docs.sparkSession, rows=1 << 15)  # most stages have narrow rows
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     pairs, more = matches(own)
     rows = written(linked(own, pairs, MIN_CHAIN), "links")

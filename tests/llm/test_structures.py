@@ -303,6 +303,38 @@ def test_align():
 # Quality, language model, HTML
 
 
+def test_matches_are_the_same_whatever_the_batches_are():
+    """A document whose places in a list are parted by a batch's end meets the document before it, too."""
+    rng = np.random.default_rng(6)
+    rows = sorted((int(k), int(k), int(d), int(p), 0) for k, d, p in {tuple(rng.integers(0, (4, 12, 30)).tolist()) for _ in range(300)})
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16()]
+
+    def found(size):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = (pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], names=["list", "h", "doc", "pos", "more"]) for part in parts)
+        return sorted((tuple(r.values()) for b in substring._matches(batches) for r in b.to_pylist()), key=str)
+
+    assert all(found(size) == found(len(rows)) for size in (1, 2, 3, 7, 50))
+
+
+def test_alignment_of_many_chains_is_that_of_each():
+    rng = np.random.default_rng(7)
+    x = [rng.integers(0, 3 if i % 2 else 90, rng.integers(30, 190)).astype(np.uint32) for i in range(400)]
+    y, b0, b1, d = [], [], [], []
+    for own in x:
+        cut, shift = int(rng.integers(0, 9)), int(rng.integers(-2, 3))
+        y.append(np.where(rng.random(len(own) - cut) < 0.1, 99, own[cut:]).astype(np.uint32))
+        d.append(cut + shift)
+        b0.append(int(rng.integers(max(0, -d[-1]), 10)))
+        b1.append(b0[-1] + int(rng.integers(6, 9)))
+    at = [np.cumsum([0, *map(len, z)]) for z in (x, y)]
+    b0, b1, d = map(np.array, (b0, b1, d))
+    got = substring.straight(np.concatenate(x), at[0][:-1], at[0][1:], np.concatenate(y), at[1][:-1], at[1][1:], b0, b1, d)
+    for i, (s, e, hits) in enumerate(zip(*got)):
+        assert (s + d[i], e + d[i], s, e, hits) == substring.align(x[i], y[i], int(b0[i]), int(b1[i]), [(int(b0[i]), int(d[i]))])
+    assert substring.straight(x[0], d[:0], d[:0], x[0], d[:0], d[:0], d[:0], d[:0], d[:0])[2].size == 0
+
+
 def test_monotone_trees():
     rng = np.random.default_rng(8)
     x = rng.random((3000, 3))

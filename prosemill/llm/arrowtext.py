@@ -81,6 +81,15 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
 
 
+def keep() -> None:
+    """Freed arrays stay with the worker until trim(): else each large one is mapped, and its pages zeroed, again and again."""
+    try:
+        for kind in (-1, -3):  # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
+            ctypes.CDLL(None).mallopt(kind, 1 << 30)
+    except (OSError, AttributeError):
+        pass
+
+
 def trim() -> None:
     """Gives freed memory back: Python workers are used again, and what one holds adds to the next stage's need."""
     pa.default_memory_pool().release_unused()

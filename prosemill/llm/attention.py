@@ -185,10 +185,12 @@ def _softmax(logits: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, float]:
 
 def _added(x: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Rows of d summed by class."""
+    x = x.astype(np.int16)  # these are sorted by their digits
     order = np.argsort(x, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(x[order]) > 0))
+    x = x[order]
+    first = np.flatnonzero(np.append(True, np.diff(x) > 0))
     out = np.zeros((CLASSES, d.shape[1]), np.float32)
-    out[x[order][first]] = np.add.reduceat(d[order], first, axis=0)
+    out[x[first]] = np.add.reduceat(np.take(d, order, axis=0), first, axis=0)
     return out
 
 
@@ -198,7 +200,7 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, weigh
     b, ones = len(x), lambda a: np.ones(len(a), np.float32)
     rows = np.flatnonzero(weight.reshape(-1))
     goal = target.reshape(-1)[rows]
-    order = np.argsort(goal // MEMBERS, kind="stable")
+    order = np.argsort((goal // MEMBERS).astype(np.int16), kind="stable")
     rows, goal = rows[order], goal[order]
     zs, total = np.take(z, rows, axis=0), np.float32(max(1, len(rows)))
     # The group, then the member of the group: two small softmaxes.
@@ -232,10 +234,11 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, weigh
     dq, dk = (ds @ k).reshape(-1, KEY), (ds.transpose(0, 2, 1) @ q).reshape(-1, KEY)
     g["Q"], g["K"], g["V"] = flat.T @ dq, flat.T @ dk, flat.T @ dv
     dh = dy + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-    g["E"] = _added(x.reshape(-1), dh)
-    dh = dh.reshape(b, L, D)
-    for n, back in (("F", 1), ("H", 2)):
-        g[n] = _added(x[:, : L - back].reshape(-1), dh[:, back:].reshape(-1, D))
+    # A place's class reaches its own state and the two after it.
+    dh, wide = dh.reshape(b, L, D), np.zeros((b, L, 3 * D), np.float32)
+    for n, back in (("E", 0), ("F", 1), ("H", 2)):
+        wide[:, : L - back, back * D : (back + 1) * D] = dh[:, back:]
+    g["E"], g["F"], g["H"] = (np.ascontiguousarray(c) for c in np.split(_added(x.reshape(-1), wide.reshape(-1, 3 * D)), 3, axis=1))
     return loss / float(total), g
 
 
@@ -375,7 +378,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets and weights of packed windows."""
-    a = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, L + 2).astype(np.int64)
+    a = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, L + 2)
     weight = (np.arange(L) >= CONTEXT) & (np.arange(L) < CONTEXT + a[:, -1:])
     return a[:, :L], a[:, 1 : L + 1], weight.astype(np.float32)
 
@@ -485,6 +488,16 @@ def _averaged(weights: DataFrame) -> np.ndarray:
         weights = written(weights.withColumn("part", F.expr("g div 256")).groupBy("part").applyInPandas(lambda p: mean(p.sort_values("g")), "g long, n long, w binary"), "lm-mean")
 
 
+def _in_order(key: np.ndarray, blobs: list[bytes]) -> list[bytes]:
+    """Windows sorted by key, those of one key by themselves."""
+    order = np.argsort(key, kind="stable")
+    out, cuts = [blobs[i] for i in order.tolist()], np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+    ends = np.append(cuts[1:], len(out))
+    for i, j in zip(cuts[ends - cuts > 1].tolist(), ends[ends - cuts > 1].tolist()):
+        out[i:j] = sorted(out[i:j])
+    return out
+
+
 def fitted(windows_: DataFrame, class_of: np.ndarray) -> dict[str, np.ndarray]:
     """Rounds over the windows (part: which round, key, window), each followed by averaging the groups' weights.
 
@@ -496,7 +509,7 @@ def fitted(windows_: DataFrame, class_of: np.ndarray) -> dict[str, np.ndarray]:
     w = initial()
     if not n:
         return w
-    groups = max(1, round(n / GROUP))
+    groups, leaf = max(1, round(n / GROUP)), class_of.astype(np.int16)
     grouped = windows_.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("g"), "part", "key", "window")
     join = lambda w: np.concatenate([w[k].ravel() for k in SHAPES]).astype(np.float32)
 
@@ -511,10 +524,11 @@ def fitted(windows_: DataFrame, class_of: np.ndarray) -> dict[str, np.ndarray]:
         start, rates = w, tuple(0.03 * max(0.03, 1 - r / ROUNDS) for r in (step, step + 1))
 
         def run(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["key", "window"])
-            inputs, targets, weight = _unpacked(rows["window"].tolist())
+            A.keep()
+            inputs, targets, weight = _unpacked(_in_order(rows["key"].to_numpy(), rows["window"].tolist()))
             passes = -(-STEPS // -(-len(rows) // BATCH))
-            out = trained(start, class_of[inputs].astype(np.int32), class_of[targets], weight, rates, passes, seed=step)
+            out = trained(start, leaf[inputs], leaf[targets], weight, rates, passes, seed=step)
+            A.trim()
             return pd.DataFrame({"g": rows["g"].iloc[:1].to_list(), "n": [len(rows)], "w": [join(out).tobytes()]})
 
         own = grouped.where((F.col("part") == step) | (F.lit(step == 1) & (F.col("part") == 0)))
@@ -582,6 +596,7 @@ def scored(own: DataFrame, counts: DataFrame, w: dict[str, np.ndarray], class_of
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        A.keep()
         keys, ns, w, class_of, share = model.value
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:

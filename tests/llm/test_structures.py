@@ -2,6 +2,7 @@
 
 import math
 import random
+import resource
 import zlib
 from collections import Counter
 
@@ -369,6 +370,26 @@ def test_gradients():
         assert (M.gradients(up, x, t, weight)[0] - M.gradients(down, x, t, weight)[0]) / 0.02 == pytest.approx(g[k][at], rel=0.02)
 
 
+def test_steps_of_training_map_no_memory_anew():
+    rng = np.random.default_rng(5)
+    x, weight = rng.integers(0, M.CLASSES, (M.BATCH, M.L + 1)).astype(np.int16), np.ones((M.BATCH, M.L), np.float32)
+    w, faults = M.initial(), lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    A.keep()
+    for _ in range(3):
+        M.gradients(w, x[:, :-1], x[:, 1:], weight)
+    before = faults()
+    for _ in range(5):
+        M.gradients(w, x[:, :-1], x[:, 1:], weight)
+    assert faults() - before < 2000  # over 3,000 a step if large arrays are given back
+
+
+def test_windows_are_ordered_by_key_and_content():
+    rng = np.random.default_rng(9)
+    key, blobs = rng.integers(0, 40, 200), [rng.bytes(2) for _ in range(200)]
+    assert M._in_order(key, blobs) == [b for _, b in sorted(zip(key.tolist(), blobs))]
+    assert M._in_order(key[:0], []) == []
+
+
 PIECES = ["a", "word", "'s", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\u0085", "\u1680", "\u2028", "\u202f", "\u200b", "\x1f", "\x0b", "é", "漢字", "12", "!?", "<|endoftext|>", "<|endof", "text|>", "€"]
 
 

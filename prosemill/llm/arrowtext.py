@@ -6,6 +6,7 @@ import ctypes
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # Arrow's own allocator keeps what it has; the system's gives it back, see trim().
 pa.set_memory_pool(pa.system_memory_pool())
@@ -72,6 +73,69 @@ def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return found.indices.to_numpy().astype(np.int64), found.dictionary
 
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """The last step of XXH64."""
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 (seed 0) of slices of data: those of less than 32 bytes together, by their length."""
+    out = np.empty(len(starts), np.uint64)
+    padded = np.zeros(len(data) // 8 * 8 + 16, np.uint8)
+    padded[: len(data)] = data
+    eight = padded.view("<u8")
+
+    def read(at: np.ndarray) -> np.ndarray:
+        i, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        # A shift by 64 is none: twice by half of it.
+        return (eight[i] >> shift) | (eight[i + 1] << (np.uint64(63) - shift) << np.uint64(1))
+
+    lengths = ends - starts
+    short = np.minimum(lengths, 32).astype(np.uint8)
+    order = np.argsort(short, kind="stable")
+    cuts = np.searchsorted(short[order], np.arange(33)).tolist()
+    for n, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        for k in range(i, j, 1 << 16):
+            own = order[k : min(j, k + (1 << 16))]
+            at, h, left = starts[own], np.full(len(own), _P5 + np.uint64(n)), n
+            while left >= 8:
+                h = _rotated(h ^ (_rotated(read(at) * _P2, 31) * _P1), 27) * _P1 + _P4
+                at, left = at + 8, left - 8
+            rest = read(at) if left else h
+            if left >= 4:
+                h = _rotated(h ^ ((rest & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+                rest, left = rest >> np.uint64(32), left - 4
+            for _ in range(left):
+                h = _rotated(h ^ ((rest & np.uint64(0xFF)) * _P5), 11) * _P1
+                rest = rest >> np.uint64(8)
+            out[own] = _mixed(h)
+    for i in order[cuts[32] :].tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
+
+
+def spark_hash(first: np.ndarray, second: np.ndarray | int) -> np.ndarray:
+    """Spark's xxhash64 of a long column and, after it, of another or of an integer literal."""
+
+    def long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+        h = (seed + _P5 + np.uint64(8)) ^ (_rotated(x.astype(np.int64).view(np.uint64) * _P2, 31) * _P1)
+        return _mixed(_rotated(h, 27) * _P1 + _P4)
+
+    h = long(first, np.full(len(first), np.uint64(42)))
+    if isinstance(second, int):
+        return _mixed(_rotated((h + _P5 + np.uint64(4)) ^ (np.full(1, second, np.uint64) * _P1), 23) * _P2 + _P3).view(np.int64)
+    return long(second, h).view(np.int64)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ranges starts[i] .. starts[i] + lengths[i]."""
     total = int(lengths.sum())

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +38,8 @@ K, W, GAP, COST = 6, 8, 60, 0.05
 MIN_WORDS, MIN_IDENTITY, MIN_CHAIN, SURE = 50, 0.8, 8, 12
 #: Seeds of a run. Keys with more than 1 of LISTS occurrences, but no fewer than LONG, are dealt to lists.
 RUN, LISTS, LONG = 3, 4096, 64
+#: Keys come in parts of about so many, in so many parts at least; a list is in one part.
+PART, PARTS = 1 << 19, 24
 #: One document of TRIED is looked at to find such keys; this decides on lists only.
 TRIED = 32
 #: Words that places of a list are compared by (BEFORE of them before the seed), and how many must be equal: MOST, as in any
@@ -56,10 +57,7 @@ MARGIN, GRID = 56, 32
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of a batch, and the first word of each document (len+1)."""
     starts, ends, first = A.word_spans(data, offsets)
-    codes, distinct = A.word_codes(data, starts, ends)
-    x = xxhash.xxh64_intdigest
-    own = np.fromiter((x(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
-    return own[codes] if len(codes) else np.zeros(0, np.uint64), first
+    return A.xxh64(data, starts, ends), first
 
 
 def seeds(words: np.ndarray, first: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +115,93 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(doc[own])), pa.array(pos[own].astype(np.int32)), pa.array(more.astype(np.int16))], names=["h", "doc", "pos", "more"])
 
 
+def _planes(columns: list[np.ndarray]) -> bytes:
+    """The bytes of columns, first those of all first bytes, so that what rows have in common compresses."""
+    return b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
+
+
+def _from_planes(blob: bytes) -> list[np.ndarray]:
+    """The columns h, doc, pos, more of _planes."""
+    kinds = [np.dtype(k) for k in ("<i8", "<i8", "<i4", "<i2")]
+    n, at, out = len(blob) // sum(k.itemsize for k in kinds), 0, []
+    for k in kinds:
+        own = np.frombuffer(blob, np.uint8, n * k.itemsize, at).reshape(k.itemsize, n)
+        out.append(np.ascontiguousarray(own.T).reshape(-1).view(k))
+        at += n * k.itemsize
+    return out
+
+
+def _listed(h: np.ndarray, doc: np.ndarray, hot: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """The list of each key: its own, or one of several by the document. hot, lists: such keys, sorted, and how many lists."""
+    out = h.copy()
+    if len(hot):
+        j = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+        at = np.flatnonzero(hot[j] == h)
+        out[at] = A.spark_hash(h[at], A.spark_hash(doc[at], 3) % lists[j[at]])
+    return out
+
+
+def _dealt(dealing, parts: int):
+    """Reads (doc_id, text): keys as _keys gives them, those of one part of the lists in one row (part, keys)."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, lists = dealing.value
+        held: list[list[np.ndarray]] = []
+
+        def rows() -> pa.RecordBatch:
+            h, doc, pos, more = (np.concatenate(c) for c in zip(*held))
+            part = (_listed(h, doc, hot, lists).view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+            cols = [c[order] for c in (h, doc, pos, more)]
+            cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(order) else order
+            blobs = [_planes([c[i:j] for c in cols]) for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)])]
+            return pa.RecordBatch.from_arrays([pa.array(part[order][cuts]), pa.array(blobs, pa.binary())], names=["part", "keys"])
+
+        for batch in _keys(batches):
+            held.append([c.to_numpy() for c in batch.columns])
+            if sum(len(c[0]) for c in held) >= 1 << 18:
+                yield rows()
+                held.clear()
+        if held:
+            yield rows()
+
+    return of
+
+
+def _met(dealing):
+    """Reads (part, keys) sorted by part: matches of the keys, see _matches. A list of one key, not dealt, is left out at once."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, lists = dealing.value
+
+        def part(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+            h, doc, pos, more = (np.concatenate(c) for c in zip(*map(_from_planes, blobs)))
+            list_ = _listed(h, doc, hot, lists)
+            order = np.argsort(list_)
+            same = list_[order][1:] == list_[order][:-1]
+            keep = order[np.append(False, same) | np.append(same, False) | (list_ != h)[order]]
+            keep = keep[np.lexsort((pos[keep], doc[keep], list_[keep]))]
+            for i in range(0, len(keep), 1 << 17):
+                own = keep[i : i + (1 << 17)]
+                yield pa.RecordBatch.from_arrays([pa.array(c[own]) for c in (list_, h, doc, pos, more)], names=["list", "h", "doc", "pos", "more"])
+
+        def sorted_() -> Iterator[pa.RecordBatch]:
+            at, blobs = None, []
+            for batch in batches:
+                for p, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if p != at and blobs:
+                        yield from part(blobs)
+                        blobs = []
+                    at = p
+                    blobs.append(blob)
+            if blobs:
+                yield from part(blobs)
+
+        yield from _matches(sorted_())
+
+    return of
+
+
 def _neighbours(h: np.ndarray, doc: np.ndarray, old: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For rows sorted by (h, doc): pairs (earlier, row) with the seed's first document and with the document before, for
     rows from old on; and where a seed and where a document in a seed begins."""
@@ -400,15 +485,19 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs, pa.int64())), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(out, pa.binary())], names=["doc", "lo", "hi", "words"])
 
 
-def _lists(own: DataFrame) -> DataFrame:
-    """(h, lists): keys of very many occurrences, LISTS or so at most, and to how many lists they are dealt."""
+def _lists(own: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys of very many occurrences, LISTS or so at most, sorted; to how many lists each is dealt; and about how many
+    occurrences all keys have."""
     tried = own.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(TRIED)) == 0)
-    counts = written(tried.mapInArrow(_keys, KEYS).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "seed-counts")
-    total = tried.mapInArrow(_keys, KEYS).count()
+    counts = written(tried.mapInArrow(_keys, KEYS).groupBy("h").agg(F.count("*").alias("n")), "seed-counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     most = max(LONG, TRIED * total // LISTS)
     # Powers of two, so that keys of one passage have the same lists, or some twice as many.
-    lists = F.pow(F.lit(2.0), F.floor(F.log2(F.lit(float(TRIED)) * F.col("n") / F.lit(float(most))))).cast("int")
-    return counts.where(F.col("n") * TRIED >= 2 * most).select("h", lists.alias("lists"))
+    lists = F.pow(F.lit(2.0), F.floor(F.log2(F.lit(float(TRIED)) * F.col("n") / F.lit(float(most))))).cast("long")
+    found = counts.where("n > 1").where(F.col("n") * TRIED >= 2 * most).select("h", lists.alias("lists")).toArrow()
+    hot, lists = (found.column(c).to_numpy() for c in ("h", "lists"))
+    order = np.argsort(hot)
+    return hot[order], lists[order], TRIED * total
 
 
 KEYS = "h long, doc long, pos int, more short"
@@ -421,9 +510,11 @@ def matches(own: DataFrame) -> tuple[DataFrame, DataFrame]:
     def met(keys: DataFrame) -> DataFrame:
         return keys.select("list", "h", "doc", "pos", "more").repartition("list").sortWithinPartitions("list", "doc", "pos").mapInArrow(_matches, MATCHES)
 
-    keys = own.mapInArrow(_keys, KEYS).join(F.broadcast(_lists(own)), "h", "left")
-    dealt = F.when(F.col("lists").isNull(), F.col("h")).otherwise(F.xxhash64("h", F.pmod(F.xxhash64("doc", F.lit(3)), F.col("lists"))))
-    found = written(met(keys.withColumn("list", dealt)), "matches")
+    *dealing, total = _lists(own)
+    dealing = own.sparkSession.sparkContext.broadcast(dealing)
+    # Rows of many keys each: what is shuffled is sorted by the part alone, the keys of a part by themselves.
+    keys = own.mapInArrow(_dealt(dealing, max(PARTS, total // PART)), "part int, keys binary")
+    found = written(keys.repartition("part").sortWithinPartitions("part").mapInArrow(_met(dealing), MATCHES), "matches")
     heads = found.where("a IS NOT NULL AND head IS NOT NULL").select(F.col("head").alias("list"), F.col("head").alias("h"), F.col("a").alias("doc"), F.col("pa").alias("pos"), F.col("da").alias("more"))
     pairs = found.where("b IS NOT NULL").union(met(heads).where("b IS NOT NULL"))
     return pairs.select("a", "b", "pa", "pb", "da", "db"), found.where("a IS NULL").select(F.col("head").alias("h"))
@@ -517,8 +608,9 @@ def _places(bits):
 
 
 def _count(equal: np.ndarray) -> np.ndarray:
-    """How many of each row's bytes are 1."""
-    return (equal.view(np.uint64).sum(1) * np.uint64(0x0101010101010101)) >> np.uint64(56)
+    """How many of each row's NEAR flags are set."""
+    bits = np.bitwise_count(np.packbits(equal.reshape(-1)).view(np.uint64)).reshape(-1, NEAR // 64)
+    return bits[:, 0] + bits[:, 1]
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -602,7 +694,12 @@ def alike(group: np.ndarray, block: np.ndarray, doc: np.ndarray, label: np.ndarr
         if b[0] >= 0 and not start:
             continue
         for i in range(half):
-            at = np.flatnonzero(c[max(start, i + 1) :] != c[i]) + max(start, i + 1)
+            after = max(start, i + 1)
+            at = np.flatnonzero(c[after:] != c[i]) + after
+            if 2 * len(at) > len(own) - after:
+                # Most rows: what isn't near at all goes before rows are picked.
+                at = np.flatnonzero(_count(v[after:] == u[i : i + 1]) >= LEAST) + after
+                at = at[c[at] != c[i]]
             at = at[d[at] != d[i]]
             at = at[_near(u[i : i + 1], v[at])] if len(at) else at
             if len(at):
@@ -665,14 +762,32 @@ def more_matches(own: DataFrame, seeds_: DataFrame, rows: DataFrame) -> DataFram
     bits = own.sparkSession.sparkContext.broadcast(filter_)
     passages = checked_broadcast(_passages(classed(rows)), 64)
     texts = own.join(passages, own["doc_id"] == passages["doc"], "left").select("doc_id", "text", "passages")
-    places = written(texts.mapInArrow(_places(bits), PLACES), "places")
+    places = written(texts.mapInArrow(_places(bits), PLACES).withColumn("same", F.struct("h", F.xxhash64("near").alias("near"), "label")), "places")
+    # Places of one seed and class with the same words around, in several documents: two of them stand for all.
+    place = F.struct("doc", "pos")
+    alike_ = written(places.groupBy("same").agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("two")), "place-groups")
+    several = F.col("one.doc") != F.col("two.doc")
     # Lists of one document or one class have nothing to compare.
-    lists = places.groupBy("h").agg(F.count("*").alias("n"), (F.min("doc") != F.max("doc")).alias("docs"), (F.min("label") != F.max("label")).alias("labels"), F.min("label").alias("label"))
+    lists = alike_.groupBy("same.h").agg(
+        F.sum(F.when(several, 2).otherwise(F.col("n"))).alias("n"), (F.min("one.doc") != F.max("two.doc")).alias("docs"), (F.min("same.label") != F.max("same.label")).alias("labels"), F.min("same.label").alias("label")
+    )
     lists = written(lists.where("docs AND (labels OR label = -1)").select("h", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "place-lists")
-    met = places.join(checked_broadcast(lists, 24), "h").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    stood_for = written(alike_.where(several & (F.col("n") > 2)), "places-stood-for")
+    found = attach(places.join(checked_broadcast(lists, 24), "h"), stood_for, "same", "n", places.count(), 96)
+    stands = F.col("one").isNull() | (place == F.col("one")) | (place == F.col("two"))
+    met = found.where(stands).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(F.col("h").alias("list"), F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "block", "doc", "pos", "label", "near")
-    return written(met.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y", "doc", "pos").mapInArrow(_compared, "a long, b long, pa int, pb int, da short, db short"), "more-matches")
+    pairs = met.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y", "doc", "pos").mapInArrow(_compared, "a long, b long, pa int, pb int, da short, db short")
+    # The others are matched to one of the two, if no class has them: by K words after the seed, or before it where the text
+    # ends, besides the seed, so that each place of a text that repeats itself has a chain of its own.
+    rest = found.where(~stands & (F.col("label") == -1))
+    back = F.when(F.substring("near", BEFORE + 2 * K, 1) == F.lit(b"\0"), K).otherwise(0)
+    at = lambda c: F.struct(c["doc"].alias("doc"), (c["pos"] - back).cast("int").alias("pos"))
+    rest = rest.select(at(F.when(F.col("one.doc") != F.col("doc"), F.col("one")).otherwise(F.col("two"))).alias("to"), at(place).alias("of"))
+    rest = rest.select(F.least("to", "of").alias("x"), F.greatest("to", "of").alias("y"), F.lit(K).cast("short").alias("more"))
+    rest = rest.select(*[F.col(c).alias(n) for c, n in (("x.doc", "a"), ("y.doc", "b"), ("x.pos", "pa"), ("y.pos", "pb"), ("more", "da"), ("more", "db"))])
+    return written(pairs.union(rest), "more-matches")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from conftest import SF  # noqa: E402
 
 from prosemill.llm import attention, exactdedup, graph, hilbert, htmlmain, linededup, mixing, packing, quality, simhash, substring  # noqa: E402
-from prosemill.llm.arrowtext import LOWER, SPACE_BYTES  # noqa: E402
+from prosemill.llm.arrowtext import LOWER, SPACE_BYTES, spark_hash  # noqa: E402
 from prosemill.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -564,6 +564,26 @@ def test_simhash(spark, docs):
     assert {i: (r["fingerprint"], r["component_id"]) for i, r in rows.items()} == {i: (f"{fp[i]:016x}", label[i]) for i in docs}
 
 
+def test_hashes_are_spark_s(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(-(1 << 63), (1 << 63) - 1, 50), rng.integers(-9, 9, 50)
+    rows = spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a long, b long").select("a", "b", F.xxhash64("a", F.lit(3)), F.xxhash64("a", "b")).collect()
+    a, b, one, two = (np.array(c) for c in zip(*rows))
+    assert (spark_hash(a, 3) == one).all() and (spark_hash(a, b) == two).all()
+
+
+def test_every_place_of_repeating_texts_is_in_a_passage(spark):
+    """Documents that repeat a line have many places with the same words around: all of them are in rows, of one class."""
+    line, places = [f"common{k}" for k in range(10)], {i: range(70, 70 + 10 * (20 + i % 7)) for i in range(40)}
+    texts = [(i, " ".join([f"a{i}x{k}" for k in range(70)] + line * (len(own) // 10) + [f"b{i}x{k}" for k in range(70)])) for i, own in places.items()]
+    rows = substring.passage_classes(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()
+    covered = defaultdict(set)
+    for r in rows:
+        covered[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+        covered[r["other_id"]].update(range(r["other_start"], r["other_end"]))
+    assert len({r["class_id"] for r in rows}) == 1 and not [i for i, own in places.items() if set(own) - covered[i]]
+
+
 def test_repeated_passages(spark, docs):
     rows = QUERIES["op1_substring_dedup"](spark, SF).collect()
     words = {i: words_of(t) for i, t in docs.items()}

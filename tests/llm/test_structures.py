@@ -5,6 +5,7 @@ import random
 import resource
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -318,6 +319,33 @@ def test_matches_are_the_same_whatever_the_batches_are():
     assert all(found(size) == found(len(rows)) for size in (1, 2, 3, 7, 50))
 
 
+def test_hashes_of_slices_are_xxh64():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 3000).astype(np.uint8)
+    ends = np.cumsum([*range(70), 0, 1, 33])
+    starts = np.append(0, ends[:-1])
+    assert A.xxh64(data, starts, ends).tolist() == [xxhash.xxh64_intdigest(data[i:j].tobytes()) for i, j in zip(starts, ends)]
+    assert not len(A.xxh64(data[:0], starts[:0], ends[:0]))
+
+
+def test_packed_keys_meet_as_sorted_rows_do():
+    """Keys in rows of many, in any order and any number of parts, give the matches of keys sorted one by one."""
+    rng = np.random.default_rng(8)
+    h, doc = rng.integers(-(1 << 62), 1 << 62, 400)[rng.integers(0, 400, 900)], rng.integers(0, 300, 900)
+    h[:200] = h[0]  # dealt to lists
+    cols = [h, doc, rng.permutation(900).astype(np.int32), rng.integers(0, 2, 900).astype(np.int16)]
+    dealing = SimpleNamespace(value=(h[:1], np.array([4])))
+    list_ = substring._listed(h, doc, *dealing.value)
+    order = np.lexsort((cols[2], doc, list_))
+    rows = pa.RecordBatch.from_arrays([pa.array(c[order]) for c in (list_, *cols)], names=["list", "h", "doc", "pos", "more"])
+    found = lambda out: sorted((tuple(r.values()) for b in out for r in b.to_pylist()), key=str)
+    for parts in (1, 3, 50):
+        part = (list_.view(np.uint64) % np.uint64(parts)).astype(int)
+        blobs = [(p, substring._planes([c[own] for c in cols])) for p in range(parts) for own in np.array_split(np.flatnonzero(part == p), 2)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([p for p, _ in blobs[i : i + 3]]), pa.array([b for _, b in blobs[i : i + 3]])], names=["part", "keys"]) for i in range(0, len(blobs), 3)]
+        assert found(substring._met(dealing)(iter(batches))) == found(substring._matches(iter([rows])))
+
+
 def test_alignment_of_many_chains_is_that_of_each():
     rng = np.random.default_rng(7)
     x = [rng.integers(0, 3 if i % 2 else 90, rng.integers(30, 190)).astype(np.uint32) for i in range(400)]

@@ -319,6 +319,21 @@ def test_matches_are_the_same_whatever_the_batches_are():
     assert all(found(size) == found(len(rows)) for size in (1, 2, 3, 7, 50))
 
 
+def test_surroundings_are_those_of_loops():
+    rng = np.random.default_rng(9)
+    single = np.full(M.SYMBOLS, M.SINGLE, np.int64)
+    single[[5, 70_000, M.END]] = [0, 1, 2]
+    windows = rng.choice([5, 4464, 5 + 65_536, 70_000, M.END], (300, M.L + 2)).astype("<i4")
+    batches = [pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in part])], names=["window"]) for part in np.array_split(windows, 3)]
+    vectors, want = np.random.default_rng(5).integers(0, 2, (M.SINGLE + 1, M.SKETCH)) * 2 - 1, {}
+    for w in windows[:, : M.L].tolist():
+        around = sum(vectors[single[x]] for x in w if single[x] < M.SINGLE)
+        for x in w:
+            want[x] = want.get(x, 0) + around
+    (out,) = M._surroundings(single)(iter(batches))
+    assert {r["key"]: [r[f"v{i}"] for i in range(M.SKETCH)] for r in out.to_pylist()} == {k: v.tolist() for k, v in want.items()}
+
+
 def test_hashes_of_slices_are_xxh64():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 256, 3000).astype(np.uint8)

@@ -52,6 +52,9 @@ CELL = 24
 SLOTS = 1 << 26
 #: Words fetched beyond a chain's ends, and the grid that fetched ranges are rounded to.
 MARGIN, GRID = 56, 32
+#: Reach of a match: the words that an alignment may add before it, times 256, and after it; at most (and where it isn't known) all.
+ALL = MARGIN + GRID - 1
+ANY = (ALL << 8) + ALL
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,6 +167,7 @@ def _dealt(dealing, parts: int):
                 held.clear()
         if held:
             yield rows()
+        A.trim()
 
     return of
 
@@ -198,6 +202,7 @@ def _met(dealing):
                 yield from part(blobs)
 
         yield from _matches(sorted_())
+        A.trim()
 
     return of
 
@@ -326,33 +331,50 @@ def chains(pa_: list[int], pb: list[int], k: int = K, gap: int = GAP, cost: floa
     return out
 
 
+def _flat(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Matches (a, b, pa, pb, da, db, and in the second turn reach), one a row also where rows hold all of a pair in an array."""
+    if batch.schema.names[2:] != ["at"]:
+        return [c.to_numpy() for c in batch.columns]
+    n = batch.column(2).value_lengths().to_numpy() // 4
+    x, y, more, reach = batch.column(2).flatten().to_numpy().reshape(-1, 4).T
+    return [np.repeat(batch.column(0).to_numpy(), n), np.repeat(batch.column(1).to_numpy(), n), x, y, more, more, reach]
+
+
 def _chained(batches: Iterator[pa.RecordBatch], least: int = MIN_CHAIN) -> Iterator[pa.RecordBatch]:
-    """From matches sorted by (a, b): chains long enough to lie in a passage, with the places where the diagonal changes."""
+    """From matches sorted by (a, b): chains long enough to lie in a passage, with the places where the diagonal changes.
+
+    Where the matches' reach is known, so is that of a chain, and those that aren't aligned to MIN_WORDS words are left out.
+    """
     held: list[np.ndarray] | None = None
 
     def of(cols: list[np.ndarray]) -> pa.RecordBatch:
-        # The last seeds of runs are matches, too; equal matches count once.
-        a, b, x, y, dx, dy = cols
+        # The last seeds of runs are matches, too; equal matches count once, with the most reach of them.
+        a, b, x, y, dx, dy, *reach = cols
         ends = np.flatnonzero(dx)
         a, b, x, y = np.append(a, a[ends]), np.append(b, b[ends]), np.append(x, x[ends] + dx[ends]), np.append(y, y[ends] + dy[ends])
+        left, right = (np.append(r, r[ends]) for r in divmod(reach[0] if reach else np.full(len(dx), ANY), 1 << 8))
         order = np.lexsort((x, y, b, a))
         a, b, x, y = a[order], b[order], x[order], y[order]
-        new = np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0))
+        new = np.flatnonzero(np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)))
         a, b, x, y = a[new], b[new], x[new], y[new]
+        left, right = (np.maximum.reduceat(r[order], new) for r in (left, right))
         cut = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
         bounds = np.concatenate([[0], cut, [len(a)]])
         # A pair's only match is a chain of one seed.
         many = np.flatnonzero(np.diff(bounds) > 1)
         one = bounds[:-1][np.diff(bounds) == 1] if least <= K else many[:0]
+        one = one[left[one] + K + right[one] >= MIN_WORDS]
         rows: list[tuple] = []
         for i, j in zip(bounds[many].tolist(), bounds[many + 1].tolist()):
-            xs, ys, places = x[i:j].tolist(), y[i:j].tolist(), set()
+            xs, ys, before, after, places = x[i:j].tolist(), y[i:j].tolist(), left[i:j].tolist(), right[i:j].tolist(), set()
             for own in chains(xs, ys):
                 p, q = own[0], own[-1]
                 words = ys[q] + K - ys[p]
                 if words < least or words < SURE and xs[p] in places:
                     continue
                 places.add(xs[p])
+                if before[p] + words + after[q] < MIN_WORDS:
+                    continue
                 turns, was = [], None
                 for t in own:
                     if xs[t] - ys[t] != was:
@@ -366,7 +388,7 @@ def _chained(batches: Iterator[pa.RecordBatch], least: int = MIN_CHAIN) -> Itera
         return pa.RecordBatch.from_arrays([*cols, pa.concat_arrays([pa.array([r[6] for r in rows], pa.list_(pa.int64())), turns])], names=[*names, "turns"])
 
     for batch in batches:
-        cols = [c.to_numpy() for c in batch.columns]
+        cols = _flat(batch)
         cols = cols if held is None else [np.concatenate(z) for z in zip(held, cols)]
         if not len(cols[0]):
             continue
@@ -565,8 +587,8 @@ def _thinned(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, codes: np.ndarra
     a, b = order[:-1], order[1:]
     close = np.flatnonzero((key[a] == key[b]) & (doc[a] == doc[b]) & (pos[b] - pos[a] < CELL))
     drop = np.zeros(len(key), bool)
-    for i in range(0, len(close), 1 << 14):
-        x, y = a[close[i : i + (1 << 14)]], b[close[i : i + (1 << 14)]]
+    for i in range(0, len(close), 1 << 12):
+        x, y = a[close[i : i + (1 << 12)]], b[close[i : i + (1 << 12)]]
         same = _count(_around(doc[x], pos[x], codes, first) == _around(doc[y], pos[y], codes, first)) >= NEAR // 2
         drop[y[same & (pos[x] // CELL == pos[y] // CELL)]] = True
     return np.flatnonzero(~drop)
@@ -597,12 +619,13 @@ def _places(bits):
                     p = pos[cuts[i] : cuts[i + 1]]
                     j = np.searchsorted(lo, p, side="right") - 1
                     label[cuts[i] : cuts[i + 1]] = np.where((j >= 0) & (p + K <= hi[j]), of_[j], -1)
-            for i in range(0, len(keep), 1 << 15):
-                own = slice(i, i + (1 << 15))
+            for i in range(0, len(keep), 1 << 13):
+                own = slice(i, i + (1 << 13))
                 near = _around(doc[own], pos[own], codes, first)
                 ends = pa.py_buffer((np.arange(len(near) + 1) * NEAR).astype(np.int32))
                 near = pa.Array.from_buffers(pa.binary(), len(near), [None, ends, pa.py_buffer(np.ascontiguousarray(near))])
                 yield pa.RecordBatch.from_arrays([pa.array(key[own]), batch.column(0).take(pa.array(doc[own])), pa.array(pos[own].astype(np.int32)), pa.array(label[own]), near], names=["h", "doc", "pos", "label", "near"])
+            A.trim()
 
     return of
 
@@ -640,6 +663,21 @@ def _passage(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (length >= MIN_WORDS + 2) & (matched >= MIN_IDENTITY * length + 2)
 
 
+def _reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The reach of matches by the words around: as in align, or all where words beyond these could still add some.
+
+    Words that differ may have one byte here, which only adds to the reach.
+    """
+    equal, out = x == y, np.zeros(len(y), np.int32)
+    for side in (equal[:, :BEFORE][:, ::-1], equal[:, BEFORE + K :]):
+        gain = np.cumsum(np.where(side, np.int8(1), np.int8(-2)), 1, dtype=np.int16)
+        best = np.argmax(gain, 1)
+        top = np.maximum(gain[np.arange(len(gain)), best], 0)
+        n = np.where(top > 0, best + 1, 0)
+        out = (out << 8) + np.where(gain[:, -1] + ALL - gain.shape[1] > top, ALL, n).astype(np.int32)
+    return out
+
+
 def alike(group: np.ndarray, block: np.ndarray, doc: np.ndarray, label: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of one group, in different documents, that may lie in a passage and aren't joined already: by passages of
     one class, or by pairs before that surely lie in one.
@@ -727,7 +765,8 @@ def alike(group: np.ndarray, block: np.ndarray, doc: np.ndarray, label: np.ndarr
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reads (list, x, y, block, doc, pos, label, near) sorted by the first three: matches of places that are alike."""
+    """Reads (list, x, y, block, doc, pos, label, near) sorted by the first three: matches of places that are alike, those of
+    a pair of documents in a row (a, b, at: pa, pb, 0 and reach of each)."""
     held: list[np.ndarray] | None = None
 
     def of(cols: list[np.ndarray]) -> pa.RecordBatch:
@@ -735,8 +774,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.append(True, (np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0))
         i, j = alike(np.cumsum(new), np.where(x == y, -1, block), doc, label, near)
         i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
-        zero = pa.array(np.zeros(len(i), np.int16))
-        return pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(doc[j]), pa.array(pos[i]), pa.array(pos[j]), zero, zero], names=["a", "b", "pa", "pb", "da", "db"])
+        order = np.lexsort((doc[j], doc[i]))
+        i, j = i[order], j[order]
+        reach = [_reach(near[i[k : k + (1 << 12)]], np.where(near[j[k : k + (1 << 12)]] == 0, np.uint8(255), near[j[k : k + (1 << 12)]])) for k in range(0, len(i), 1 << 12)]
+        at = np.stack([pos[i], pos[j], np.zeros(len(i), np.int32), np.concatenate([np.zeros(0, np.int32), *reach])], 1).astype(np.int32)
+        cuts = np.flatnonzero(np.append(True, (np.diff(doc[i]) != 0) | (np.diff(doc[j]) != 0))) if len(i) else i
+        ends = pa.array(4 * np.append(cuts, len(i)), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(doc[i[cuts]]), pa.array(doc[j[cuts]]), pa.ListArray.from_arrays(ends, pa.array(at.reshape(-1)))], names=["a", "b", "at"])
 
     for batch in batches:
         cols = [c.to_numpy() for c in batch.columns[:-1]]
@@ -751,11 +795,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [c[last:] for c in cols]
     if held is not None and len(held[0]):
         yield of(held)
+    held = None
+    A.trim()
 
 
 def more_matches(own: DataFrame, seeds_: DataFrame, rows: DataFrame) -> DataFrame:
-    """Matches as of matches(): of the seeds with more places than were matched, all that are alike and that links (rows) don't
-    join already."""
+    """(a, b, at): of the seeds with more places than were matched, matches of all that are alike and that links (rows) don't
+    join already; at: pa, pb, words to a second seed (in both) and reach of each match."""
     slots = seeds_.select((F.col("h").bitwiseAND(F.lit(SLOTS - 1))).cast("int").alias("slot")).distinct().toArrow().column("slot").to_numpy()  # SLOTS at most
     filter_ = np.zeros(SLOTS >> 3, np.uint8)
     np.bitwise_or.at(filter_, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
@@ -778,15 +824,15 @@ def more_matches(own: DataFrame, seeds_: DataFrame, rows: DataFrame) -> DataFram
     met = found.where(stands).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(F.col("h").alias("list"), F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "block", "doc", "pos", "label", "near")
-    pairs = met.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y", "doc", "pos").mapInArrow(_compared, "a long, b long, pa int, pb int, da short, db short")
+    pairs = met.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y", "doc", "pos").mapInArrow(_compared, "a long, b long, at array<int>")
     # The others are matched to one of the two, if no class has them: by K words after the seed, or before it where the text
     # ends, besides the seed, so that each place of a text that repeats itself has a chain of its own.
     rest = found.where(~stands & (F.col("label") == -1))
     back = F.when(F.substring("near", BEFORE + 2 * K, 1) == F.lit(b"\0"), K).otherwise(0)
     at = lambda c: F.struct(c["doc"].alias("doc"), (c["pos"] - back).cast("int").alias("pos"))
     rest = rest.select(at(F.when(F.col("one.doc") != F.col("doc"), F.col("one")).otherwise(F.col("two"))).alias("to"), at(place).alias("of"))
-    rest = rest.select(F.least("to", "of").alias("x"), F.greatest("to", "of").alias("y"), F.lit(K).cast("short").alias("more"))
-    rest = rest.select(*[F.col(c).alias(n) for c, n in (("x.doc", "a"), ("y.doc", "b"), ("x.pos", "pa"), ("y.pos", "pb"), ("more", "da"), ("more", "db"))])
+    rest = rest.select(F.least("to", "of").alias("x"), F.greatest("to", "of").alias("y"))
+    rest = rest.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.array("x.pos", "y.pos", F.lit(K), F.lit(ANY)).alias("at"))
     return written(pairs.union(rest), "more-matches")
 
 
@@ -803,7 +849,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     to the earlier place. The rows don't depend on how docs is partitioned. An empty table gives no rows; other columns
     are ignored.
     """
-    tune(docs.sparkSession, rows=1 << 15)  # most stages have narrow rows
+    tune(docs.sparkSession, 3, rows=1 << 15)  # most stages have narrow rows
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     pairs, more = matches(own)
     rows = written(linked(own, pairs, MIN_CHAIN), "links")
@@ -818,7 +864,7 @@ def passage_classes(docs: DataFrame) -> DataFrame:
 
 
 def linked(own: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
-    """The links of own (doc_id, text) along chains of at least so many words of matches (a, b, pa, pb, da, db)."""
+    """The links of own (doc_id, text) along chains of at least so many words of matches (a, b, pa, pb, da, db, or at)."""
     pairs = pairs.repartition("a", "b").sortWithinPartitions("a", "b")
     chained = pairs.mapInArrow(lambda batches: _chained(batches, least), "a long, b long, a0 long, a1 long, b0 long, b1 long, turns array<long>")
     grid = {}

@@ -379,6 +379,30 @@ def test_alignment_of_many_chains_is_that_of_each():
     assert substring.straight(x[0], d[:0], d[:0], x[0], d[:0], d[:0], d[:0], d[:0], d[:0])[2].size == 0
 
 
+def test_chains_that_are_not_aligned_to_a_passage_are_left_out():
+    rng = np.random.default_rng(23)
+    for n in range(substring.MOST, 62):
+        for gap, rate in ((0, 0), (1, 0), (1, 0.3)):
+            # Two texts share n words (one apart in a word); besides, some words near them may be equal by chance.
+            wa, wb = (rng.integers(1, 10**6, 260) for _ in "ab")
+            wb[90 : 90 + n] = wa[100 : 100 + n]
+            wb[90 + n // 2] += gap
+            chance = np.flatnonzero(rng.random(80) < rate)
+            wb[90 + n + chance] = wa[100 + n + chance]
+            words, first = np.concatenate([wa, wb]), np.array([0, 260, 520])
+            at = np.array([103, 93])
+            near = substring._around(np.arange(2), at, (words % 251 + 1).astype(np.uint8), first)
+            cols = [np.array([7, 7]), np.zeros(2, np.int32), np.zeros(2, np.int32), np.zeros(2, np.int32), np.arange(2), at.astype(np.int32), np.array([-1, -1])]
+            batch = pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array([x.tobytes() for x in near])], names=["list", "x", "y", "block", "doc", "pos", "label", "near"])
+            found = [r for b in substring._chained(substring._compared(iter([batch])), substring.K) for r in b.to_pylist()]
+            s, e, t, u, _ = substring.align(wa, wb, 93, 93 + substring.K, [(93, 10)])
+            assert len(found) == 1 if u - t >= substring.MIN_WORDS else rate or not found, (n, gap, rate)
+            assert [(r["a"], r["b"], r["a0"], r["b0"]) for r in found] == [(0, 1, 103, 93)] * len(found)
+    # What isn't seen counts as if it matched, and so does a match of which nothing is known.
+    x = np.ones((1, substring.NEAR), np.uint8)
+    assert substring._reach(x, x).tolist() == [substring.ANY]
+
+
 def test_monotone_trees():
     rng = np.random.default_rng(8)
     x = rng.random((3000, 3))

@@ -400,10 +400,10 @@ def docs():
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, duck, name):
-    found, wanted = QUERIES[name](spark, SF).toPandas(), duck.execute(ORACLE_SQL[name]).df()
-    cols = sorted(found.columns)
-    assert cols == sorted(wanted.columns)
-    assert sorted(map(repr, found[cols].values.tolist())) == sorted(map(repr, wanted[cols].values.tolist()))
+    found, wanted = QUERIES[name](spark, SF), duck.execute(ORACLE_SQL[name])
+    names = [c[0] for c in wanted.description]
+    assert sorted(found.columns) == sorted(names)
+    assert sorted(repr(tuple(r)) for r in found.select(names).collect()) == sorted(map(repr, wanted.fetchall()))
 
 
 def test_quality_rules(spark, docs):

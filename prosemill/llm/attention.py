@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from prosemill.llm import arrowtext as A
 from prosemill.llm.common import tune, written
-from prosemill.llm.packing import VOCABULARY, encoding
+from prosemill.llm.packing import LONG, VOCABULARY, encoded, encoding
 
 #: Window length, its positions that are context only, model width, width of queries and keys, hidden width.
 L, CONTEXT, D, KEY, HIDDEN = 32, 8, 16, 8, 32
@@ -66,10 +66,12 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all words, each after a space, and how many each has. One text is encoded: a piece with a space begins a word."""
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ids = encoding(VOCABULARY).encode_to_numpy(b" ".join([b"", *words]).decode(), disallowed_special=())
+    # A long word may hold a run of wide spaces that one call can't take.
+    whole = max(map(len, words)) < LONG
+    ids = encoding(VOCABULARY).encode_to_numpy(b" ".join([b"", *words]).decode(), disallowed_special=()) if whole else np.zeros(0, np.int64)
     starts = np.flatnonzero(_begins_word()[ids])
     if len(starts) != len(words):
-        parts = [encoding(VOCABULARY).encode_ordinary(" " + w.decode()) for w in words]
+        parts = [encoded(" " + w.decode()) for w in words]
         return np.array(list(chain.from_iterable(parts)), np.int64), np.fromiter(map(len, parts), np.int64, len(parts))
     return ids.astype(np.int64), np.diff(np.append(starts, len(ids)))
 

@@ -10,6 +10,7 @@ that an item fills best. When all bins are open and none fits, the fullest one c
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -29,6 +30,9 @@ BATCH_MB = 4
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Strings of a text that the tokenizer of this vocabulary takes as one token.
 SPECIALS = {b"<|endoftext|>": 50256}
+#: Runs of white space (in Unicode's sense) from which on the pattern's search, which goes back over a run, is left out.
+LONG = 1000
+_RUN = re.compile(f"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG},}}")
 
 
 @lru_cache(maxsize=4)
@@ -45,6 +49,22 @@ def encoding(name: str = VOCABULARY):
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoded(text: str, name: str = VOCABULARY) -> list[int]:
+    """Ids of a text without special tokens. The pattern takes a run of white space but for its last character, which the
+    next word may need, as one piece (the whole run at the end): a long run is cut so beforehand, as the pattern's search
+    needs a stack that grows with it."""
+    enc = encoding(name)
+    if len(text) < LONG:
+        return enc.encode_ordinary(text)
+    out, at = [], 0
+    for m in _RUN.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        out += enc.encode_ordinary(text[at : m.start()])
+        out += enc._encode_single_piece(text[m.start() : end])
+        at = end
+    return out + enc.encode_ordinary(text[at:])
+
+
 def _after_wide_space(data: np.ndarray) -> np.ndarray:
     """Places behind a white-space character that isn't ASCII (U+0085, A0, 1680, 2000-200A, 2028, 2029, 202F, 205F, 3000)."""
     found = []
@@ -90,8 +110,7 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, name: str = VOCABULARY) ->
     """All ids of a batch of texts, and where each text's ids start (len+1)."""
     starts, ends, first = chunk_spans(data, offsets, SPECIALS)
     codes, distinct = A.word_codes(data, starts, ends)
-    encode = encoding(name).encode_ordinary
-    ids = [[SPECIALS[x]] if x in SPECIALS else encode(x.decode()) for x in distinct.to_pylist()]
+    ids = [[SPECIALS[x]] if x in SPECIALS else encoded(x.decode(), name) for x in distinct.to_pylist()]
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
     at = np.cumsum(lengths) - lengths

@@ -530,3 +530,20 @@ def test_blocks():
     assert htmlmain.Template(None).text(page) == "A & B\n\nonetwo three\n\nfour\n\nx\n\ny"
     assert htmlmain.Template(None).text("<script>var t='</p>';</script><p>t<!-- no --></p>") == "t"
     assert htmlmain.Template(None).text("") == ""
+
+
+def test_ids_of_long_runs_of_white_space():
+    """Runs that the pattern can't search in one call: the ids are those of the public tokenizer for the whole text."""
+    draw, spaces = random.Random(9), [" ", "\n", " ", "　", "\r\n", "  "]
+    texts = [s * 1_000_000 + t for s in spaces for t in ("", "x", "　x")] + [" " * 10_000_000 + "end", "　" * 2_000_000]
+    texts += ["".join(draw.choice(["a", "b's", "<|endoftext|>", *(s * draw.choice([1, 2, 999, 1000, 1001, 1500]) for s in spaces)]) for _ in range(draw.randrange(12))) for _ in range(300)]
+    ids, at = packing.token_ids(*A.buffers(pa.array(texts)))
+    for t, a, b in zip(texts, at.tolist(), at[1:].tolist()):
+        assert ids[a:b].tolist() == TOKENIZER.encode(t, add_special_tokens=False).ids
+
+
+def test_words_of_wide_spaces_are_spelled():
+    ids, lengths = M.spelled([b"one", ("　" * 1_000_000).encode(), ("x" + " " * 5000 + "y").encode(), b"two"])
+    assert len(lengths) == 4 and lengths.min() > 0 and lengths.sum() == len(ids)
+    alone, n = M.spelled([b"two"])
+    assert ids[-n[0] :].tolist() == alone.tolist()

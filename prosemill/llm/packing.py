@@ -26,7 +26,7 @@ from prosemill.llm.common import tune, written
 #: Open bins of a packing task, pieces that a task packs on average, and pieces of a wave, in which the longest come first.
 OPEN, PACKED, WAVE = 4096, 200_000, 8192
 #: Arrow batches; ids and their places take several numbers for each token.
-BATCH_MB = 4
+BATCH_MB = 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Strings of a text that the tokenizer of this vocabulary takes as one token.
 SPECIALS = {b"<|endoftext|>": 50256}

@@ -8,6 +8,7 @@ lengths that are powers of two. No task waits for another, and no bin is held op
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,37 +30,78 @@ VOCABULARY = "word_bpe_49k.json"
 BUCKETS, DIMENSIONS, BITS = 256, 6, 10
 #: Tokens of a range when documents are sorted, and ranges at most.
 RANGE, RANGES = 4_000_000, 20_000
-#: Words that a worker remembers, words tokenised in one call, and the longest word that is remembered.
-REMEMBERED, CALL, LONGEST = 200_000, 4096, 64
+#: Words in one call of the tokenizer.
+CALL = 4096
 #: The seed of the hashes and of the projection.
 SEED = 13
 
 
+#: Words of letters that neither normalisation nor another letter changes, and marks of one piece after them.
+_PLAIN = "^([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)$"
+#: Stands for the end of a piece; in no plain word.
+_LAST = b"\x01"
+
+
+def _byte_of() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from U+0100 on."""
+    own = [b for r in (range(33, 127), range(161, 173), range(174, 256)) for b in r]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Words:
-    """Ids of white-space separated words: no token of this vocabulary holds ASCII white space, so a text's ids are its words' ids."""
+    """Ids of white-space separated words: no token of this vocabulary holds ASCII white space, so a text's ids are its words' ids.
+
+    Plain words are one piece of letters and one of marks. Where the vocabulary's ids are in the order of its merges, such
+    pieces are merged by rank, all in one call, with the end of a piece as a byte of its own; this gives the same ids in less
+    time. Other words go to the tokenizer as they are.
+    """
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         import public_tokenizers as P
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(name if os.path.sep in name else P.path(name))
+        path = name if os.path.sep in name else P.path(name)
+        self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[bytes, list[int]] = {}
-
-    def ids(self, words: list[bytes]) -> list[list[int]]:
-        out = [self.known.get(w) for w in words]
-        new = [i for i, x in enumerate(out) if x is None]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        for a in range(0, len(new), CALL):
-            own = new[a : a + CALL]
-            found = self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in own], add_special_tokens=False)
-            for i, e in zip(own, found):
-                out[i] = e.ids
-                if len(words[i]) <= LONGEST and len(self.known) < REMEMBERED:
-                    self.known[words[i]] = out[i]
-        return out
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        pairs, vocab, end, byte = [m.split() if isinstance(m, str) else m for m in model["merges"]], model["vocab"], model.get("end_of_word_suffix"), _byte_of()
+        order = [vocab.get(a + b, -1) for a, b in pairs]
+        self.pieces = None
+        if end and order and order == sorted(order) and order[0] > 511:
+            ranks = {bytes(byte[c] for c in t.removesuffix(end)) + _LAST * t.endswith(end): i for t, i in vocab.items() if i <= order[-1] and t not in (chr(257), chr(257) + end)}
+            ranks[_LAST] = order[-1] + 1
+            self.pieces = tiktoken.Encoding("pieces", pat_str="[^ ]+", mergeable_ranks=ranks, special_tokens={})
+            self.last = np.zeros(order[-1] + 2, bool)
+            self.last[[i for t, i in vocab.items() if i <= order[-1] and t.endswith(end)]] = True
+
+    def _merged(self, letters: pa.Array, marks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, and how many each has."""
+        both = pc.if_else(pc.equal(marks, ""), letters, pc.binary_join_element_wise(letters, marks, pa.scalar(_LAST.decode() + " ", letters.type)))
+        ids = self.pieces.encode_to_numpy((_LAST.decode() + " ").join([*both.to_pylist(), ""]), disallowed_special=())
+        ends = np.flatnonzero(self.last[ids]) + 1
+        return ids, np.diff(ends[np.cumsum(1 + np.asarray(pc.not_equal(marks, ""))) - 1], prepend=0)
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in any order; where each word's ids start there, and how many they are."""
+        words = words.cast(pa.large_binary()).cast(pa.large_string())
+        parts = pc.extract_regex(words, _PLAIN.replace("(", "(?P<a>", 1).replace(")(", ")(?P<b>")) if self.pieces else pa.nulls(len(words))
+        plain = np.asarray(parts.is_valid())
+        length, start, flat = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), []
+        if plain.any():
+            a, b = parts.drop_null().flatten()
+            found, length[plain] = self._merged(pc.utf8_lower(a), b)
+            flat.append(found.astype(np.uint32))
+        rest = words.filter(pa.array(~plain)).to_pylist()
+        for k in range(0, len(rest), CALL):
+            flat += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(rest[k : k + CALL], add_special_tokens=False)]
+        length[~plain] = [len(x) for x in flat[int(plain.any()) :]]
+        order = np.argsort(~plain, kind="stable")
+        start[order] = np.cumsum(length[order]) - length[order]
+        return np.concatenate([*flat, np.zeros(0, np.uint32)]), start, length
 
 
 @lru_cache(maxsize=2)
@@ -70,11 +113,9 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, name: str = VOCABULARY) ->
     """All ids of a batch of texts, and where each text's ids start (len+1); each distinct word of the batch is looked up once."""
     starts, ends, first = A.word_spans(data, offsets)
     codes, distinct = A.word_codes(data, starts, ends)
-    ids = vocabulary(name).ids(distinct.to_pylist())
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+    flat, at, lengths = vocabulary(name).ids(distinct)
     own = lengths[codes]
-    return flat[A.ragged((np.cumsum(lengths) - lengths)[codes], own)], np.concatenate([[0], np.cumsum(own)])[first]
+    return flat[A.ragged(at[codes], own)], np.concatenate([[0], np.cumsum(own)])[first]
 
 
 @lru_cache(maxsize=2)

@@ -239,3 +239,14 @@ def test_tails(total):
     cuts = [*curvepack.tail_cuts(total, 8), total]
     sizes = [b - a for a, b in zip(cuts, cuts[1:])]
     assert sum(sizes) == total % 8 and all(n & (n - 1) == 0 for n in sizes)
+
+
+def test_merged_pieces_are_the_tokenizer_s():
+    """Words of letters and marks, made of the vocabulary's own tokens and at random."""
+    draw = random.Random(1)
+    tokens = [t for t in (k.removesuffix("</w>") for k in WORDS.get_vocab()) if t.isascii() and t.isalpha()]
+    words = ["".join(draw.choice(tokens) for _ in range(draw.randrange(1, 5))) + draw.choice(["", "", ".", "!!", "?!..", ",;:"]) for _ in range(40_000)]
+    words += ["".join(draw.choice("abcdefghijklmnopqrstuvwxyzéüßÿÄ×") for _ in range(draw.randrange(1, 14))) for _ in range(20_000)]
+    flat, start, length = curvepack.vocabulary().ids(pa.array([w.encode() for w in words], pa.large_binary()))
+    assert curvepack.vocabulary().pieces is not None
+    assert [flat[a : a + n].tolist() for a, n in zip(start, length)] == [e.ids for e in WORDS.encode_batch(words, add_special_tokens=False)]

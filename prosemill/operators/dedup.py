@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,49 +61,156 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * lcs_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
-def _ratios(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series([indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+#: Blocks of places in a task, letters of a bag, characters of a gram, buckets of hashed grams, pairs handled at a time.
+BLOCKS, LETTERS, GRAM, BUCKETS, PAIRS = 8, b"abcdefghijklmnopqrstuvwxyz ", 3, 1024, 1 << 15
+
+#: Pairs of a range when stretches are told.
+RANGE = 1_000_000
+
+
+class _Band:
+    """Rows of consecutive blocks of places with what bounds their ratios; all are upper bounds, so none loses a pair.
+
+    Of two texts of lengths m and n, LCS is at most the shorter length, and at most what the bags of characters have in
+    common. With d characters unmatched, they have at least (m + n) / 2 - (q - 1) - (2 q - 1) / 2 * d grams of q
+    characters in common: an unmatched character breaks q grams of its own text and q - 1 of the other. Counts
+    of hashed grams can only be higher.
+    """
+
+    def __init__(self, places: np.ndarray, texts: list[str], threshold: float):
+        self.at, self.texts, self.threshold = places, texts, threshold
+        self.n = np.array([len(t) for t in texts], np.int64)
+        self.bag = np.zeros((len(texts), len(LETTERS) + 1), np.int32)
+        self.grams = np.zeros((len(texts), BUCKETS), np.uint8)
+        self.full = np.zeros(len(texts), bool)
+        slot = np.full(256, len(LETTERS))
+        slot[np.frombuffer(LETTERS, np.uint8)] = np.arange(len(LETTERS))
+        for k, t in enumerate(texts):
+            points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+            self.bag[k] = np.bincount(slot[np.minimum(points, 255)], minlength=len(LETTERS) + 1)
+            if len(points) >= GRAM:
+                mixed = (points[:-2].astype(np.uint64) * 0x9E3779B1 + points[1:-1] * np.uint64(0x85EBCA77) + points[2:] * np.uint64(0xC2B2AE3D)) >> np.uint64(7)
+                counts = np.bincount((mixed % BUCKETS).astype(np.int64), minlength=BUCKETS)
+                # A count that doesn't fit a byte gives no bound.
+                self.full[k], self.grams[k] = counts.max() > 255, np.minimum(counts, 255)
+
+    def candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of all rows left with all rows right, those whose bounds reach the threshold."""
+        total = self.n[left][:, None] + self.n[right]
+        need = self.threshold * total / 200.0
+        ok = (np.minimum(self.n[left][:, None], self.n[right]) >= need) & (self.n[left][:, None] > 0)
+        common = np.zeros(ok.shape, np.int32)
+        for c in range(self.bag.shape[1]):
+            common += np.minimum(self.bag[left, c][:, None], self.bag[right, c])
+        x, y = np.nonzero(ok & (common >= need))
+        return left[x], right[y]
+
+    def by_grams(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs share grams enough."""
+        total = self.n[i] + self.n[j]
+        unmatched = total - 2 * np.ceil(self.threshold * total / 200.0 - 1e-9)
+        need = total / 2 - (GRAM - 1) - (2 * GRAM - 1) / 2 * unmatched
+        shared = np.concatenate([np.minimum(self.grams[i[k : k + PAIRS]], self.grams[j[k : k + PAIRS]]).sum(1, dtype=np.int64) for k in range(0, len(i), PAIRS)] or [np.zeros(0, np.int64)])
+        return (shared >= need) | (self.full[i] & self.full[j])
+
+    def pairs(self, own: int, ahead: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, ratio) of the first so many rows with those up to ahead places after each."""
+        for a in range(0, own, 256):
+            left = np.arange(a, min(own, a + 256))
+            right = np.arange(a, np.searchsorted(self.at, self.at[left[-1]] + ahead, side="right"))
+            i, j = self.candidates(left, right)
+            near = (self.at[j] > self.at[i]) & (self.at[j] <= self.at[i] + ahead)
+            i, j = i[near], j[near]
+            near = self.by_grams(i, j)
+            i, j = i[near], j[near]
+            ratio = np.array([indel_ratio(self.texts[x], self.texts[y]) for x, y in zip(i.tolist(), j.tolist())], np.float64)
+            yield self.at[i[ratio >= self.threshold]], self.at[j[ratio >= self.threshold]], ratio[ratio >= self.threshold]
 
 
 def similar_pairs(df: DataFrame, text: str, order: str, threshold: float = 90.0, ahead: int = 999) -> DataFrame:
     """(i, j, ratio) of rows i < j within so many places of each other whose ratio reaches the threshold.
 
-    order numbers the rows without gaps. The band is met by blocks: a row joins its own block of places and the next.
-    Length and the bags of characters give bounds that can only exceed the ratio; LCS is computed for what they let
-    through.
+    order numbers the rows without gaps (a number that is there twice, or null, is an error of the caller's). A task
+    takes BLOCKS blocks of ahead + 1 places and the block that follows, so a text moves once and an eighth, and groups are
+    bounded by places whatever the texts are. Length, bags of characters and counts of grams bound the ratio in turn; LCS
+    is computed for what they let through. Null and empty texts have no pairs.
     """
-    letters = "abcdefghijklmnopqrstuvwxyz "
-    t = F.coalesce(F.col(text), F.lit(""))
-    bag = F.array(*[F.length(t) - F.length(F.replace(t, F.lit(c), F.lit(""))) for c in letters])
-    rows = df.select(F.col(order).alias("i"), t.alias("t"), F.length(t).alias("n"), bag.alias("bag")).where("n > 0")
-    width = ahead + 1
-    left = rows.select("*", F.explode(F.array(F.expr(f"i div {width}"), F.expr(f"i div {width} + 1"))).alias("block"))
-    right = rows.select(*[F.col(c).alias(c + "2") for c in rows.columns]).withColumn("block", F.expr(f"i2 div {width}"))
-    both = left.join(right, "block").where(f"i2 > i AND i2 <= i + {ahead}")
-    both = both.where(F.least("n", "n2") * 200.0 >= threshold * (F.col("n") + F.col("n2")))
-    # What the two bags have in common bounds LCS: of the letters, the smaller count; of all else, the smaller rest.
-    common = F.aggregate(F.zip_with("bag", "bag2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    total = lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x)
-    rest = F.least(F.col("n") - total("bag"), F.col("n2") - total("bag2"))
-    both = both.where((common + rest) * 200.0 >= threshold * (F.col("n") + F.col("n2")))
     ship(df.sparkSession)
-    ratio = F.pandas_udf(_ratios, "double")
-    return both.select("i", F.col("i2").alias("j"), ratio("t", "t2").alias("ratio")).where(F.col("ratio") >= threshold)
+    width = (ahead + 1) * BLOCKS
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = df.select(F.col(order).cast("long").alias("i"), t.alias("t")).where("t <> ''")
+    # The first ahead places of a task are also what the task before looks ahead to.
+    group = F.expr(f"i div {width}")
+    dealt = rows.select("i", "t", F.explode(F.when((F.col("i") % width < ahead) & (F.col("i") >= width), F.array(group, group - 1)).otherwise(F.array(group))).alias("band"))
+
+    def of(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("i")
+        band = _Band(table["i"].to_numpy(), table["t"].to_pylist(), threshold)
+        own = int(np.searchsorted(band.at, (key[0].as_py() + 1) * width))
+        found = list(band.pairs(own, ahead))
+        join = lambda k, kind: np.concatenate([np.zeros(0, kind), *[f[k] for f in found]])
+        return pa.table({"i": join(0, np.int64), "j": join(1, np.int64), "ratio": join(2, np.float64)})
+
+    return dealt.groupBy("band").applyInArrow(of, "i long, j long, ratio double")
+
+
+def _ranged(pairs: DataFrame, checkpoint) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Pairs in ranges of i, each sorted, with the range's number; of each range the largest j."""
+    pairs = checkpoint(pairs.select("i", "j"))
+    ranges = max(1, min(20_000, pairs.count() // RANGE))
+    ranged = checkpoint(pairs.repartitionByRange(ranges, "i").sortWithinPartitions("i", "j").withColumn("range", F.spark_partition_id()))
+    return ranged, [(r[0], r[1]) for r in ranged.groupBy("range").agg(F.max("j")).orderBy("range").collect()]
+
+
+def stretches(pairs: DataFrame, checkpoint) -> DataFrame:
+    """i, j and stretch: the smallest i of the stretch of places that the pair lies in. No pair reaches over the end of a stretch.
+
+    A stretch begins at an i beyond all j before it. Ranges of i are looked at by themselves; only the largest j and the
+    last beginning of each range meet.
+    """
+    ship(pairs.sparkSession)
+    ranged, most = _ranged(pairs, checkpoint)
+    reach, before = -1, {}
+    for r, j in most:
+        before[r], reach = reach, max(reach, j)
+
+    def begin(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("i", "ascending"), ("j", "ascending")])
+        i, j = table["i"].to_numpy(), table["j"].to_numpy()
+        so_far = np.maximum.accumulate(np.concatenate([[before[key[0].as_py()]], j[:-1]]))
+        starts = np.where(i > so_far, i, -1)
+        return table.append_column("stretch", pa.array(np.maximum.accumulate(starts)))
+
+    own = checkpoint(ranged.groupBy("range").applyInArrow(begin, "i long, j long, range int, stretch long"))
+    last, open_ = -1, []
+    for r, s in ((r[0], r[1]) for r in own.groupBy("range").agg(F.max("stretch")).orderBy("range").collect()):
+        open_.append((r, last))
+        last = max(last, s)
+    bases = pairs.sparkSession.createDataFrame(open_, "range int, base long")
+    return own.join(F.broadcast(bases), "range").select("i", "j", F.greatest("stretch", "base").alias("stretch"))
 
 
 def greedy_kept(rows: DataFrame, pairs: DataFrame, order: str, checkpoint) -> DataFrame:
     """Rows that stay when, in order, each kept row drops the later rows it is paired with; a dropped row drops nothing.
 
-    Round by round: a row without an undecided earlier partner is kept, and drops its later partners. checkpoint
-    writes a frame and reads it back.
+    Pairs are split into stretches that no pair reaches out of; each is walked once in order, remembering only what is
+    dropped ahead. So the jobs are the same in number whatever chains there are, and memory is that of the places
+    that pairs reach over. The walk of one stretch is sequential, as its meaning is. checkpoint writes a frame and reads it back.
     """
-    open_, dropped = checkpoint(pairs.select("i", "j")), None
-    while open_.limit(1).count():
-        # Kept for sure: never the later one of an open pair.
-        heads = open_.select("i").distinct().join(open_.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
-        gone = checkpoint(open_.join(heads, "i", "left_semi").select("j").distinct())
-        dropped = gone if dropped is None else dropped.union(gone)
-        open_ = open_.join(gone.select(F.col("j").alias("i")), "i", "left_anti").join(gone, "j", "left_anti").select("i", "j")
-        open_ = checkpoint(open_.join(heads, "i", "left_anti"))
-    return rows if dropped is None else rows.join(dropped.select(F.col("j").alias(order)), order, "left_anti")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, dropped = None, set()
+        for batch in batches:
+            out, i = [], -1
+            for s, i, j in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if s != stretch:
+                    stretch, dropped = s, set()
+                if i not in dropped and j not in dropped:
+                    dropped.add(j)
+                    out.append(j)
+            dropped = {j for j in dropped if j >= i}
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["j"])
+
+    found = stretches(pairs, checkpoint).select("stretch", "i", "j").repartition("stretch").sortWithinPartitions("stretch", "i", "j")
+    dropped = checkpoint(found.mapInArrow(walk, "j long"))
+    return rows.join(dropped.select(F.col("j").alias(order)), order, "left_anti")

@@ -403,6 +403,14 @@ def fuzzy_dedup(spark, sf):
     return dedup.greedy_kept(rows, keep(dedup.similar_pairs(rows, "text", "i")), "i", keep).select("i")
 
 
+@query()
+def fuzzy_documents(spark, sf):
+    keep, docs = shared(spark), table(spark, sf, "documents").select("doc_id", extract.centred_snippet(F.col("text")).alias("snippet"))
+    rows = keep(dedup.numbered(spread(docs), "doc_id", "place", keep))
+    kept = dedup.greedy_kept(rows, dedup.similar_pairs(rows, "snippet", "place"), "place", keep).select("place", F.lit(True).alias("kept"))
+    return rows.join(kept, "place", "left").select("doc_id", "place", "snippet", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
 @query("SELECT doc_id, 'u#c' || substr(md5(substr(coalesce(text, ''), 1, 50)), 1, 8) AS content_key FROM documents")
 def content_key(spark, sf):
     return table(spark, sf, "documents").select("doc_id", incremental.content_key(F.lit("u"), F.col("text")).alias("content_key"))

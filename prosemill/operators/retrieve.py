@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -88,18 +89,25 @@ def top_k(rows: DataFrame, query: list[float], k: int = 10, threshold: float = 0
     return scored.where(F.col("similarity") >= threshold).orderBy(F.desc("similarity"), row_id).limit(k)
 
 
-def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: float = 0.72, row_id: str = "vec_id", max_queries: int = 10_000) -> DataFrame:
-    """The k most similar rows for each of a stated set of queries (query_id, query_embedding), whose number is checked.
+def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: float = 0.72, row_id: str = "vec_id", block: int = 10_000) -> DataFrame:
+    """The k most similar rows for each of a stated set of queries (query_id, query_embedding), against all rows.
 
-    Queries go with every task; each task scores its rows in blocks and keeps its own k best, so what is shuffled is k
-    rows for each query and task, and the final ranking is over those.
+    Queries are taken in blocks by a hash, of about so many; a block goes with every task. Each task scores its rows and keeps
+    its own k best, so what is shuffled is k rows for each query and task, and the final ranking is over those. For many
+    queries over many rows there is the index of operators/vectors.
     """
     ship(rows.sparkSession)
-    found = queries.limit(max_queries + 1).collect()
-    if len(found) > max_queries:
-        raise ValueError(f"more than {max_queries} queries: split them")
-    ids = np.array([q["query_id"] for q in found])
-    matrix = np.array([q["query_embedding"] for q in found], np.float64).reshape(len(found), -1)
+    blocks = max(1, -(-queries.count() // block))
+    parts = [_block_best(rows, queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b), k, threshold, row_id) for b in range(blocks)]
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), row_id))
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _block_best(rows: DataFrame, queries: DataFrame, k: int, threshold: float, row_id: str) -> DataFrame:
+    """Each task's k best rows for one block of queries."""
+    found = queries.collect()
+    ids = np.array([q["query_id"] for q in found], np.int64)
+    matrix = np.array([q["query_embedding"] for q in found], np.float64).reshape(len(found), -1 if found else 0)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = pd.DataFrame({"query_id": ids[:0], row_id: ids[:0], "similarity": np.zeros(0)})
@@ -113,10 +121,7 @@ def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: floa
             held = pd.concat([held, own]).sort_values(["query_id", "similarity", row_id], ascending=[True, False, True]).groupby("query_id").head(k)
         yield held
 
-    schema = f"query_id long, {row_id} long, similarity double"
-    part = rows.select(row_id, "embedding").mapInPandas(best, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), row_id))
-    return part.withColumn("rank", rank).where(F.col("rank") <= k)
+    return rows.select(row_id, "embedding").mapInPandas(best, f"query_id long, {row_id} long, similarity double")
 
 
 def eval_report(results: DataFrame, expectations: DataFrame) -> DataFrame:

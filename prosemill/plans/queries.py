@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
 from prosemill.functions.patterns import alternation, has, whole
-from prosemill.operators import dedup, extract, html, incremental, pii, report, retrieve, signals
+from prosemill.operators import dedup, extract, html, incremental, pii, report, retrieve, signals, vectors
 from prosemill.operators import text as T
 from prosemill.plans import pipeline
 from prosemill.plans.sqltext import (
@@ -658,6 +658,25 @@ def eval_report(spark, sf):
     return retrieve.eval_report(_each(spark, sf).join(rows.select("vec_id", "label"), "vec_id").select("query_id", "label"), expected)
 
 
+def _asked(rows):
+    return rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+
+
+@query()
+def vector_index_search(spark, sf):
+    rows, path = table(spark, sf, "embeddings"), shared_folder(spark)
+    vectors.write_index(rows, path)
+    return vectors.search(spark, path, _asked(rows), 10, 0.0)
+
+
+@query("SELECT count(*) // 10 AS n_queries, count(*) AS n_wanted, true AS enough FROM (SELECT row_number() OVER (PARTITION BY q.vec_id ORDER BY e.vec_id) AS r FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0) WHERE r <= 10")
+def vector_index_recall(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    wanted = retrieve.top_k_each(rows, _asked(rows), 10, -1.0)
+    found = vectors.recall(vector_index_search(spark, sf), wanted)
+    return found.select("n_queries", "n_wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query(
     f"""SELECT e.vec_id, round({_DOT}, 4) AS similarity_score FROM embeddings e, embeddings q WHERE q.vec_id = 0 AND {_DOT} >= 0.05 AND regexp_matches('Trial, Evaluation ' || e.label, '(?i)EVAL.* [1-6]')
     AND regexp_matches('Tech ' || (e.vec_id % 3), '(?i)tech [01]') AND e.vec_id % 10 / 10.0 >= 0.3 ORDER BY {_DOT} DESC, e.vec_id LIMIT 10"""

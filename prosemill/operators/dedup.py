@@ -62,7 +62,7 @@ def indel_ratio(a: str, b: str) -> float:
 
 
 #: Blocks of places in a task, letters of a bag, characters of a gram, buckets of hashed grams, pairs handled at a time.
-BLOCKS, LETTERS, GRAM, BUCKETS, PAIRS = 8, b"abcdefghijklmnopqrstuvwxyz ", 3, 1024, 1 << 15
+BLOCKS, LETTERS, GRAM, BUCKETS, PAIRS = 8, b"abcdefghijklmnopqrstuvwxyz ", 3, 512, 1 << 12
 
 #: Pairs of a range when stretches are told.
 RANGE = 1_000_000
@@ -110,7 +110,7 @@ class _Band:
         total = self.n[i] + self.n[j]
         unmatched = total - 2 * np.ceil(self.threshold * total / 200.0 - 1e-9)
         need = total / 2 - (GRAM - 1) - (2 * GRAM - 1) / 2 * unmatched
-        shared = np.concatenate([np.minimum(self.grams[i[k : k + PAIRS]], self.grams[j[k : k + PAIRS]]).sum(1, dtype=np.int64) for k in range(0, len(i), PAIRS)] or [np.zeros(0, np.int64)])
+        shared = np.concatenate([np.minimum(self.grams[i[k : k + PAIRS]], self.grams[j[k : k + PAIRS]]).sum(1, dtype=np.uint32) for k in range(0, len(i), PAIRS)] or [np.zeros(0, np.uint32)])
         return (shared >= need) | (self.full[i] & self.full[j])
 
     def pairs(self, own: int, ahead: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -123,7 +123,7 @@ class _Band:
             i, j = i[near], j[near]
             near = self.by_grams(i, j)
             i, j = i[near], j[near]
-            ratio = np.array([indel_ratio(self.texts[x], self.texts[y]) for x, y in zip(i.tolist(), j.tolist())], np.float64)
+            ratio = np.array([100.0 if self.texts[x] == self.texts[y] else indel_ratio(self.texts[x], self.texts[y]) for x, y in zip(i.tolist(), j.tolist())], np.float64)
             yield self.at[i[ratio >= self.threshold]], self.at[j[ratio >= self.threshold]], ratio[ratio >= self.threshold]
 
 

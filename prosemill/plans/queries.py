@@ -406,7 +406,7 @@ def fuzzy_dedup(spark, sf):
 @query()
 def fuzzy_documents(spark, sf):
     keep, docs = shared(spark), table(spark, sf, "documents").select("doc_id", extract.centred_snippet(F.col("text")).alias("snippet"))
-    rows = keep(dedup.numbered(spread(docs), "doc_id", "place", keep))
+    rows = keep(dedup.numbered(keep(spread(docs)), "doc_id", "place", keep))
     kept = dedup.greedy_kept(rows, dedup.similar_pairs(rows, "snippet", "place"), "place", keep).select("place", F.lit(True).alias("kept"))
     return rows.join(kept, "place", "left").select("doc_id", "place", "snippet", F.coalesce("kept", F.lit(False)).alias("kept"))
 

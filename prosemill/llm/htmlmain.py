@@ -31,11 +31,10 @@ from pyspark.sql import functions as F
 
 from prosemill.llm.common import attach, tune, written
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
+_MARK = re.compile(r"[>\"']")
+#: Elements whose content is no text of the page, each with what ends it.
+_RAW = {n: re.compile(rf"</{n}\s*>", re.I | re.A) for n in "script style noscript template textarea iframe svg title select".split()}
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 # Elements by their role in HTML.
@@ -64,14 +63,79 @@ def _told_by_words(element: str) -> bool:
     return any(n in BOILERPLATE_WORDS for n in element.split(".")[1:])
 
 
-def text_token(path: tuple[str, ...], text: str) -> str:
-    """The token of a block of text: no path begins with its mark."""
-    return "#" + xxhash.xxh3_64_hexdigest("\n".join([*path, "", text]).encode())
+class Place:
+    """A container in its place: its element and the place around it. The token is a hash of the whole path, made from the
+    one around, so that a place costs the same at any depth."""
+
+    __slots__ = ("around", "element", "token", "depth", "in_content")
+
+    def __init__(self, around: Place | None = None, element: str = ""):
+        self.around, self.element = around, element
+        self.token = xxhash.xxh3_64_hexdigest(f"{around.token}/{element}".encode()) if around else ""
+        self.depth = around.depth + 1 if around else 0
+        self.in_content = bool(around) and (around.in_content or element.split(".", 1)[0] in CONTENT)
+
+
+def text_token(place: Place, text: str) -> str:
+    """The token of a block of text: no place's token begins with its mark."""
+    return "#" + xxhash.xxh3_64_hexdigest(f"{place.token}\n{text}".encode())
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of all markup in order; what isn't a tag (comments, scripts) has no name.
+
+    A tag ends at the first > outside quotes; a < from which none is found is text. Time is linear for any page: no part
+    is searched again for what it was found not to hold.
+    """
+    size, last, at = len(page), page.rfind(">"), 0
+    dead: set[int] = set()  # quotes from which on no tag ends
+    low = high = -1  # the next mark from low on is at high
+
+    def mark(start: int) -> int:
+        found = _MARK.search(page, start)
+        return found.start() if found else size
+
+    def end_of(start: int) -> int:
+        nonlocal low, high
+        if start > last:
+            return -1
+        if not low <= start <= high:
+            low, high = start, mark(start)
+        at, passed = high, []
+        while at < size and at not in dead:
+            if page[at] == ">":
+                return at + 1
+            passed.append(at)
+            closing = page.find(page[at], at + 1)
+            at = size if closing < 0 else mark(closing + 1)
+        dead.update(passed)
+        return -1
+
+    while (at := page.find("<", at)) >= 0:
+        end, slash, tag, attributes = -1, "", "", ""
+        if page.startswith("<!--", at):
+            closing = page.find("-->", at + 4)
+            end = size if closing < 0 else closing + 3
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1 if at < last else -1
+        elif name := _NAME.match(page, at):
+            end = end_of(name.end())
+            if end >= 0:
+                slash, tag, attributes = name[1], name[2].lower(), page[name.end() : end - 1]
+                if tag in _RAW and not slash and not re.match(r"\w", attributes):
+                    closing = _RAW[tag].search(page, end)
+                    end, tag = closing.end() if closing else size, ""
+        if end < 0:
+            at += 1
+            continue
+        yield at, end, slash, tag, attributes
+        at = end
 
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
-    """(path, text, characters in links) of each block in page order; also (path, '', 0) where a container opens."""
-    path: list[str] = []
+def blocks(page: str) -> Iterator[tuple[Place, str, int]]:
+    """(place, text, characters in links) of each block in page order; also (place, '', 0) where a container opens."""
+    place = Place()
+    opened: dict[str, int] = {}
     parts: list[str] = []
     linked, in_link, at = 0, 0, 0
 
@@ -80,67 +144,75 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         out, linked = linked, 0
-        return (tuple(path), text, out) if text else None
-
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            linked += in_link * (m.start() - at)
-        at = m.end()
-        tag = (m[3] or "").lower()
+        return (place, text, out) if text else None
+
+    for start, end, slash, tag, attributes in tags(page):
+        if start > at:
+            parts.append(page[at:start])
+            linked += in_link * (start - at)
+        at = end
         if not tag:
             continue
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
-            in_link = not m[2]
+            in_link = not slash
         if tag in INLINE or tag in VOID and tag != "hr":
             continue
         if found := flush():
             yield found
         if tag in CLOSES or tag == "hr":
             continue
-        if m[2]:
-            if any(e.split(".", 1)[0] == tag for e in path):
-                while path.pop().split(".", 1)[0] != tag:
-                    pass
-        else:
-            path.append(_token(tag, m[4]))
-            yield tuple(path), "", 0
+        if not slash:
+            opened[tag] = opened.get(tag, 0) + 1
+            place = Place(place, _token(tag, attributes))
+            yield place, "", 0
+        elif opened.get(tag):
+            closed = ""
+            while closed != tag:
+                closed = place.element.split(".", 1)[0]
+                opened[closed] -= 1
+                place = place.around
     parts.append(page[at:])
     if found := flush():
         yield found
 
 
+_KEYS = ("host", "token", "around", "element", "depth")
+_SUMS = ("n", "pages", "once", "h1", "h2", "place", "text", "linked")
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial sums for each host and token: occurrences, pages, two hashes of the vector, place, text, linked text."""
-    names = ["host", "token", "n", "pages", "once", "h1", "h2", "place", "text", "linked"]
+    """Partial sums for each host and token: occurrences, pages, two hashes of the vector, place, text, linked text.
+
+    A token comes with the one around it, its element and depth (a text: with none), which its hash stands for.
+    """
     for batch in batches:
-        sums: dict[tuple[str, str], list[int]] = {}
+        sums: dict[tuple, list[int]] = {}
         for host, page_id, page in zip(*(c.to_pylist() for c in batch.columns)):
-            own: dict[str, list[int]] = {"": [1, 0, 0, 0]}
+            own: dict[tuple[str, str, str, int], list[int]] = {("", "", "", 0): [1, 0, 0, 0]}
             found = list(blocks(page or ""))
-            for k, (path, text, linked) in enumerate(found):
+            for k, (p, text, linked) in enumerate(found):
                 # Places in thousandths of the page, so that pages of any length are alike.
-                x = own.setdefault("/".join(path), [0, 1000 * k // len(found), 0, 0])
+                x = own.setdefault((p.token, p.around.token if p.around else "", p.element, p.depth), [0, 1000 * k // len(found), 0, 0])
                 if text:
                     x[2] += len(text)
                     x[3] += linked
-                    x = own.setdefault(text_token(path, text), [0, 1000 * k // len(found), 0, 0])
+                    x = own.setdefault((text_token(p, text), "", "", 0), [0, 1000 * k // len(found), 0, 0])
                     x[0] += 1
                     x[2] += len(text)
                 else:
                     x[0] += 1
-            own[""][0] = int(len(own) > 1)
+            own["", "", "", 0][0] = int(len(own) > 1)
             h = xxhash.xxh64_intdigest(str(page_id))
             h1, h2 = h & 0x7FFFFFFF, h >> 33
             for token, (n, place, text, linked) in own.items():
-                x = sums.setdefault((host, token), [0] * 8)
+                x = sums.setdefault((host, *token), [0] * 8)
                 for i, v in enumerate((n, 1, int(n == 1), n * h1, n * h2, place, text, linked)):
                     x[i] += v
         rows = [(*k, *v) for k, v in sums.items()]
-        types = [pa.string()] * 2 + [pa.int64()] * 8
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+        types = [pa.string()] * 4 + [pa.int64()] * 9
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[*_KEYS, *_SUMS])
 
 
 #: Pages that a text must be on to belong to a template: on fewer, copies of an article would look like one.
@@ -153,16 +225,16 @@ def templates(pages: DataFrame) -> DataFrame:
     Tokens below half of a host's pages are left out before anything is gathered, so a template has at most twice as
     many tokens as a page of the host has on average.
     """
-    schema = "host string, token string, n long, pages long, once long, h1 long, h2 long, place long, text long, linked long"
-    cols = ("n", "pages", "once", "h1", "h2", "place", "text", "linked")
-    sums = pages.select("host", "page_id", "html").mapInArrow(_counts, schema).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in cols])
+    schema = "host string, token string, around string, element string, depth long, " + ", ".join(f"{c} long" for c in _SUMS)
+    sums = pages.select("host", "page_id", "html").mapInArrow(_counts, schema).groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
     is_text = F.col("token").startswith("#")
     sums = written(sums.where(~is_text | (F.col("pages") >= TEXT_PAGES)), "html-tokens")
     total = sums.where("token = ''").select("host", F.col("pages").alias("size"), F.col("n").alias("of"))
     valid = sums.where("token <> '' AND n > 0").join(total, "host").where("2 * pages >= of")
     # The frame: exactly once in each page that has anything, but for one odd page or a tenth of them.
     frame = (~is_text & F.expr("of - once <= greatest(1, of div 10)") & (2 * F.col("once") >= F.col("of"))).alias("frame")
-    entry = F.struct((F.col("place") / F.col("pages")).alias("at"), "token", frame, F.xxhash64("h1", "h2", "pages").alias("class"), "pages", "of", "text", "linked")
+    at = (F.col("place") / F.col("pages")).alias("at")
+    entry = F.struct(at, "depth", "token", "around", "element", frame, F.xxhash64("h1", "h2", "pages").alias("class"), "pages", "of", "text", "linked")
     classes = valid.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("template"))
     return total.join(classes, "host", "left").select("host", F.col("size").alias("pages"), "template")
 
@@ -222,10 +294,10 @@ class Template:
     """The slots of a host that hold main text."""
 
     def __init__(self, template: str | None):
-        self.main: dict[str, bool] = {}
         tokens = json.loads(template) if template else []
         of = tokens[0]["of"] if tokens else 0
         whole = nested(tokens)
+        # A place has the place around it in the template too, as that is on all its pages.
         tokens = [t for t in tokens if not t["token"].startswith("#")]
         self.all = sum(t["text"] for t in tokens)
         # The template's texts; a class with half of a page's text or more is an article that many pages have. In an
@@ -236,58 +308,60 @@ class Template:
                 self.fixed.update(c.tokens)
                 if of >= 10 and 10 * c.pages >= 9 * of:
                     self.fixed_inside.update(c.tokens)
-        framed = [t["token"].split("/") for t in tokens if t["frame"]]
-        tops = ["/".join(p) for p in framed if p[-1].split(".")[0] in CONTENT or "main" in p[-1].split(".")[1:]]
+        told: dict[str, bool] = {}
+        for t in sorted(tokens, key=lambda t: t["depth"]):
+            told[t["token"]] = told.get(t["around"], False) or _told_by_tag(t["element"]) or _told_by_words(t["element"])
+        tag = {t["token"]: t["element"].split(".")[0] for t in tokens}
+        tops = [t["token"] for t in tokens if t["frame"] and (tag[t["token"]] in CONTENT or "main" in t["element"].split(".")[1:])]
         # Of nested content elements the innermost that frames the page: an article inside main.
-        inner = [t for t in tops if t.rsplit("/", 1)[-1].startswith("article")] or tops
-        self.content = [t for t in inner if not any(_told_by_tag(e) or _told_by_words(e) for e in t.split("/"))]
+        inner = [t for t in tops if tag[t].startswith("article")] or tops
+        self.content = {t: k for k, t in enumerate(t for t in inner if not told[t])}
         self.links = {t["token"] for t in tokens if 2 * t["linked"] > t["text"] > 0}
         # Text under each place, over all pages of the host.
-        self.mass: dict[str, int] = {}
-        for t in tokens:
-            path = t["token"].split("/")
-            for k in range(1, len(path) + 1 if t["text"] else 0):
-                top = "/".join(path[:k])
-                self.mass[top] = self.mass.get(top, 0) + t["text"]
-
-    def _boilerplate(self, path: tuple[str, ...], start: int, in_content: bool) -> bool:
-        """Told by one of the elements from start on; a header in an article holds its title."""
-        for k in range(start, len(path)):
-            header = in_content and path[k].split(".", 1)[0] == "header"
-            if _told_by_tag(path[k]) and not header:
-                return True
-            words = [n for n in path[k].split(".")[1:] if n in BOILERPLATE_WORDS and not (in_content and n == "header")]
-            if words and 2 * self.mass.get("/".join(path[: k + 1]), 0) < max(1, self.all):
-                return True
-        return False
-
-    def _content(self, token: str) -> str | None:
-        return next((t for t in self.content if token == t or token.startswith(t + "/")), None)
-
-    def _says(self, path: tuple[str, ...], text: str) -> bool:
-        """The text is the template's."""
-        if not self.fixed:
-            return False
-        fixed = self.fixed_inside if self._content("/".join(path)) else self.fixed
-        return text_token(path, text) in fixed
-
-    def keeps(self, path: tuple[str, ...]) -> bool:
-        token = "/".join(path)
-        if token not in self.main:
-            top = self._content(token)
-            if top is not None:
-                self.main[token] = not self._boilerplate(path, top.count("/") + 1, True)
+        self.mass = {t["token"]: t["text"] for t in tokens}
+        for t in sorted(tokens, key=lambda t: -t["depth"]):
+            if t["depth"] > 1:
+                self.mass[t["around"]] += self.mass[t["token"]]
+
+    def _boilerplate(self, place: Place, in_content: bool) -> bool:
+        """Told by this element alone; a header in an article holds its title."""
+        names = place.element.split(".")
+        if _told_by_tag(place.element) and not (in_content and names[0] == "header"):
+            return True
+        words = [n for n in names[1:] if n in BOILERPLATE_WORDS and not (in_content and n == "header")]
+        return bool(words) and 2 * self.mass.get(place.token, 0) < max(1, self.all)
+
+    def _state(self, place: Place, known: dict[str, tuple[int | None, bool]]) -> tuple[int | None, bool]:
+        """(the first of the content elements that the place is in, whether it is boilerplate), by the places around it."""
+        todo = []
+        while place.token not in known:
+            todo.append(place)
+            place = place.around
+        for p in reversed(todo):
+            top, out = known[p.around.token]
+            own = self.content.get(p.token)
+            if own is not None and (top is None or own < top):
+                known[p.token] = own, False
             else:
-                self.main[token] = not self.content and not self._boilerplate(path, 0, False) and token not in self.links
-        return self.main[token]
+                known[p.token] = top, out or self._boilerplate(p, top is not None)
+            place = p
+        return known[place.token]
+
+    def keeps(self, place: Place, known: dict[str, tuple[int | None, bool]]) -> bool:
+        top, out = self._state(place, known)
+        return not out and (top is not None or not self.content and place.token not in self.links)
 
     def text(self, page: str) -> str:
-        found = [(p, t) for p, t, _ in blocks(page) if t and not self._says(p, t)]
-        out = [t for p, t in found if self.keeps(p)]
+        known: dict[str, tuple[int | None, bool]] = {"": (None, False)}
+        found = [(p, t) for p, t, _ in blocks(page) if t]
+        if self.fixed:
+            said = lambda p: self.fixed if self._state(p, known)[0] is None else self.fixed_inside
+            found = [(p, t) for p, t in found if text_token(p, t) not in said(p)]
+        out = [t for p, t in found if self.keeps(p, known)]
         if not out and self.content:  # this page lacks the host's frame
-            own = Template(None)
-            articles = [(p, t) for p, t in found if any(e.split(".")[0] in CONTENT for e in p)]
-            out = [t for p, t in articles or found if own.keeps(p)]
+            own, known = Template(None), {"": (None, False)}
+            articles = [(p, t) for p, t in found if p.in_content]
+            out = [t for p, t in articles or found if own.keeps(p, known)]
         return "\n\n".join(out)
 
 
@@ -296,8 +370,9 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     A null or empty html gives an empty text, as does a page of boilerplate alone. Pages without a host share the host
     ''. Repeated rows are pages of their own. A host with fewer than four pages has no text in its template. Tokens at
-    the same place (ties) stand in the order of their names. Texts of any length are whole tokens. An empty table gives
-    no rows; other columns are ignored.
+    the same place (ties) stand in the order of their depth. Texts of any length are whole tokens. Pages of any depth and
+    with any unclosed tags, quotes or comments take time and memory in proportion to their length. An empty table gives no
+    rows; other columns are ignored.
     """
     tune(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))

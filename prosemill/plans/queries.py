@@ -21,7 +21,7 @@ from prosemill.plans.sqltext import (
     FIXTURES, GATE_SQL, TEXTS, all_matches, any_like, clean_lines_sql, clean_nav_sql, first_at, labels_sql, match, points_sql, score_sql, sentences_sql, strip_sql, truncated_sql, values, words_sql,
 )
 from prosemill.session import shared_dir, spread
-from prosemill.sources import landed, records, sinks, warc
+from prosemill.sources import landed, records, sinks, warc, warcfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -448,6 +448,32 @@ def wet_parse(spark, sf):
     return warc.wet_records(table(spark, sf, "documents").select(text.alias("value")), only="conversion").select("url", "crawl_date", F.length("text").alias("n_chars"))
 
 
+def _warc(spark, sf):
+    """A folder of WARC files of all pages: each one's request and response."""
+    path = f"{shared_dir(spark)}/prosemill/warc-{uuid.uuid4().hex}"
+    answer = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), F.coalesce("html", F.lit("")))
+    both = F.explode(F.map_from_arrays(F.array(F.lit("request"), F.lit("response")), F.array(F.lit("GET / HTTP/1.1\r\n\r\n"), answer))).alias("warc_type", "payload")
+    warcfiles.write_warc(pages(spark, sf).select("url", F.lit("2024-01-02T03:04:05Z").alias("warc_date"), both), path)
+    return path
+
+
+def _bodies(rows):
+    return rows.select("url", F.md5(html.http_body(F.decode("payload", "UTF-8"))).alias("digest"))
+
+
+@query("SELECT url, md5(coalesce(html, '')) AS digest FROM pages")
+def warc_files(spark, sf):
+    return _bodies(warcfiles.read_warc(spark, _warc(spark, sf), types="response", splitBytes=1 << 20))
+
+
+@query("SELECT url, md5(coalesce(html, '')) AS digest FROM pages WHERE url IN (SELECT url FROM pages WHERE page_id % 3 = 1)")
+def warc_ranges(spark, sf):
+    path = _warc(spark, sf)
+    wanted = pages(spark, sf).where("page_id % 3 = 1").select("url")
+    index = landed.index_lines(spark.read.text(f"{path}/*.index")).join(wanted, "url", "left_semi")
+    return _bodies(warcfiles.ranged_records(index, path))
+
+
 @query("SELECT doc_id, lang, source, n_chars FROM documents")
 def parquet_roundtrip(spark, sf):
     return shared(spark)(table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"))

@@ -22,6 +22,7 @@ from prosemill.plans.sqltext import (
 )
 from prosemill.session import shared_dir, spread
 from prosemill.sources import landed, records, sinks, warc, warcfiles
+from prosemill.streaming import append
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -513,6 +514,17 @@ def engagement_topk(spark, sf):
     return records.engagement_top(rows, 200).select(F.col("item_id").alias("event_id"), "engagement")
 
 
+@query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id % 3, n_chars DESC, doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1")
+def stream_append(spark, sf):
+    """All documents, keyed by their text, come in three deliveries; the first of them comes again at the end."""
+    base = f"{shared_dir(spark)}/prosemill/append-{uuid.uuid4().hex}"
+    docs = table(spark, sf, "documents").select("doc_id", (-F.col("n_chars")).alias("rank"), F.md5("text").alias("digest"))
+    for k in (0, 1, 2, 0):
+        spread(docs.where(F.col("doc_id") % 3 == k)).write.mode("append").parquet(f"{base}/landed")
+        append.append_first(spark, f"{base}/landed", docs.schema, lambda s: s, f"{base}/table", f"{base}/checkpoint", "digest", ("rank", "doc_id")).awaitTermination()
+    return incremental.read_appended(spark, f"{base}/table").select("doc_id")
+
+
 _MANIFEST = "(SELECT page_id AS path, CASE WHEN (page_id + k) % 3 = 0 THEN 'failed' ELSE 'complete' END AS status, k AS t, page_id % 10 AS records_retained, page_id % 100 AS records_scanned FROM pages, (VALUES (0), (1)) AS v(k) WHERE page_id % 4 <> 3) AS m"
 _LATEST = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY t DESC) AS r FROM {_MANIFEST}) WHERE r = 1)"
 

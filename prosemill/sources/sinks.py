@@ -33,10 +33,19 @@ def debug_sample(df: DataFrame, status: str, key: str, text: str, k: int = 50) -
     return stratified_sample(df, status, key, k).withColumn(text, F.substring(F.col(text), 1, 300))
 
 
+def _six_digits(x: Column) -> Column:
+    """Six digits after the point, rounded as C does: ties go to the even digit, where Java's format goes up.
+
+    A float has 24 bits and its product with 10^6 at most 38, so it is rounded without an error. Floats from 2^33 on are whole.
+    """
+    value = x.cast("double")
+    return F.format_string("%.6f", F.when(F.abs(value) < 1 << 33, F.rint(value * 1e6) / 1e6).otherwise(value))
+
+
 def insert_statements(df: DataFrame, table: str, texts: list[str], vector: str, most: int = 240) -> DataFrame:
     """One SQL insert a row: quotes doubled, texts cut, numbers of the vector with six digits."""
     quoted = [F.concat(F.lit("'"), F.replace(truncated(F.coalesce(F.col(c), F.lit("")), most), F.lit("'"), F.lit("''")), F.lit("'")) for c in texts]
-    numbers: Column = F.concat(F.lit("'["), F.array_join(F.transform(vector, lambda x: F.format_string("%.6f", x.cast("double"))), ","), F.lit("]'"))
+    numbers: Column = F.concat(F.lit("'["), F.array_join(F.transform(vector, _six_digits), ","), F.lit("]'"))
     head = f"INSERT INTO {table} ({', '.join([*texts, vector])}) VALUES ("
     return df.select(F.concat(F.lit(head), F.concat_ws(", ", *quoted, numbers), F.lit(");")).alias("value"))
 

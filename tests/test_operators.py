@@ -10,9 +10,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
-from prosemill.functions.patterns import has, whole
+from prosemill.functions.patterns import has, hits, java_ascii, whole
 from prosemill.operators import dedup, extract, html, incremental, pii, report, retrieve, signals
 from prosemill.operators import text as T
+from prosemill.plans.sqltext import all_matches
 from prosemill.sources import records, sinks, warc
 from prosemill.streaming.ingest import ingest_new
 
@@ -231,3 +232,20 @@ def test_top_k_each(spark):
     queries = rows.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in retrieve.top_k_each(rows, queries, 4, -1.0).collect())
     assert got == [(q, r + 1, int(i)) for q in range(3) for r, i in enumerate(np.argsort(-(m @ m[q]))[:4])]
+
+
+def test_insert_statements_round_ties_to_even(spark):
+    values = [0.0078125, 0.0234375, -0.0078125, 0.5, -1e-9, 3.0]
+    df = spark.createDataFrame([("x", values)], "name string, v array<float>")
+    assert sinks.insert_statements(df, "t", ["name"], "v").first()[0].split("'[")[1].split("]'")[0] == ",".join("%.6f" % v for v in values)
+
+
+def test_pii_boundaries_of_ascii_as_in_the_sql(spark, duck):
+    texts = ["555-3280 zuch stöbe", "12 Main Street", "äbob@x.io ü", "7 Main ſt", "PO Box 12é", "١٢٣-45-6789", "12 Main St", "é12 Park Rd", "4111 1111 1111 1111ä", "Rome, IT 12345ß", "PO BoK 1", None]
+    patterns = {"street": (X.STREET, True), "box": (X.PO_BOX, True), "zip": (X.CITY_ZIP, False), "email": (X.EMAIL, False), "ssn": (X.SSN, False), "card": (X.CARD, False), "phone": (X.PHONES[0], False)}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select(*[hits(F.col("t"), p, c, java_ascii).alias(k) for k, (p, c) in patterns.items()]).collect()
+    want = [duck.execute("SELECT " + ", ".join(f"len({all_matches('t', p, c)})" for p, c in patterns.values()) + " FROM (SELECT CAST(? AS VARCHAR) AS t)", [t or ""]).fetchone() for t in texts]
+    assert [tuple(r) for r in got] == want
+    assert pii.with_pii(df, ["t"], unicode=False).where("i = 0").first()["pii_types"] == ["address"]
+    assert pii.with_pii(df, ["t"]).where("i = 0").first()["pii_types"] == []

@@ -7,6 +7,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from prosemill.functions.patterns import has
 from prosemill.session import ship
 
 
+#: Scores that a task holds at a time, queries whose rows it gives at a time.
+TILE, ROWS_OUT = 1 << 20, 4096
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -92,8 +98,9 @@ def top_k(rows: DataFrame, query: list[float], k: int = 10, threshold: float = 0
 def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: float = 0.72, row_id: str = "vec_id", block: int = 10_000) -> DataFrame:
     """The k most similar rows for each of a stated set of queries (query_id, query_embedding), against all rows.
 
-    Queries are taken in blocks by a hash, of about so many; a block goes with every task. Each task scores its rows and keeps
-    its own k best, so what is shuffled is k rows for each query and task, and the final ranking is over those. For many
+    Queries are taken in blocks by a hash, of about so many; a block goes with every task. Each task scores its rows in
+    tiles of a fixed size and keeps its own k best, so its memory is that of the block, whatever the threshold lets through;
+    what is shuffled is k rows for each query and task, and the final ranking is over those. For many
     queries over many rows there is the index of operators/vectors.
     """
     ship(rows.sparkSession)
@@ -103,25 +110,44 @@ def top_k_each(rows: DataFrame, queries: DataFrame, k: int = 10, threshold: floa
     return reduce(DataFrame.unionByName, parts).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def k_best(batches: Iterator[pa.RecordBatch], matrix: np.ndarray, k: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places of queries, row ids, scores) of the k best of all rows (id, embedding) for each query, a row of matrix."""
+    n = len(matrix)
+    # The k best so far of each query; a place without a row has the lowest score and the largest id.
+    top_s, top_v = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+    for batch in batches:
+        batch = batch.filter(pc.is_valid(batch.column(1)))
+        if not len(batch) or not n:
+            continue
+        ids, x = batch.column(0).to_numpy(zero_copy_only=False), np.asarray(batch.column(1).flatten(), np.float64).reshape(len(batch), -1)
+        step = max(1, TILE // len(x))
+        for a in range(0, n, step):
+            s = matrix[a : a + step] @ x.T
+            floor = np.maximum(top_s[a : a + step, -1], threshold)[:, None]
+            # Only queries that a row reaches the floor of are ranked anew.
+            for q in np.flatnonzero((s >= floor).any(1)):
+                near = np.flatnonzero(s[q] >= floor[q])
+                if len(near) > k:  # the k-th best score and all that tie with it
+                    near = near[s[q, near] >= np.partition(s[q, near], -k)[-k]]
+                score, row = np.concatenate([top_s[a + q], s[q, near]]), np.concatenate([top_v[a + q], ids[near]])
+                order = np.lexsort((row, -score))[:k]
+                top_s[a + q], top_v[a + q] = score[order], row[order]
+    for a in range(0, n, ROWS_OUT):
+        q, place = np.nonzero(np.isfinite(top_s[a : a + ROWS_OUT]))
+        yield a + q, top_v[a + q, place], top_s[a + q, place]
+
+
 def _block_best(rows: DataFrame, queries: DataFrame, k: int, threshold: float, row_id: str) -> DataFrame:
     """Each task's k best rows for one block of queries."""
     found = queries.collect()
     ids = np.array([q["query_id"] for q in found], np.int64)
     matrix = np.array([q["query_embedding"] for q in found], np.float64).reshape(len(found), -1 if found else 0)
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame({"query_id": ids[:0], row_id: ids[:0], "similarity": np.zeros(0)})
-        for b in batches:
-            b = b[b["embedding"].notna()]
-            if not len(b) or not len(ids):
-                continue
-            s = np.stack(b["embedding"].to_list()).astype(np.float64) @ matrix.T
-            r, q = np.nonzero(s >= threshold)
-            own = pd.DataFrame({"query_id": ids[q], row_id: b[row_id].to_numpy()[r], "similarity": s[r, q]})
-            held = pd.concat([held, own]).sort_values(["query_id", "similarity", row_id], ascending=[True, False, True]).groupby("query_id").head(k)
-        yield held
-
-    return rows.select(row_id, "embedding").mapInPandas(best, f"query_id long, {row_id} long, similarity double")
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for q, v, score in k_best(batches, matrix, k, threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(v), pa.array(score)], names=["query_id", row_id, "similarity"])
+
+    return rows.select(F.col(row_id).cast("long").alias(row_id), "embedding").mapInArrow(best, f"query_id long, {row_id} long, similarity double")
 
 
 def eval_report(results: DataFrame, expectations: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import gzip
 import json
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -249,3 +251,41 @@ def test_pii_boundaries_of_ascii_as_in_the_sql(spark, duck):
     assert [tuple(r) for r in got] == want
     assert pii.with_pii(df, ["t"], unicode=False).where("i = 0").first()["pii_types"] == ["address"]
     assert pii.with_pii(df, ["t"]).where("i = 0").first()["pii_types"] == []
+
+
+def test_k_best_holds_a_tile_of_scores_and_keeps_ties():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-2, 3, (20_000, 4)).astype(np.float32)  # many ties
+    matrix = x[:1000].astype(np.float64)
+    ids = rng.permutation(len(x))
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[a : a + 10_000]), pa.array(list(x[a : a + 10_000]), pa.list_(pa.float32()))], names=["id", "embedding"]) for a in (0, 10_000)]
+    tracemalloc.start()
+    found = [tuple(map(np.copy, f)) for f in retrieve.k_best(iter(batches), matrix, 10, -100.0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # all scores of a batch are 80 MB, and twice that with their ids
+    q, v, s = map(np.concatenate, zip(*found))
+    assert len(q) == 10_000
+    for one in (0, 7, 999):
+        every = x.astype(np.float64) @ matrix[one]
+        assert v[q == one].tolist() == ids[np.lexsort((ids, -every))[:10]].tolist()
+
+
+def test_pages_come_to_python_in_small_batches(spark):
+    pages = spark.range(3000).repartition(1).select("id", F.concat(F.lit("<p>"), F.repeat(F.lit("x"), 20_000)).alias("html"))
+    assert html.with_dom_text(pages).select(F.length("text")).distinct().collect() == [(20_000,)]
+    sizes = pages.select(_udf_sizes()(F.col("html")).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes <= 400
+
+
+def _udf_sizes():
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series([len(s)] * len(s))
+
+    of.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(of, "int")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
 from prosemill.functions.patterns import any_of, strip
-from prosemill.session import ship
+from prosemill.session import bounded
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -206,13 +206,13 @@ def _udf(f, kind: str):
 
 
 def with_dom_text(df: DataFrame, html: str = "html") -> DataFrame:
-    ship(df.sparkSession)
+    bounded(df.sparkSession)
     return df.withColumn("text", _udf(dom_text, "string")(F.col(html)))
 
 
 def with_section_list(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
     """Adds sections, a list of what the parser of that name finds. A page at a time in Python, as a tree needs it."""
-    ship(df.sparkSession)
+    bounded(df.sparkSession)
     return df.withColumn("sections", _udf(PARSERS[parser].sections, "array<string>")(F.col(html)))
 
 
@@ -224,7 +224,7 @@ def with_sections(df: DataFrame, parser: str, html: str = "html") -> DataFrame:
 def with_dispatched_sections(df: DataFrame, source: str, parsers: dict[str, str], keywords: list[str], html: str = "html") -> DataFrame:
     """Sections of pages by the parser that parsers names for their source key ('blog' for others), of those that hold a
     keyword; only they are exploded."""
-    ship(df.sparkSession)
+    bounded(df.sparkSession)
     out = None
     for name in PARSERS:
         keys = [k for k, p in parsers.items() if p == name]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
-from prosemill.functions.patterns import has, held, java, strip, whole
+from prosemill.functions.patterns import folded, has, held, java_folded, let, strip, whole
 from prosemill.operators import signals as S
 from prosemill.operators import text as T
 
@@ -15,10 +15,13 @@ LABELS = {"workflow_step": X.WORKFLOW, "criteria": X.CRITERIA, "objection": X.OB
 
 def labels(text: Column, table: dict[str, str]) -> Column:
     """Array of the labels whose pattern is found, in the table's order. One pattern of all tells most texts apart."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    found = F.array_compact(F.array(*[F.when(has(low, rf"\b(?:{p})"), k) for k, p in table.items()]))
-    any_of = has(low, r"\b(?:" + "|".join(f"(?:{p})" for p in table.values()) + ")")
-    return F.when(any_of, found).otherwise(F.array().cast("array<string>"))
+
+    def of(low: Column) -> Column:
+        found = F.array_compact(F.array(*[F.when(low.rlike(java_folded(rf"\b(?:{p})")), k) for k, p in table.items()]))
+        any_of = low.rlike(java_folded(r"\b(?:" + "|".join(f"(?:{p})" for p in table.values()) + ")"))
+        return F.when(any_of, found).otherwise(F.array().cast("array<string>"))
+
+    return let(folded(F.lower(text)), of)
 
 
 def confidence(workflow: Column, criteria: Column, objection: Column, industry: Column, length: Column, reasoning: Column, narrative: Column, docs: Column) -> Column:
@@ -35,23 +38,32 @@ def confidence(workflow: Column, criteria: Column, objection: Column, industry:
 
 def centred_snippet(text: Column, most: int = X.MAX_SNIPPET) -> Column:
     """A window of the text around the mean place of its first verb, marker and actor; starts after a sentence end near its begin."""
-    firsts = [F.regexp_instr(text, F.lit(java(p))) for p in (whole(X.GATE_VERBS, escape=True), whole(X.GATE_MARKERS, escape=True), whole(X.GATE_ACTORS))]
-    found = F.filter(F.array(*firsts), lambda i: i > 0)
-    mean = F.when(F.size(found) > 0, F.floor((F.aggregate(found, F.lit(0), lambda a, b: a + b) - F.size(found)) / F.size(found))).otherwise(0)
-    start = F.greatest(F.lit(0), F.least(mean - most // 2, F.length(text) - most)).cast("int")
-    window = F.substring(text, start + 1, F.lit(most))
-    dot = F.locate(". ", window)
-    tail = F.when((dot > 1) & (dot < 81), F.substring(window, dot + 2, F.lit(most))).otherwise(window)
-    return strip(F.when(F.length(text) <= most, text).otherwise(tail))
+    firsts = lambda low: [F.regexp_instr(low, F.lit(java_folded(p))) for p in (whole(X.GATE_VERBS, escape=True), whole(X.GATE_MARKERS, escape=True), whole(X.GATE_ACTORS))]
+    found = F.filter(let(folded(text), lambda low: F.array(*firsts(low))), lambda i: i > 0)
+
+    def cut(found: Column) -> Column:
+        mean = F.when(F.size(found) > 0, F.floor((F.aggregate(found, F.lit(0), lambda a, b: a + b) - F.size(found)) / F.size(found))).otherwise(0)
+        start = F.greatest(F.lit(0), F.least(mean - most // 2, F.length(text) - most)).cast("int")
+        return let(F.substring(text, start + 1, F.lit(most)), tail)
+
+    def tail(window: Column) -> Column:
+        dot = F.locate(". ", window)
+        return F.when((dot > 1) & (dot < 81), F.substring(window, dot + 2, F.lit(most))).otherwise(window)
+
+    # The searches are long: short texts need none, and each is made once.
+    return strip(F.when(F.length(text) <= most, text).otherwise(let(found, cut)))
 
 
-def extract_rows(df: DataFrame, text: str = "text", most: int = X.MAX_SNIPPET) -> DataFrame:
+def extract_rows(df: DataFrame, text: str = "text", most: int = X.MAX_SNIPPET, flags: dict[str, Column] | None = None) -> DataFrame:
     """Rows with labels and confidence; needs 30 characters and a workflow step or a criterion.
 
-    df has text, has_reasoning, has_narrative, is_docs_page and whatever is to be carried along.
+    df has text, has_reasoning, has_narrative, is_docs_page and whatever is to be carried along. Flags that are given as
+    expressions are worked out, like the labels that no test needs, for the rows that stay.
     """
     out = df.where(F.length(strip(F.coalesce(F.col(text), F.lit("")))) >= 30)
-    out = held(out, **{f"__{k}": labels(F.col(text), t) for k, t in LABELS.items()}).where((F.size("__workflow_step") > 0) | (F.size("__criteria") > 0))
+    tested = ("workflow_step", "criteria")
+    out = held(out, **{f"__{k}": labels(F.col(text), LABELS[k]) for k in tested}).where((F.size("__workflow_step") > 0) | (F.size("__criteria") > 0))
+    out = held(out, **{f"__{k}": labels(F.col(text), t) for k, t in LABELS.items() if k not in tested}, **(flags or {}))
     sizes = [F.size(f"__{k}") for k in LABELS]
     value = confidence(*sizes, F.length(text), F.col("has_reasoning"), F.col("has_narrative"), F.col("is_docs_page"))
     out = held(out, **{"decision_context": T.truncated(F.col(text), most), "confidence": value, **{k: F.concat_ws(", ", f"__{k}") for k in LABELS}})

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.functions import lexicon as X
-from prosemill.functions.patterns import strip
+from prosemill.functions.patterns import held, strip
 from prosemill.operators import html, signals
 from prosemill.operators.extract import top_per_key
 from prosemill.operators.incremental import content_key
@@ -95,7 +95,8 @@ def question_records(questions: DataFrame, answers: DataFrame, site: str) -> Dat
     answers: question_id, answer_id, score, body. The test reads the question alone.
     """
     flat = lambda c: strip(F.regexp_replace(F.regexp_replace(_empty(c), r"<[^>]+>", " "), r"(?U)\s+", " "))
-    rows = questions.withColumn("__text", F.concat(_empty("title"), F.lit("\n\n"), flat("body"))).where((_empty("link") != "") & signals.source_prefilter(F.col("__text"), "questions"))
+    # The text is made once, below the tests that read it.
+    rows = held(questions.where(_empty("link") != ""), __text=F.concat(_empty("title"), F.lit("\n\n"), flat("body"))).where(signals.source_prefilter(F.col("__text"), "questions"))
     rated = rows.where(F.col("score") >= MIN_SCORE).select("question_id").distinct()
     best = top_per_key(answers.join(rated, "question_id", "left_semi"), "question_id", ANSWERS, F.desc("score"), F.col("answer_id"))
     # The list is bounded by ANSWERS.
@@ -108,7 +109,7 @@ def question_records(questions: DataFrame, answers: DataFrame, site: str) -> Dat
 def answer_records(answers: DataFrame, site: str) -> DataFrame:
     """Records of answers (url, body, score, creation_date) that are long enough and pass by whole words."""
     flat = strip(F.regexp_replace(F.regexp_replace(_empty("body"), r"<[^>]+>", " "), r"(?U)\s+", " "))
-    rows = answers.withColumn("__text", flat).where(signals.source_prefilter(F.col("__text"), "answers"))
+    rows = held(answers, __text=flat).where(signals.source_prefilter(F.col("__text"), "answers"))
     return _once(_wide(rows, F.col("__text"), f"se_answers_{site}", site))
 
 

@@ -61,8 +61,9 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * lcs_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
-#: Blocks of places in a task, letters of a bag, characters of a gram, buckets of hashed grams, pairs handled at a time.
-BLOCKS, LETTERS, GRAM, BUCKETS, PAIRS = 8, b"abcdefghijklmnopqrstuvwxyz ", 3, 512, 1 << 12
+#: Blocks of places in a task, letters of a bag, characters of a text's beginning, its words of so many bits, codes of
+#: characters (the last one is none), pairs handled at a time.
+BLOCKS, LETTERS, BEGIN, WORDS, BITS, CODES, PAIRS = 8, b"abcdefghijklmnopqrstuvwxyz ", 192, 5, 62, 64, 1 << 12
 
 #: Pairs of a range when stretches are told.
 RANGE = 1_000_000
@@ -72,27 +73,25 @@ class _Band:
     """Rows of consecutive blocks of places with what bounds their ratios; all are upper bounds, so none loses a pair.
 
     Of two texts of lengths m and n, LCS is at most the shorter length, and at most what the bags of characters have in
-    common. With d characters unmatched, they have at least (m + n) / 2 - (q - 1) - (2 q - 1) / 2 * d grams of q
-    characters in common: an unmatched character breaks q grams of its own text and q - 1 of the other. Counts
-    of hashed grams can only be higher.
+    common. If LCS is L, all but n - L of the second text's first k characters are matched, and only to the first text's
+    first k + m - L: so these beginnings have an LCS of at least k - (n - L). Characters that share a code can only make it longer.
     """
 
     def __init__(self, places: np.ndarray, texts: list[str], threshold: float):
         self.at, self.texts, self.threshold = places, texts, threshold
         self.n = np.array([len(t) for t in texts], np.int64)
         self.bag = np.zeros((len(texts), len(LETTERS) + 1), np.int32)
-        self.grams = np.zeros((len(texts), BUCKETS), np.uint8)
-        self.full = np.zeros(len(texts), bool)
+        self.codes = np.full((len(texts), BEGIN), CODES - 1, np.uint8)
+        self.masks = np.zeros((WORDS, len(texts) * CODES), np.uint64)
         slot = np.full(256, len(LETTERS))
         slot[np.frombuffer(LETTERS, np.uint8)] = np.arange(len(LETTERS))
         for k, t in enumerate(texts):
             points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
             self.bag[k] = np.bincount(slot[np.minimum(points, 255)], minlength=len(LETTERS) + 1)
-            if len(points) >= GRAM:
-                mixed = (points[:-2].astype(np.uint64) * 0x9E3779B1 + points[1:-1] * np.uint64(0x85EBCA77) + points[2:] * np.uint64(0xC2B2AE3D)) >> np.uint64(7)
-                counts = np.bincount((mixed % BUCKETS).astype(np.int64), minlength=BUCKETS)
-                # A count that doesn't fit a byte gives no bound.
-                self.full[k], self.grams[k] = counts.max() > 255, np.minimum(counts, 255)
+            codes = points[: WORDS * BITS] % (CODES - 1)
+            self.codes[k, : len(codes)] = codes[:BEGIN]
+            place = np.arange(len(codes))
+            np.bitwise_or.at(self.masks, (place // BITS, k * CODES + codes), np.uint64(1) << (place % BITS).astype(np.uint64))
 
     def candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all rows left with all rows right, those whose bounds reach the threshold."""
@@ -105,13 +104,39 @@ class _Band:
         x, y = np.nonzero(ok & (common >= need))
         return left[x], right[y]
 
-    def by_grams(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs share grams enough."""
-        total = self.n[i] + self.n[j]
-        unmatched = total - 2 * np.ceil(self.threshold * total / 200.0 - 1e-9)
-        need = total / 2 - (GRAM - 1) - (2 * GRAM - 1) / 2 * unmatched
-        shared = np.concatenate([np.minimum(self.grams[i[k : k + PAIRS]], self.grams[j[k : k + PAIRS]]).sum(1, dtype=np.uint32) for k in range(0, len(i), PAIRS)] or [np.zeros(0, np.uint32)])
-        return (shared >= need) | (self.full[i] & self.full[j])
+    def by_beginning(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs have beginnings alike enough: LCS in words of bits, of many pairs at once."""
+        least = np.ceil(self.threshold * (self.n[i] + self.n[j]) / 200.0 - 1e-9).astype(np.int64)
+        read = np.minimum(self.n[j], BEGIN)
+        size = np.minimum(self.n[i], read + self.n[i] - least)
+        need = read - (self.n[j] - least)
+        # Where the first text's beginning doesn't fit the words, there is no bound.
+        out = np.ones(len(i), bool)
+        order = np.argsort(size, kind="stable")
+        order = order[: np.searchsorted(size[order], WORDS * BITS, side="right")]
+        full, top = np.uint64((1 << BITS) - 1), np.uint64(BITS)
+        for k in range(0, len(order), PAIRS):
+            of = order[k : k + PAIRS]
+            base, codes = i[of] * CODES, np.ascontiguousarray(self.codes[j[of]].T)
+            words = int(-(-size[of[-1]] // BITS))
+            rows = [np.full(len(of), full) for _ in range(words)]
+            for step in range(int(read[of].max())):
+                at, carry = base + codes[step], np.uint64(0)
+                for w in range(words):
+                    hit = self.masks[w].take(at)
+                    hit &= rows[w]
+                    total = rows[w] + hit
+                    total += carry
+                    carry = total >> top
+                    rows[w] ^= hit
+                    rows[w] |= total
+                    rows[w] &= full
+            common = np.zeros(len(of), np.int64)
+            for w, row in enumerate(rows):
+                inside = (np.uint64(1) << np.clip(size[of] - w * BITS, 0, BITS).astype(np.uint64)) - np.uint64(1)
+                common += np.bitwise_count(~row & inside)
+            out[of] = common >= need[of]
+        return out
 
     def pairs(self, own: int, ahead: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(i, j, ratio) of the first so many rows with those up to ahead places after each."""
@@ -121,7 +146,7 @@ class _Band:
             i, j = self.candidates(left, right)
             near = (self.at[j] > self.at[i]) & (self.at[j] <= self.at[i] + ahead)
             i, j = i[near], j[near]
-            near = self.by_grams(i, j)
+            near = self.by_beginning(i, j)
             i, j = i[near], j[near]
             ratio = np.array([100.0 if self.texts[x] == self.texts[y] else indel_ratio(self.texts[x], self.texts[y]) for x, y in zip(i.tolist(), j.tolist())], np.float64)
             yield self.at[i[ratio >= self.threshold]], self.at[j[ratio >= self.threshold]], ratio[ratio >= self.threshold]
@@ -132,7 +157,7 @@ def similar_pairs(df: DataFrame, text: str, order: str, threshold: float = 90.0,
 
     order numbers the rows without gaps (a number that is there twice, or null, is an error of the caller's). A task
     takes BLOCKS blocks of ahead + 1 places and the block that follows, so a text moves once and an eighth, and groups are
-    bounded by places whatever the texts are. Length, bags of characters and counts of grams bound the ratio in turn; LCS
+    bounded by places whatever the texts are. Length, bags of characters and the texts' beginnings bound the ratio in turn; LCS
     is computed for what they let through. Null and empty texts have no pairs.
     """
     ship(df.sparkSession)

@@ -61,6 +61,20 @@ def test_bounds_lose_no_pair(threshold):
     assert found == pairs_by_loops(texts, 999, threshold)
 
 
+def test_texts_of_one_language_need_no_subsequence(monkeypatch):
+    """Texts of the same syllables have bags and grams alike, but nothing else: hardly any pair gets its full LCS."""
+    draw, asked = random.Random(5), []
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "or", " "]
+    texts = ["".join(draw.choice(syllables) for _ in range(400))[:480] for _ in range(120)]
+    texts += [t[:100] + "x" * draw.randrange(30) + t[115:] for t in texts[:20]]
+    exact = dedup.indel_ratio
+    want = pairs_by_loops(texts, 999)
+    monkeypatch.setattr(dedup, "indel_ratio", lambda a, b: asked.append(1) or exact(a, b))
+    band = dedup._Band(dedup.np.arange(len(texts)), texts, 90.0)
+    found = [(i, j, round(r, 9)) for a, b, c in band.pairs(len(texts), 999) for i, j, r in zip(a.tolist(), b.tolist(), c.tolist())]
+    assert sorted(found) == want and len(want) == 20 and len(asked) <= 40
+
+
 @pytest.mark.parametrize("ranges", [1_000_000, 300])
 def test_a_chain_of_many_rows(spark, monkeypatch, ranges):
     """Each row is like the next: every other one stays, in as many jobs as for any table."""

@@ -33,3 +33,16 @@ def test_the_first_row_of_a_key_stays(spark, tmp_path):
     got = sorted((r["url"], r["at"], r["text"], r["batch_note"]) for r in read_appended(spark, str(tmp_path / "out")).collect())
     assert got == [("a", 1, "b", None), ("b", 7, "b7", None), ("c", 5, None, "m"), ("d", 1, "d", None), ("e", 1, "e", None), ("hot", 1 << 60, "0", None)]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_keys_are_met_by_sparks_own_state(spark, tmp_path):
+    """No call to Python for each key: state is that of Spark's deduplication, and groups of keys are settled before it."""
+    spark.createDataFrame([("a", 1, "b", None)], SCHEMA).write.parquet(str(tmp_path / "in"))
+    stream = append.first_of_keys(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), "url", ["at"])
+    seen = stream._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in seen and "TransformWithState" not in seen
+
+
+def test_first_rows_sort_what_is_there_twice():
+    frame = append.pd.DataFrame({"met_key": ["b", "a", "b", "c", "a"], "order_0": [2.0, None, 1.0, None, 5.0], "row_json": list("vwxyz")})
+    assert sorted(append.first_rows(frame)["row_json"]) == ["x", "y", "z"] and append.first_rows(frame[:2]) is not None

@@ -1,7 +1,8 @@
 """Language-model scores by a causal self-attention model, trained in numpy on subword ids.
 
-Words are lower-cased (A-Z) and become subword ids of a public byte-level vocabulary; a symbol is an id with a mark if it
-ends its word, so that a word's symbols are its spelling and no word is the beginning of another. One layer of causal
+Words are lower-cased (A-Z). Frequent training words are symbols of their own; the others become subword ids of a public
+byte-level vocabulary, and a symbol is an id with a mark if it ends its word. So a word's symbols are its spelling, and no
+word is the beginning of another. One layer of causal
 attention over windows of L symbols predicts the class of the next symbol; within its class a symbol has its share of
 all training documents. Frequent symbols are classes of their own, the others are clustered by the frequent symbols
 around them. A word's probability mixes two: that of its spelling under the attention model, and its discounted share of
@@ -23,7 +24,6 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +40,16 @@ CLASSES = GROUPS * MEMBERS
 SINGLE = CLASSES - 192
 #: Windows of a group; windows of a step; rounds; steps of a round at least.
 GROUP, BATCH, ROUNDS, STEPS = 1 << 18, 512, 4, 100
+#: Windows whose attention is worked out together.
+PART = 64
 #: Weight of the spelling under the attention model for any word, and the discount of a training word's count.
 ALPHA, DISCOUNT = 0.7, 0.9
 #: Ids of the vocabulary, and the symbol that ends a text (also the padding before it).
 IDS, END = 50257, 2 * 50256 + 1
 SYMBOLS = 2 * IDS
+#: Words that are symbols of their own, after those: the most frequent ones, at most so many, each at least so often there.
+WHOLE, OFTEN = 1 << 17, 8
+NONE_WHOLE = np.zeros(0, np.int64)
 #: Words whose counts every task holds, at most: the most frequent ones. The counts of the others are joined.
 HELD_WORDS = 1 << 20
 END_HASH = -1
@@ -62,36 +67,61 @@ def _begins_word() -> np.ndarray:
     return np.array([enc.decode_single_token_bytes(i)[:1] == b" " for i in range(IDS - 1)], bool)
 
 
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def spelled(words: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all words, each after a space, and how many each has. One text is encoded: a piece with a space begins a word."""
-    if not words:
+    if not len(words):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.large_binary())
+    data, at = _bytes_of(words)
+    lengths = np.diff(at)
     # A long word may hold a run of wide spaces that one call can't take.
-    whole = max(map(len, words)) < LONG
-    ids = encoding(VOCABULARY).encode_to_numpy(b" ".join([b"", *words]).decode(), disallowed_special=()) if whole else np.zeros(0, np.int64)
+    ids = np.zeros(0, np.int64)
+    if lengths.max() < LONG:
+        text = np.full(len(data) + len(words), 32, np.uint8)
+        text[np.arange(len(data)) + np.repeat(np.arange(1, len(words) + 1), lengths)] = data
+        ids = encoding(VOCABULARY).encode_to_numpy(text.tobytes().decode(), disallowed_special=())
     starts = np.flatnonzero(_begins_word()[ids])
     if len(starts) != len(words):
-        parts = [encoded(" " + w.decode()) for w in words]
+        parts = [encoded(" " + w.decode()) for w in words.to_pylist()]
         return np.array(list(chain.from_iterable(parts)), np.int64), np.fromiter(map(len, parts), np.int64, len(parts))
     return ids.astype(np.int64), np.diff(np.append(starts, len(ids)))
 
 
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and len+1 offsets (from 0) of a large binary array."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) and words.buffers()[2] else np.zeros(0, np.uint8)
+    return data[at[0] : at[-1]], at - at[0]
+
+
 class Words:
-    """The words of a batch: codes by word, first word of each document (len+1), and of each distinct word its hash and symbols."""
+    """The words of a batch: codes by word, first word of each document (len+1), and of each distinct word its hash and symbols.
 
-    def __init__(self, column: pa.Array, spell: bool = True):
+    whole: hashes of the words that are symbols of their own, ascending.
+    """
+
+    def __init__(self, column: pa.Array, spell: bool = True, whole: np.ndarray = NONE_WHOLE):
         data, at = A.buffers(column)
         low = A.lowered(data)
         starts, ends, self.first = A.word_spans(low, at)
         self.codes, distinct = A.word_codes(low, starts, ends)
-        words, x = distinct.to_pylist(), xxhash.xxh64_intdigest
-        self.hash = np.fromiter(map(x, words), np.uint64, len(words)).view(np.int64)
+        words, ends = _bytes_of(distinct)
+        self.hash = A.xxh64(words, ends[:-1], ends[1:]).view(np.int64)
         self.hash[self.hash == END_HASH] = 0
         if spell:
-            flat, self.length = spelled(words)
-            self.symbols = 2 * flat
+            j = np.searchsorted(whole, self.hash)
+            own = np.append(whole, 0)[j] == self.hash
+            own &= j < len(whole)
+            rest = np.flatnonzero(~own)
+            flat, n = spelled(distinct.take(pa.array(rest)))
+            flat *= 2
+            flat[np.cumsum(n) - 1] += 1
+            self.length = np.ones(len(distinct), np.int64)
+            self.length[rest] = n
             self.at = np.cumsum(self.length) - self.length
-            self.symbols[self.at + self.length - 1] += 1
+            self.symbols = np.empty(int(self.length.sum()), np.int64)
+            self.symbols[A.ragged(self.at[rest], n)] = flat
+            self.symbols[self.at[own]] = SYMBOLS + j[own]
 
     def part(self, i: int, j: int) -> Words:
         """The words of documents i .. j - 1 alone."""
@@ -153,94 +183,115 @@ def _embedded(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return h
 
 
-def _shares(logits: np.ndarray) -> np.ndarray:
-    """Softmax in place; sums by a product, as reductions of short rows are slow."""
-    np.clip(logits, -60, 60, out=logits)
-    np.exp(logits, out=logits)
-    logits *= (1 / (logits @ np.ones(logits.shape[-1], np.float32)))[..., None]
-    return logits
-
-
-def forward(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """The last hidden states (b * L, D) for input classes x (b, L), with batched masked attention."""
-    b, h = len(x), _embedded(w, x)
+def forward(w: dict[str, np.ndarray], x: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
+    """The last hidden states (b * (L - first), D) for input classes x (b, L), with batched masked attention; places before
+    the first one are only attended to. Then what backward needs."""
+    b, h, mix = len(x), _embedded(w, x), np.concatenate([w[n] for n in "QKV"], 1)
     flat = h.reshape(-1, D)
-    q, k, v = ((flat @ w[n]).reshape(b, L, -1) for n in "QKV")
-    s = q @ k.transpose(0, 2, 1)
+    qkv = (flat @ mix).reshape(b, L, -1)
+    v = np.empty((b, L, D + 1), np.float32)  # with ones, whose product is the sum of the weights
+    v[..., :D], v[..., D] = qkv[..., 2 * KEY :], 1
+    s = qkv[:, first:, :KEY] @ qkv[..., KEY : 2 * KEY].transpose(0, 2, 1)
     np.clip(s, -60, 60, out=s)
     np.exp(s, out=s)
-    s *= SEEN
-    s *= (1 / (s @ np.ones(L, np.float32)))[..., None]
-    c = (s @ v).reshape(-1, D)
-    y = flat + c @ w["O"]
-    r = np.maximum(y @ w["A"] + w["a"], 0)
-    return y + r @ w["B"], (flat, q, k, v, s, c, y, r)
-
-
-def _softmax(logits: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, float]:
-    """Gradient of cross-entropy by logits, and the loss."""
-    p, rows = _shares(logits), np.arange(len(goal))
-    loss = -float(np.log(p[rows, goal] + 1e-30).sum())
-    p[rows, goal] -= 1
-    return p, loss
-
-
-def _added(x: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Rows of d summed by class."""
-    x = x.astype(np.int16)  # these are sorted by their digits
-    order = np.argsort(x, kind="stable")
-    x = x[order]
-    first = np.flatnonzero(np.append(True, np.diff(x) > 0))
-    out = np.zeros((CLASSES, d.shape[1]), np.float32)
-    out[x[first]] = np.add.reduceat(np.take(d, order, axis=0), first, axis=0)
-    return out
+    s *= SEEN[first:]
+    c = s @ v
+    part = 1 / c[..., D:]
+    c = (c[..., :D] * part).reshape(-1, D)
+    y = c @ w["O"]
+    y += h[:, first:].reshape(-1, D)
+    r = y @ w["A"]
+    r += w["a"]
+    np.maximum(r, 0, out=r)
+    z = r @ w["B"]
+    z += y
+    return z, (flat, mix, qkv, v, s, part, c, y, r)
+
+
+def backward(w: dict[str, np.ndarray], g: dict[str, np.ndarray], dz: np.ndarray, first: int, flat: np.ndarray, mix: np.ndarray, qkv: np.ndarray, v: np.ndarray, s: np.ndarray, part: np.ndarray, c: np.ndarray, y: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Gradients by the embedded places (b, L, D), from those by forward's states; the weights' are added to g. dz is used up."""
+    b, n = len(v), L - first
+    g["B"] += r.T @ dz
+    dr = dz @ w["B"].T
+    dr *= r > 0
+    g["A"] += y.T @ dr
+    g["a"] += np.ones(len(dr), np.float32) @ dr
+    dz += dr @ w["A"].T
+    g["O"] += c.T @ dz
+    # s isn't divided by its rows' sums: dc is. A row of dc times its context is what the softmax takes from each weight.
+    dc = np.empty((b, n, D + 1), np.float32)
+    np.multiply((dz @ w["O"].T).reshape(b, n, D), part, out=dc[..., :D])
+    dc[..., D] = -np.einsum("ij,ij->i", dc[..., :D].reshape(-1, D), c).reshape(b, n)
+    ds = dc @ v.transpose(0, 2, 1)
+    ds *= s
+    d = np.zeros((b, L, mix.shape[1]), np.float32)
+    d[:, first:, :KEY] = ds @ qkv[..., KEY : 2 * KEY]
+    d[..., KEY : 2 * KEY] = ds.transpose(0, 2, 1) @ qkv[:, first:, :KEY]
+    d[..., 2 * KEY :] = s.transpose(0, 2, 1) @ dc[..., :D]
+    d = d.reshape(-1, d.shape[2])
+    for k, own in zip("QKV", np.split(flat.T @ d, [KEY, 2 * KEY], axis=1)):
+        g[k] += own
+    dh = (d @ mix.T).reshape(b, L, D)
+    dh[:, first:] += dz.reshape(b, n, D)
+    return dh
+
+
+def _softmax(logits: np.ndarray, goal: np.ndarray) -> float:
+    """Cross-entropy; the logits become its gradient. Sums by a product, as reductions of short rows are slow."""
+    np.clip(logits, -60, 60, out=logits)
+    flat, at = logits.reshape(-1), np.arange(0, logits.size, logits.shape[1]) + goal
+    own = flat[at]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    logits *= (1 / total)[:, None]
+    flat[at] -= 1
+    return float(np.log(total).sum() - own.sum())
 
 
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean cross-entropy of the target classes whose weight isn't 0, and its gradients."""
-    z, (flat, q, k, v, s, c, y, r) = forward(w, x)
-    b, ones = len(x), lambda a: np.ones(len(a), np.float32)
-    rows = np.flatnonzero(weight.reshape(-1))
-    goal = target.reshape(-1)[rows]
+    """Mean cross-entropy of the target classes whose weight isn't 0, and its gradients. PART windows at a time go through the
+    attention, so that what it holds of them stays in the processor's cache."""
+    first = 0 if weight[:, :CONTEXT].any() else CONTEXT
+    n, g = L - first, {k: np.zeros_like(v) for k, v in w.items()}
+    parts = [forward(w, x[i : i + PART], first) for i in range(0, len(x), PART)]
+    z = np.concatenate([own for own, _ in parts])
+    rows = np.flatnonzero(weight[:, first:])
+    goal = target[:, first:].reshape(-1)[rows].astype(np.int64)
     order = np.argsort((goal // MEMBERS).astype(np.int16), kind="stable")
     rows, goal = rows[order], goal[order]
-    zs, total = np.take(z, rows, axis=0), np.float32(max(1, len(rows)))
+    zs, ones, total = np.take(z, rows, axis=0), np.ones(len(rows), np.float32), np.float32(max(1, len(rows)))
     # The group, then the member of the group: two small softmaxes.
-    p, loss = _softmax(zs @ w["G"].T + w["g"], goal // MEMBERS)
-    g = {"G": p.T @ zs, "g": ones(p) @ p, "M": np.zeros_like(w["M"]), "m": np.zeros_like(w["m"])}
+    group = goal // MEMBERS
+    p = zs @ w["G"].T
+    p += w["g"]
+    loss = _softmax(p, group)
+    g["G"], g["g"] = p.T @ zs, ones @ p
     dzs = p @ w["G"]
-    cuts = np.searchsorted(goal // MEMBERS, np.arange(GROUPS + 1)).tolist()
-    for k0, (i, j) in zip(range(0, CLASSES, MEMBERS), zip(cuts, cuts[1:])):
-        if i < j:
-            own = slice(k0, k0 + MEMBERS)
-            p, more = _softmax(zs[i:j] @ w["M"][own].T + w["m"][own], goal[i:j] - k0)
-            g["M"][own], g["m"][own] = p.T @ zs[i:j], ones(p) @ p
-            dzs[i:j] += p @ w["M"][own]
-            loss += more
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+    own = [(slice(i, j), slice(k * MEMBERS, (k + 1) * MEMBERS)) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
+    for at, k in own:
+        np.matmul(zs[at], w["M"][k].T, out=p[at])
+        p[at] += w["m"][k]
+    loss += _softmax(p, goal % MEMBERS)
+    for at, k in own:
+        g["M"][k], g["m"][k] = p[at].T @ zs[at], ones[at] @ p[at]
+        dzs[at] += p[at] @ w["M"][k]
+    for k in "GgMm":
+        g[k] /= total
+    dzs /= total
     dz = np.zeros_like(z)
     dz[rows] = dzs
-    dz /= total
-    for n in "GgMm":
-        g[n] /= total
-    g["B"] = r.T @ dz
-    dr = dz @ w["B"].T
-    dr *= r > 0
-    g["A"], g["a"] = y.T @ dr, ones(dr) @ dr
-    dy = dz
-    dy += dr @ w["A"].T
-    g["O"] = c.T @ dy
-    dc = (dy @ w["O"].T).reshape(b, L, D)
-    ds, dv = dc @ v.transpose(0, 2, 1), (s.transpose(0, 2, 1) @ dc).reshape(-1, D)
-    ds -= ((ds * s) @ np.ones(L, np.float32))[..., None]
-    ds *= s
-    dq, dk = (ds @ k).reshape(-1, KEY), (ds.transpose(0, 2, 1) @ q).reshape(-1, KEY)
-    g["Q"], g["K"], g["V"] = flat.T @ dq, flat.T @ dk, flat.T @ dv
-    dh = dy + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-    # A place's class reaches its own state and the two after it.
-    dh, wide = dh.reshape(b, L, D), np.zeros((b, L, 3 * D), np.float32)
-    for n, back in (("E", 0), ("F", 1), ("H", 2)):
-        wide[:, : L - back, back * D : (back + 1) * D] = dh[:, back:]
-    g["E"], g["F"], g["H"] = (np.ascontiguousarray(c) for c in np.split(_added(x.reshape(-1), wide.reshape(-1, 3 * D)), 3, axis=1))
+    dh = np.zeros((len(x), L + 2, D), np.float32)  # two empty places end each window
+    for i, (_, held) in zip(range(0, len(x), PART), parts):
+        dh[i : i + PART, :L] = backward(w, g, dz[i * n : (i + PART) * n], first, *held)
+    # A place's class reaches its own state and the two after it. Rows are summed by class.
+    leaf, dh = x.reshape(-1).astype(np.int16), dh.reshape(-1, D)  # these are sorted by their digits
+    order = np.argsort(leaf, kind="stable")
+    leaf = leaf[order]
+    cut = np.flatnonzero(np.append(True, np.diff(leaf) > 0))
+    order += order // L * 2
+    for after, k in enumerate("EFH"):
+        g[k][leaf[cut]] = np.add.reduceat(np.take(dh, order + after, axis=0), cut, axis=0)
     return loss / float(total), g
 
 
@@ -264,23 +315,7 @@ def trained(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, w
 
 def hidden(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     """As forward gives it at the places to score, (b * STEP, D): only what is scored goes on after the attention."""
-    b, h = len(x), _embedded(w, x)
-    flat, last = h.reshape(-1, D), np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, D)
-    k, v = (flat @ w["K"]).reshape(b, L, KEY), np.empty((b, L, D + 1), np.float32)
-    np.matmul(h, w["V"], out=v[..., :D])
-    v[..., D] = 1
-    s = (last @ w["Q"]).reshape(b, STEP, KEY) @ k.transpose(0, 2, 1)
-    np.clip(s, -60, 60, out=s)
-    np.exp(s, out=s)
-    s *= SEEN[CONTEXT:]
-    c = s @ v
-    y = c[..., :D] / c[..., D:]
-    y = last + y.reshape(-1, D) @ w["O"]
-    r = y @ w["A"]
-    r += w["a"]
-    np.maximum(r, 0, out=r)
-    y += r @ w["B"]
-    return y
+    return forward(w, x, CONTEXT)[0]
 
 
 def _log_share(logits: np.ndarray, goal: np.ndarray) -> np.ndarray:
@@ -305,7 +340,7 @@ def symbol_scores(w: dict[str, np.ndarray], class_of: np.ndarray, share: np.ndar
     view, start, upto = np.lib.stride_tricks.sliding_window_view(flat, L), start + np.repeat(base, n), np.concatenate([[0], np.cumsum(scored)])
     members = [np.ascontiguousarray(w["M"][k : k + MEMBERS].T) for k in range(0, CLASSES, MEMBERS)]
     for i in range(0, len(start), batch):
-        z = np.concatenate([hidden(w, view[start[j : min(j + 128, i + batch)]]) for j in range(i, min(i + batch, len(start)), 128)])
+        z = np.concatenate([hidden(w, view[start[j : min(j + PART, i + batch)]]) for j in range(i, min(i + batch, len(start)), PART)])
         own = scored[i : i + batch]
         if (own < STEP).any():
             z = np.take(z, np.flatnonzero((np.arange(STEP) < own[:, None]).reshape(-1)), axis=0)
@@ -327,55 +362,72 @@ def symbol_scores(w: dict[str, np.ndarray], class_of: np.ndarray, share: np.ndar
 
 # On DataFrames ---------------------------------------------------------------------------------------------------------
 
-WORD, SYMBOL, WINDOW = 0, 1, 2
+SYMBOL, WINDOW = 1, 2
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of training documents: partial counts of words and symbols, and all windows."""
-    names = ["kind", "key", "n", "window"]
-
-    def rows(kind, key, n, window=None):
-        blank = pa.nulls(len(key), pa.binary())
-        if window is not None:
-            ends = (np.arange(len(window) + 1) * window.itemsize * window.shape[1]).astype(np.int32)
-            blank = pa.Array.from_buffers(pa.binary(), len(window), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(window))])
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n), blank], names=names)
-
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of the words of training documents, and of their ends."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    of_symbols = np.zeros(SYMBOLS, np.int64)
+    ends = 0
+
+    def rows(key, n):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
     def words():
         key, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
         return key, np.bincount(at, np.concatenate([n for _, n in held]), len(key)).astype(np.int64)
 
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        crc = np.array([zlib.crc32(str(i).encode()) for i in ids], np.int64)
-        keep = np.flatnonzero(~held_out(ids))
-        own, crc = Words(batch.column(1).take(pa.array(keep))), crc[keep]
-        if not len(crc):
-            continue
-        n = np.bincount(own.codes, minlength=len(own.hash))
-        held.append((np.append(own.hash, END_HASH), np.append(n, len(crc)).astype(np.int64)))
-        of_symbols += np.bincount(own.symbols, np.repeat(n, own.length), SYMBOLS).astype(np.int64)
-        of_symbols[END] += len(crc)
-        for i in range(0, len(crc), 256):
-            part = crc[i : i + 256]
-            symbols, at, _ = own.part(i, i + len(part)).sequences()
-            inputs, targets, score, doc, k = windows(symbols, at)
-            # Inputs with the last target, and how many targets count, are the window.
-            packed = np.concatenate([inputs, targets[:, -1:], (score >= 0).sum(1, keepdims=True)], 1).astype("<i4")
-            if len(packed):
-                yield rows(WINDOW, part[doc] * 1_000_003 + k, np.ones(len(packed), np.int64), packed)
+        keep = np.flatnonzero(~held_out(batch.column(0).to_pylist()))
+        own = Words(batch.column(1).take(pa.array(keep)), spell=False)
+        held.append((own.hash, np.bincount(own.codes, minlength=len(own.hash))))
+        ends += len(keep)
         if sum(len(k) for k, _ in held) > 2_000_000:
             held[:] = [words()]
             if len(held[0][0]) > 1_000_000:
-                yield rows(WORD, *held.pop())
+                yield rows(*held.pop())
     if held:
-        yield rows(WORD, *words())
-    seen = np.flatnonzero(of_symbols)
-    if len(seen):
-        yield rows(SYMBOL, seen, of_symbols[seen])
+        yield rows(*words())
+    if ends:
+        yield rows(np.array([END_HASH]), np.array([ends]))
+
+
+def _gather(whole: np.ndarray):
+    """Of training documents: partial counts of spelled symbols, and all windows. whole: as in Words."""
+    names = ["kind", "key", "n", "window"]
+
+    def rows(kind, key, n, window=None):
+        blank = pa.nulls(len(key), pa.binary())
+        if window is not None:
+            ends = (np.arange(len(window) + 1) * window.itemsize * window.shape[1]).astype(np.int32)
+            blank = pa.Array.from_buffers(pa.binary(), len(window), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(window))])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n), blank], names=names)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_symbols = np.zeros(SYMBOLS, np.int64)
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            crc = np.array([zlib.crc32(str(i).encode()) for i in ids], np.int64)
+            keep = np.flatnonzero(~held_out(ids))
+            own, crc = Words(batch.column(1).take(pa.array(keep)), whole=whole), crc[keep]
+            if not len(crc):
+                continue
+            n = np.bincount(own.codes, minlength=len(own.hash))
+            of_symbols += np.bincount(own.symbols, np.repeat(n, own.length), SYMBOLS + len(whole))[:SYMBOLS].astype(np.int64)
+            of_symbols[END] += len(crc)
+            for i in range(0, len(crc), 256):
+                part = crc[i : i + 256]
+                symbols, at, _ = own.part(i, i + len(part)).sequences()
+                inputs, targets, score, doc, k = windows(symbols, at)
+                # Inputs with the last target, and how many targets count, are the window.
+                packed = np.concatenate([inputs, targets[:, -1:], (score >= 0).sum(1, keepdims=True)], 1).astype("<i4")
+                if len(packed):
+                    yield rows(WINDOW, part[doc] * 1_000_003 + k, np.ones(len(packed), np.int64), packed)
+        seen = np.flatnonzero(of_symbols)
+        if len(seen):
+            yield rows(SYMBOL, seen, of_symbols[seen])
+
+    return of
 
 
 def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -391,7 +443,7 @@ def _surroundings(single: np.ndarray):
     vectors[SINGLE] = 0
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_vector, sums = np.take(vectors, single, axis=0), np.zeros((SYMBOLS, SKETCH), np.int64)
+        own_vector, sums = np.take(vectors, single, axis=0), np.zeros((len(single), SKETCH), np.int64)
         for batch in batches:
             inputs, _, _ = _unpacked(batch.column(0).to_pylist())
             around = np.zeros((len(inputs), SKETCH), np.int8)  # L at most
@@ -433,7 +485,7 @@ def _clusters(vectors: np.ndarray, weight: np.ndarray, k: int, rounds: int = 12)
         return np.arange(len(x)) % k
     at = np.zeros(len(x), np.int64)
     for _ in range(rounds):
-        at = np.argmax(x @ centre.T, 1)
+        at = np.concatenate([np.argmax(x[i : i + (1 << 15)] @ centre.T, 1) for i in range(0, len(x), 1 << 15)])
         sums = np.zeros_like(centre)
         np.add.at(sums, at, x * weight[:, None])
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -447,7 +499,7 @@ def grouped_classes(keys: np.ndarray, sums: np.ndarray, counts: np.ndarray, sing
     keys, sums: surroundings of symbols; single: the number of a symbol that is a class, else SINGLE.
     """
     class_of = np.where(single < SINGLE, single, CLASSES - 1)
-    around = np.zeros((SYMBOLS, SKETCH))
+    around, symbol = np.zeros((len(counts), SKETCH)), np.arange(len(counts))
     around[keys] = sums
     other = keys[single[keys] == SINGLE]
     if len(other):
@@ -456,7 +508,7 @@ def grouped_classes(keys: np.ndarray, sums: np.ndarray, counts: np.ndarray, sing
     mass = counts + 0.1
     x = np.zeros((CLASSES, SKETCH))
     np.add.at(x, class_of, around)
-    last = np.bincount(class_of, mass * (np.arange(SYMBOLS) & 1), CLASSES) / np.maximum(np.bincount(class_of, mass, CLASSES), 1e-9)
+    last = np.bincount(class_of, mass * ((symbol & 1) | (symbol >= SYMBOLS)), CLASSES) / np.maximum(np.bincount(class_of, mass, CLASSES), 1e-9)
     parts = _halved(np.arange(CLASSES), np.concatenate([_unit(x), last[:, None]], 1), MEMBERS)
     place = np.empty(CLASSES, np.int64)
     place[np.concatenate(parts)] = np.arange(CLASSES)
@@ -465,7 +517,7 @@ def grouped_classes(keys: np.ndarray, sums: np.ndarray, counts: np.ndarray, sing
 
 
 def singles(counts: np.ndarray) -> np.ndarray:
-    single = np.full(SYMBOLS, SINGLE, np.int64)
+    single = np.full(len(counts), SINGLE, np.int64)
     top = [END, *[s for s in np.argsort(-counts, kind="stable").tolist() if s != END][: SINGLE - 1]]
     single[top] = np.arange(SINGLE)
     return single
@@ -573,19 +625,21 @@ def language_scores(docs: DataFrame) -> DataFrame:
     """
     tune(docs.sparkSession, 8)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gathered = written(own.mapInArrow(_gather, "kind int, key long, n long, window binary").withColumn("part", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(ROUNDS)).cast("int")), "lm-gathered")
-    counts = written(gathered.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
+    counts = written(own.mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    of_symbols = np.zeros(SYMBOLS, np.int64)
+    often = counts.where((F.col("n") >= OFTEN) & (F.col("key") != END_HASH)).orderBy(F.desc("n"), "key").limit(WHOLE).toPandas().sort_values("key")
+    whole = often["key"].to_numpy(np.int64)
+    gathered = written(own.mapInArrow(_gather(whole), "kind int, key long, n long, window binary").withColumn("part", F.pmod(F.xxhash64("key", F.lit(2)), F.lit(ROUNDS)).cast("int")), "lm-gathered")
+    of_symbols = np.append(np.zeros(SYMBOLS, np.int64), often["n"].to_numpy(np.int64))
     for key, n in gathered.where(F.col("kind") == SYMBOL).groupBy("key").agg(F.sum("n")).collect():  # the vocabulary at most
         of_symbols[key] = n
     chosen = gathered.where(F.col("kind") == WINDOW).select("key", "part", "window")
     class_of, share = classes(chosen.select("window"), of_symbols)
     w = fitted(chosen, class_of)
-    return scored(own, counts, w, class_of, share, total, distinct)
+    return scored(own, counts, w, class_of, share, total, distinct, whole)
 
 
-def scored(own: DataFrame, counts: DataFrame, w: dict[str, np.ndarray], class_of: np.ndarray, share: np.ndarray, total: int, distinct: int) -> DataFrame:
+def scored(own: DataFrame, counts: DataFrame, w: dict[str, np.ndarray], class_of: np.ndarray, share: np.ndarray, total: int, distinct: int, whole: np.ndarray = NONE_WHOLE) -> DataFrame:
     """Scores of own (doc_id, text) from word counts (key, n) and a trained model.
 
     A document is scored where it is read; its words whose counts aren't held there are told by rows of their own: one
@@ -597,24 +651,24 @@ def scored(own: DataFrame, counts: DataFrame, w: dict[str, np.ndarray], class_of
     rest = ALPHA + (1 - ALPHA) * (DISCOUNT * distinct / total if total else 1)
     ends = counts.where(F.col("key") == END_HASH).agg(F.sum("n")).first()[0] or 0
     *held, least = _held(counts.where(F.col("key") != END_HASH))
-    model = own.sparkSession.sparkContext.broadcast((*held, w, class_of, share))
+    model = own.sparkSession.sparkContext.broadcast((*held, w, class_of, share, whole))
     seen_of = lambda n: (1 - ALPHA) * np.maximum(n - DISCOUNT, 0) / max(1, total)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         A.keep()
-        keys, ns, w, class_of, share = model.value
+        keys, ns, w, class_of, share, whole = model.value
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            whole = Words(batch.column(1))
-            known = np.full(len(whole.hash), -1, np.int64)  # -1: not held
+            all_words = Words(batch.column(1), whole=whole)
+            known = np.full(len(all_words.hash), -1, np.int64)  # -1: not held
             if len(keys):
-                j = np.minimum(np.searchsorted(keys, whole.hash), len(keys) - 1)
-                known = np.where(keys[j] == whole.hash, ns[j], -1)
+                j = np.minimum(np.searchsorted(keys, all_words.hash), len(keys) - 1)
+                known = np.where(keys[j] == all_words.hash, ns[j], -1)
             for i in range(0, len(batch), 256):
                 some = batch.slice(i, 256)
-                words, n = whole.part(i, i + len(some)), len(some)
+                words, n = all_words.part(i, i + len(some)), len(some)
                 symbols, at, word = words.sequences()
                 spelled = np.bincount(word, symbol_scores(w, class_of, share, symbols, at))
                 count = np.full(len(spelled), ends, np.int64)
